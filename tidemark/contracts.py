@@ -88,15 +88,14 @@ def is_known(table: str, contracts: dict[str, TableContract]) -> bool:
     return table in contracts or table in fv.TABLES_WITHOUT_DICTIONARY
 
 
+ORIGIN = (fv.SOURCE_YEAR, fv.SOURCE_MONTH, fv.SOURCE_PATH, fv.SOURCE_FILE)
+
+
 def merge_keys(table: str, columns: Iterable[str]) -> list[str]:
-    """Key of an upsert: the table's key, else the record hash, else where the row came from."""
-    present = set(columns)
-    key = [k for k in fv.PRIMARY_KEYS.get(table, ()) if k in present]
-    if key:
-        return key
-    if fv.RECORD_HASH in present:
-        return [fv.RECORD_HASH]
-    origin = [c for c in (fv.SOURCE_YEAR, fv.SOURCE_MONTH, fv.SOURCE_PATH, fv.SOURCE_FILE) if c in present]
-    if not origin:
-        raise ValueError(f"{table} has no key to merge on")
-    return origin
+    """Key of an upsert: the first of primary key, record hash and row origin that the frame has."""
+    have = set(columns)
+    for choice in (fv.PRIMARY_KEYS.get(table, ()), (fv.RECORD_HASH,), ORIGIN):
+        usable = [c for c in choice if c in have]
+        if usable:
+            return usable
+    raise ValueError(f"{table}: nothing to merge on among {sorted(have)}")
