@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions.columns import record_hash
@@ -17,9 +17,9 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = RE
 
     Newest means the greatest of the ``newest`` columns (those the frame has),
     NULLs last; rows that still tie are decided by all their remaining columns,
-    so the winner never depends on the order rows arrive in.  ``max`` of a
-    struct compares exactly that way and is combined before the shuffle: a key
-    with a third of all rows sends one row per map task.
+    so the winner never depends on the order rows arrive in.  Spark pushes the
+    "first row only" below the shuffle (WindowGroupLimit): a key with a third of
+    all rows sends one row per map task.
     """
     if not keys:
         return df
@@ -27,9 +27,9 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = RE
     rest = [c for c in df.columns if c not in keys and c not in lead]
     if not lead and not rest:
         return df.distinct()
-    row = F.struct(*[F.col(f"`{c}`") for c in lead + rest])
-    picked = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max(row).alias("_row"))
-    return picked.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+    order = [F.col(f"`{c}`").desc_nulls_last() for c in lead + rest]
+    place = F.row_number().over(Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order))
+    return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
 def with_hash_key(df: DataFrame, ignore: Sequence[str] = (fv.INGESTED_AT,)) -> DataFrame:
