@@ -75,6 +75,8 @@ def check_columns(table: str, contract: TableContract | None, columns: Sequence[
 def load_batch(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract], table: str,
                month: str | None, mode: str, fmt: str, paths: Sequence[str]) -> tuple[int, dict[str, int]]:
     """Read, validate, conform, deduplicate and merge one batch; rows merged and cells lost to casts."""
+    if fmt not in fv.FORMATS:
+        raise Rejected(f"{table}: format {fmt} is not supported; expected one of {', '.join(fv.FORMATS)}")
     if not is_known(table, contracts):
         raise Rejected(f"{table} is not in the data dictionary")
     contract = contracts.get(table)
@@ -96,30 +98,28 @@ def load_batch(spark: SparkSession, settings: Settings, contracts: dict[str, Tab
     return merged, figures.lost_cells
 
 
-def load(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract]) -> DataFrame:
-    """Load everything landed for a domain and year; returns this run's log entries."""
-    listed = in_load_order(classify(list_files(spark, settings.landing), settings.landing))
-    groups: dict[tuple, list] = {}
+def load_batches(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract],
+                 batches: Sequence[tuple[str, str | None, str, str | None, str | Sequence[str]]]) -> DataFrame:
+    """Load (table, month, mode, format, paths) batches one after the other; returns and stores their log entries.
+
+    Each batch is a distributed job of its own; one that fails is logged and the next goes on.
+    """
     records = []
-    for f in listed.toLocalIterator():  # file names only
-        base = dict(
-            load_id=str(uuid.uuid4()), area=settings.domain, table_name=f.tabla, load_mode=f.modo,
-            source_year=settings.year, source_month=f.mes, source_path=f.path, source_file_name=f.archivo,
-            source_format=f.formato or "", target_table=f"bronze.{settings.domain}.{f.tabla}",
-            target_path=settings.table_path("bronze", f.tabla),
-            historic_path=settings.historic_path(f.mes, f.archivo))
-        if f.motivo_rechazo:
-            records.append(base | {"status": fv.FAILED, "error_message": f.motivo_rechazo})
-        else:
-            groups.setdefault((f.mes or "00", f.tabla, f.mes, f.modo, f.formato), []).append(base)
-    for (_, table, month, mode, fmt), files in groups.items():
+    for table, month, mode, fmt, paths in batches:
+        files = [paths] if isinstance(paths, str) else list(paths)
+        entries = [dict(
+            load_id=str(uuid.uuid4()), area=settings.domain, table_name=table, load_mode=mode,
+            source_year=settings.year, source_month=month, source_path=path, source_file_name=path.rsplit("/", 1)[-1],
+            source_format=fmt or "", target_table=f"bronze.{settings.domain}.{table}",
+            target_path=settings.table_path("bronze", table),
+            historic_path=settings.historic_path(month, path.rsplit("/", 1)[-1])) for path in files]
         try:
-            merged, lost = load_batch(spark, settings, contracts, table, month, mode, fmt,
-                                      [f["source_path"] for f in files])
-            note = f"cells without a valid value: {lost}" if lost else None
-            records += [f | {"status": fv.SUCCESS, "record_count": merged, "error_message": note} for f in files]
-        except Exception as e:  # one bad batch must not stop the others
-            records += [f | {"status": fv.FAILED, "error_message": str(e)[:2000]} for f in files]
+            merged, lost = load_batch(spark, settings, contracts, table, month, mode, fmt, files)
+            outcome = {"status": fv.SUCCESS, "record_count": merged,
+                       "error_message": f"cells without a valid value: {lost}" if lost else None}
+        except Exception as e:  # noqa: BLE001  one bad batch must not stop the others
+            outcome = {"status": fv.FAILED, "error_message": str(e)[:2000]}
+        records += [entry | outcome for entry in entries]
     if not records:
         records.append(dict(load_id=str(uuid.uuid4()), area=settings.domain, table_name=fv.NO_TABLES,
                             load_mode="full", source_year=settings.year, source_path=settings.landing,
@@ -129,6 +129,20 @@ def load(spark: SparkSession, settings: Settings, contracts: dict[str, TableCont
     return audit.entries(spark, audit.LOAD_LOG, records)
 
 
+def landed_batches(spark: SparkSession, settings: Settings) -> list[tuple]:
+    """The landing zone as batches: all files of a table, month and format together, in load order."""
+    listed = in_load_order(classify(list_files(spark, settings.landing), settings.landing))
+    groups: dict[tuple, list[str]] = {}
+    for f in listed.toLocalIterator():  # file names only
+        groups.setdefault((f.tabla, f.mes, f.modo, f.formato), []).append(f.path)
+    return [(*key, paths) for key, paths in groups.items()]
+
+
+def load(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract]) -> DataFrame:
+    """Load everything landed for a domain and year; returns this run's log entries."""
+    return load_batches(spark, settings, contracts, landed_batches(spark, settings))
+
+
 def raise_on_failures(entries: DataFrame) -> None:
     failed = entries.filter(F.col("status") == fv.FAILED).select("source_file_name", "error_message").take(10)
     if failed:

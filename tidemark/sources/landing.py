@@ -35,7 +35,7 @@ def classify(files: DataFrame, year_folder) -> DataFrame:
     with ``motivo_rechazo`` set: one stray file does not stop the others.
     """
     folder = F.lit(year_folder) if isinstance(year_folder, str) else year_folder
-    below = F.substring_index("path", F.concat(folder, F.lit("/")), -1)
+    below = F.call_function("substring_index", F.col("path"), F.concat(folder, F.lit("/")), F.lit(-1))
     inside = F.split(below, "/")
     depth = F.size("_parts")
     name = F.element_at("_parts", -1)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from tidemark.operators.upsert import in_batch, not_in_batch
 
-LOG_SCHEMA = "version bigint, filas bigint, carpetas array<string>, esquema string, origen string, estado string"
+LOG_SCHEMA = "version bigint, filas bigint, carpetas array<struct<ruta:string,filas:bigint>>, esquema string, origen string, estado string"
 FOLDER = r"^.*/(version=[^/]+(?:/[^/]+=[^/]*)*)/[^/]+$"
 
 
@@ -39,8 +39,14 @@ class LakeTable:
                 raise
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
+    def _state(self) -> tuple[Row | None, int]:
+        """Newest published commit and the next free version number, in one small job."""
+        entry = F.when(F.col("estado") == "PUBLISHED", F.col("version"))
+        found = self.log().agg(F.max("version").alias("last"), F.max_by(F.struct("*"), entry).alias("current")).first()
+        return found.current, (found.last or 0) + 1
+
     def current(self) -> Row | None:
-        return self.log().filter("estado = 'PUBLISHED'").orderBy(F.desc("version")).first()
+        return self._state()[0]
 
     def exists(self) -> bool:
         return self.current() is not None
@@ -52,19 +58,18 @@ class LakeTable:
         state = self.current()
         if state is None:
             raise FileNotFoundError(f"no version of {self.path} has been published")
-        return self._rows(state.carpetas, T.StructType.fromJson(json.loads(state.esquema)))
+        return self._rows([c.ruta for c in state.carpetas], T.StructType.fromJson(json.loads(state.esquema)))
 
     # --- changes -------------------------------------------------------------
     def publish(self, df: DataFrame, origin: str = "") -> int:
         """Replace the table's contents; refuse (and say so in the log) when there are no rows."""
-        version = self._next_version()
-        folders = self._write(df, f"version={version}.all")
-        rows = sum(folders.values())
-        if rows == 0:
-            self._commit(version, 0, [], df.schema, origin, "REFUSED")
+        _, version = self._state()
+        written = self._write(df, f"version={version}.all")
+        if not written:
+            self._commit(version, {}, df.schema, origin, "REFUSED")
             raise EmptyPublication(f"nothing to publish in {self.path}")
-        self._commit(version, rows, list(folders), df.schema, origin)
-        return rows
+        self._commit(version, written, df.schema, origin)
+        return sum(written.values())
 
     def upsert(self, batch: DataFrame, keys: Sequence[str], origin: str = "") -> int:
         """Merge a batch with unique keys; returns the number of rows it brought.
@@ -75,32 +80,25 @@ class LakeTable:
         """
         if origin and self.has_batch(origin):
             return 0
-        state = self.current()
-        version = self._next_version()
+        state, version = self._state()
         brought = self._write(batch, f"version={version}.new")
         if not brought:
             return 0
-        arrived = self._rows(list(brought), batch.schema)
-        if state is None:
-            self._commit(version, sum(brought.values()), list(brought), batch.schema, origin)
-            return sum(brought.values())
-        old_schema = T.StructType.fromJson(json.loads(state.esquema))
-        schema = T.StructType(old_schema.fields + [f for f in batch.schema.fields if f.name not in old_schema.names])
-        touched = self._folders_with_keys(state.carpetas, old_schema, arrived, keys)
-        kept = {}
-        if touched:
-            survivors = not_in_batch(self._rows(touched, old_schema), arrived, keys)
-            kept = self._write(survivors, f"version={version}.kept")
-        untouched = [c for c in state.carpetas if c not in touched]
-        folders = [*untouched, *kept, *brought]
-        rows = self._rows(untouched, old_schema).count() + sum(kept.values()) + sum(brought.values())
-        self._commit(version, rows, folders, schema, origin)
+        schema, folders = batch.schema, dict(brought)
+        if state is not None:
+            old = T.StructType.fromJson(json.loads(state.esquema))
+            schema = T.StructType(old.fields + [f for f in schema.fields if f.name not in old.names])
+            arrived = self._rows(list(brought), batch.schema)
+            before = {c.ruta: c.filas for c in state.carpetas}
+            touched = self._folders_with_keys(list(before), old, arrived, keys)
+            if touched:
+                survivors = not_in_batch(self._rows(touched, old), arrived, keys)
+                folders |= self._write(survivors, f"version={version}.kept")
+            folders |= {c: n for c, n in before.items() if c not in touched}
+        self._commit(version, folders, schema, origin)
         return sum(brought.values())
 
     # --- files ---------------------------------------------------------------
-    def _next_version(self) -> int:
-        return (self.log().agg(F.max("version")).first()[0] or 0) + 1
-
     def _rows(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], schema)
@@ -108,11 +106,16 @@ class LakeTable:
         return reader.parquet(*[f"{self.path}/{f}" for f in folders]).select(*[f"`{c}`" for c in schema.names])
 
     def _write(self, df: DataFrame, folder: str) -> dict[str, int]:
-        """Write, then count what is really there: folder -> rows (footers only)."""
-        writer = df.write.mode("overwrite")
+        """Write, then count what is really there: folder -> rows (footers only).
+
+        Rebalancing by the partition columns gives each folder a few files of the
+        advisory size instead of one per task, and splits a folder that holds most rows.
+        """
         if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(f"{self.path}/{folder}")
+            writer = df.hint("rebalance", *self.partition_by).write.partitionBy(*self.partition_by)
+        else:
+            writer = df.write
+        writer.mode("overwrite").parquet(f"{self.path}/{folder}")
         written = self.spark.read.schema(df.schema).option("basePath", self.path).parquet(f"{self.path}/{folder}")
         counts = written.groupBy(F.regexp_extract("_metadata.file_path", FOLDER, 1).alias("carpeta")).count()
         return {r.carpeta: r["count"] for r in counts.collect()}  # one row per partition folder
@@ -130,7 +133,7 @@ class LakeTable:
         hit = in_batch(here, batch, keys).select("_carpeta").distinct()
         return [r._carpeta for r in hit.collect()]  # at most one row per partition folder
 
-    def _commit(self, version: int, rows: int, folders: list[str], schema: T.StructType, origin: str,
+    def _commit(self, version: int, folders: dict[str, int], schema: T.StructType, origin: str,
                 status: str = "PUBLISHED") -> None:
-        entry = [(version, rows, sorted(folders), schema.json(), origin, status)]
+        entry = [(version, sum(folders.values()), sorted(folders.items()), schema.json(), origin, status)]
         self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.path}/_commits")

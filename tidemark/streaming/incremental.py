@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import fixed_values as fv
 from tidemark.operators.dedup import latest_by_key
+from tidemark.operators.upsert import in_batch
 from tidemark.sources.tables import LakeTable
 
 
@@ -22,12 +23,19 @@ def upsert_new_files(spark: SparkSession, folder: str, schema: T.StructType, tar
                      keys: Sequence[str], checkpoint: str, *, fmt: str = "parquet",
                      newest: Sequence[str] = (fv.INGESTED_AT,),
                      transform: Callable[[DataFrame], DataFrame] = lambda df: df,
-                     options: dict[str, str] | None = None) -> StreamingQuery:
-    """Merge files that are new in ``folder`` into ``target``; the returned query ends by itself."""
+                     keep_newest: bool = False, options: dict[str, str] | None = None) -> StreamingQuery:
+    """Merge files that are new in ``folder`` into ``target``; the returned query ends by itself.
+
+    Normally the last ingestion wins, whatever it holds.  With ``keep_newest`` a
+    stored row that is newer by the ``newest`` columns stays.
+    """
     arriving = spark.readStream.format(fmt).schema(schema).options(**(options or {})).load(folder)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        target.upsert(latest_by_key(transform(batch), keys, newest), keys, origin=f"{checkpoint}#{batch_id}")
+        rows = transform(batch)
+        if keep_newest and target.exists():
+            rows = rows.unionByName(in_batch(target.read(), rows, keys), allowMissingColumns=True)
+        target.upsert(latest_by_key(rows, keys, newest), keys, origin=f"{checkpoint}#{batch_id}")
 
     return (
         arriving.writeStream.foreachBatch(merge)
