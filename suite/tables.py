@@ -327,13 +327,23 @@ def employees(spark: SparkSession, sf: str) -> DataFrame:
         text("c_nationkey").alias("area_id"))
 
 
+# what the facts below need of a placed line
+PLACED = """l_orderkey l_linenumber l_partkey l_suppkey l_quantity l_discount l_tax l_returnflag l_linestatus p_size
+p_retailprice categoria_id bruto cantidad descuento_valor base_sin_iva iva_valor valor_total_linea costo_total_linea
+margen_bruto_linea detalle_venta_id producto_id proveedor_id mes_envio fecha_envio venta_id tienda_id ciudad_id canal_id
+mes_carga fecha_venta""".split()
+HEADER_INPUTS = """l_orderkey bruto descuento_valor iva_valor valor_total_linea costo_total_linea
+margen_bruto_linea""".split()
+
+
 # --- the lake ----------------------------------------------------------------------
 
 def base_lake(spark: SparkSession, sf: str, *, staged: bool = False) -> Lake:
     """Silver inputs by name, before derivation.
 
-    With ``staged`` the priced, deduplicated lines are written once, for jobs that
-    read them many times.
+    With ``staged`` the priced, deduplicated lines with their order are written once,
+    for jobs that read them more than once: the alternative is to deduplicate and
+    join the largest table again for every use.
     """
     memo: dict[str, DataFrame] = {}
 
@@ -351,11 +361,11 @@ def base_lake(spark: SparkSession, sf: str, *, staged: bool = False) -> Lake:
     def placed() -> DataFrame:
         def build():
             rows = placed_lines(line(), order())
-            return stage(rows, "lines") if staged else rows
+            return stage(rows.select(*PLACED), "lines") if staged else rows
         return once("placed", build)
 
-    def header() -> DataFrame:
-        return sales_header(placed().select(*line().columns), order()) if staged else sales_header(line(), order())
+    def any_lines() -> DataFrame:
+        return placed() if staged else line()
 
     return Lake({
         "dim_fecha": lambda: dates(order()),
@@ -364,18 +374,18 @@ def base_lake(spark: SparkSession, sf: str, *, staged: bool = False) -> Lake:
         "dim_categoria_producto": lambda: categories(spark, sf),
         "dim_producto": lambda: products(spark, sf),
         "dim_proveedor": lambda: suppliers(spark, sf),
-        "bridge_producto_proveedor": lambda: terms(line() if not staged else placed()),
+        "bridge_producto_proveedor": lambda: terms(any_lines()),
         "dim_cliente": lambda: customers(spark, sf),
         "dim_canal_venta": lambda: channels(spark, sf),
         "dim_campana_marketing": lambda: campaigns(spark, sf),
         "dim_transportista": lambda: carriers(spark, sf),
         "dim_motivo_devolucion": lambda: reasons(spark, sf),
-        "fact_ventas_cabecera": header,
+        "fact_ventas_cabecera": lambda: sales_header(any_lines().select(*HEADER_INPUTS), order()),
         "fact_ventas_detalle": lambda: sales_line(placed()),
         "fact_devoluciones": lambda: returns(placed()),
         "fact_marketing": lambda: marketing(table(spark, sf, "events")),
         "fact_inventario_mensual": lambda: inventory(placed()),
-        "fact_ajustes_inventario": lambda: adjustments(line() if not staged else placed()),
+        "fact_ajustes_inventario": lambda: adjustments(any_lines()),
         "fact_compras": lambda: purchases(placed()),
         "fact_logistica_entregas": lambda: deliveries(placed(), table(spark, sf, "supplier")),
         "fact_costos_mensual": lambda: costs(placed()),

@@ -135,5 +135,9 @@ class LakeTable:
 
     def _commit(self, version: int, folders: dict[str, int], schema: T.StructType, origin: str,
                 status: str = "PUBLISHED") -> None:
-        entry = [(version, sum(folders.values()), sorted(folders.items()), schema.json(), origin, status)]
-        self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.path}/_commits")
+        pieces = json.dumps([{"ruta": c, "filas": n} for c, n in sorted(folders.items())])
+        entry = self.spark.range(0, 1, 1, 1).select(
+            F.lit(version).alias("version"), F.lit(sum(folders.values())).alias("filas"),
+            F.from_json(F.lit(pieces), "array<struct<ruta:string,filas:bigint>>").alias("carpetas"),
+            F.lit(schema.json()).alias("esquema"), F.lit(origin).alias("origen"), F.lit(status).alias("estado"))
+        entry.write.mode("append").json(f"{self.path}/_commits")
