@@ -343,7 +343,8 @@ def base_lake(spark: SparkSession, sf: str, *, staged: bool = False) -> Lake:
 
     With ``staged`` the priced, deduplicated lines with their order are written once,
     for jobs that read them more than once: the alternative is to deduplicate and
-    join the largest table again for every use.
+    join the largest table again for every use.  Dimensions that are groupings of a
+    larger table are always written, so that joins know their true size.
     """
     memo: dict[str, DataFrame] = {}
 
@@ -369,17 +370,17 @@ def base_lake(spark: SparkSession, sf: str, *, staged: bool = False) -> Lake:
 
     return Lake({
         "dim_fecha": lambda: dates(order()),
-        "dim_ciudad": lambda: cities(spark, sf),
-        "dim_tienda": lambda: stores(spark, sf),
-        "dim_categoria_producto": lambda: categories(spark, sf),
+        "dim_ciudad": lambda: stage(cities(spark, sf), "dim_ciudad"),
+        "dim_tienda": lambda: stage(stores(spark, sf), "dim_tienda"),
+        "dim_categoria_producto": lambda: stage(categories(spark, sf), "dim_categoria_producto"),
         "dim_producto": lambda: products(spark, sf),
         "dim_proveedor": lambda: suppliers(spark, sf),
         "bridge_producto_proveedor": lambda: terms(any_lines()),
         "dim_cliente": lambda: customers(spark, sf),
-        "dim_canal_venta": lambda: channels(spark, sf),
-        "dim_campana_marketing": lambda: campaigns(spark, sf),
-        "dim_transportista": lambda: carriers(spark, sf),
-        "dim_motivo_devolucion": lambda: reasons(spark, sf),
+        "dim_canal_venta": lambda: stage(channels(spark, sf), "dim_canal_venta"),
+        "dim_campana_marketing": lambda: stage(campaigns(spark, sf), "dim_campana_marketing"),
+        "dim_transportista": lambda: stage(carriers(spark, sf), "dim_transportista"),
+        "dim_motivo_devolucion": lambda: stage(reasons(spark, sf), "dim_motivo_devolucion"),
         "fact_ventas_cabecera": lambda: sales_header(any_lines().select(*HEADER_INPUTS), order()),
         "fact_ventas_detalle": lambda: sales_line(placed()),
         "fact_devoluciones": lambda: returns(placed()),

@@ -90,3 +90,18 @@ def attach(df: DataFrame, *views: DataFrame) -> DataFrame:
     for view in views:
         df = df.join(view, view.columns[0], "left")
     return df
+
+
+def attach_store(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Store and store city, joined one after the other.
+
+    The flattened view is right but costly here: Spark estimates a join as the
+    product of its sides, so it would shuffle a product by its few store ids to
+    meet a view that is in fact tiny.  Each table alone has a known size.
+    """
+    stores = _renamed(tables["dim_tienda"], "tienda_id", tienda_nombre="nombre_tienda",
+                      tienda_tipo_sede="tipo_sede", tienda_estado_sede="estado_sede", _sede="ciudad_id")
+    places = _renamed(city(tables).withColumnRenamed("ciudad_id", "_sede"), "_sede",
+                      tienda_ciudad_nombre="ciudad_nombre", tienda_departamento="ciudad_departamento",
+                      tienda_region="ciudad_region")
+    return attach(df, stores, places).drop("_sede")

@@ -47,7 +47,7 @@ def sales_core(lake: Lake) -> DataFrame:
 
 
 def sales(lake: Lake) -> DataFrame:
-    return dims.attach(sales_core(lake), dims.store(lake), dims.city(lake), dims.channel(lake))
+    return dims.attach(dims.attach_store(sales_core(lake), lake), dims.city(lake), dims.channel(lake))
 
 
 def product_sales_core(lake: Lake) -> DataFrame:
@@ -70,7 +70,7 @@ def product_sales_core(lake: Lake) -> DataFrame:
 
 
 def product_sales(lake: Lake) -> DataFrame:
-    return dims.attach(product_sales_core(lake), dims.store(lake), dims.city(lake), dims.channel(lake),
+    return dims.attach(dims.attach_store(product_sales_core(lake), lake), dims.city(lake), dims.channel(lake),
                        dims.product(lake), dims.category(lake))
 
 
@@ -121,7 +121,7 @@ def returns_core(lake: Lake) -> DataFrame:
 
 
 def returns(lake: Lake) -> DataFrame:
-    return dims.attach(returns_core(lake), dims.store(lake), dims.city(lake), dims.product(lake),
+    return dims.attach(dims.attach_store(returns_core(lake), lake), dims.city(lake), dims.product(lake),
                        dims.category(lake), dims.return_reason(lake))
 
 
@@ -177,7 +177,7 @@ def inventory_core(lake: Lake) -> DataFrame:
 
 
 def inventory(lake: Lake) -> DataFrame:
-    return dims.attach(inventory_core(lake), dims.store(lake), dims.product(lake), dims.category(lake))
+    return dims.attach(dims.attach_store(inventory_core(lake), lake), dims.product(lake), dims.category(lake))
 
 
 def purchases_core(lake: Lake) -> DataFrame:
@@ -220,7 +220,7 @@ def purchases_core(lake: Lake) -> DataFrame:
 
 
 def purchases(lake: Lake) -> DataFrame:
-    return dims.attach(purchases_core(lake), dims.store(lake), dims.product(lake), dims.category(lake))
+    return dims.attach(dims.attach_store(purchases_core(lake), lake), dims.product(lake), dims.category(lake))
 
 
 def logistics_core(lake: Lake) -> DataFrame:
@@ -252,7 +252,7 @@ def logistics_core(lake: Lake) -> DataFrame:
 
 
 def logistics(lake: Lake) -> DataFrame:
-    return dims.attach(logistics_core(lake), dims.store(lake), dims.channel(lake), dims.carrier(lake),
+    return dims.attach(dims.attach_store(logistics_core(lake), lake), dims.channel(lake), dims.carrier(lake),
                        dims.city_as(lake, "origen"), dims.city_as(lake, "destino"))
 
 
@@ -291,7 +291,7 @@ def finance_core(lake: Lake) -> DataFrame:
 
 
 def finance(lake: Lake) -> DataFrame:
-    return dims.attach(finance_core(lake), dims.store(lake))
+    return dims.attach_store(finance_core(lake), lake)
 
 
 def targets_core(lake: Lake) -> DataFrame:
@@ -327,7 +327,7 @@ def targets_core(lake: Lake) -> DataFrame:
 
 
 def targets(lake: Lake) -> DataFrame:
-    return dims.attach(targets_core(lake), dims.store(lake))
+    return dims.attach_store(targets_core(lake), lake)
 
 
 # --- executive KPIs ----------------------------------------------------------
