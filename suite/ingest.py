@@ -182,9 +182,11 @@ def ingest_rejects(spark, sf):
                      "dim_pieza": table(spark, sf, "part").select("p_partkey", "p_name")}.items():
         df.write.option("header", True).csv(f"{root}/{name}")
     contracts = {c.name: c for c in (SALES_CONTRACT, CUSTOMER_CONTRACT, EMPTY_CONTRACT, PART_CONTRACT)}
-    batches = [("fact_pedidos", f"{m:02d}", "incremental", "csv", f"{root}/pedidos/mes={m:02d}") for m in range(1, 13)]
-    batches += [(t, None, "full", "csv", f"{root}/{t}") for t in ("dim_cliente", "dim_desconocida", "dim_vacia", "dim_pieza")]
-    batches.append(("notas.xlsx", None, "full", "xlsx", f"{root}/notas.xlsx"))
+    batches = [bronze.Batch("fact_pedidos", f"{m:02d}", "incremental", "csv", (f"{root}/pedidos/mes={m:02d}",))
+               for m in range(1, 13)]
+    batches += [bronze.Batch(t, None, "full", "csv", (f"{root}/{t}",))
+                for t in ("dim_cliente", "dim_desconocida", "dim_vacia", "dim_pieza")]
+    batches.append(bronze.Batch("notas.xlsx", None, "full", "xlsx", (f"{root}/notas.xlsx",)))
     results = bronze.load_batches(spark, settings, contracts, batches)
     reason = (
         F.when(F.col("error_message").contains("outside"), "mes").when(F.col("error_message").contains("missing"), "columnas")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark import fixed_values as fv
 from tidemark.functions.columns import record_hash
 
-RECENCY = (fv.INGESTED_AT, fv.SOURCE_PATH, fv.SOURCE_FILE)
+# a later month folder beats an earlier one and a month-less full load, as if loaded in that order
+RECENCY = (fv.INGESTED_AT, fv.SOURCE_YEAR, fv.SOURCE_MONTH, fv.SOURCE_PATH, fv.SOURCE_FILE)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = RECENCY) -> DataFrame:

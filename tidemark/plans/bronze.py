@@ -1,16 +1,18 @@
 """Bronze: land a year's files of one domain.
 
-All files of one table and month form a batch, read in one scan.  A bad batch is
-logged as FAILED and the others go on; the caller decides whether to raise.
+All files of one table and month form a batch; all batches of a table are validated in
+one pass and merged in one upsert.  A bad batch is logged as FAILED and the others go
+on; the caller decides whether to raise.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.contracts import TableContract, is_known
@@ -51,20 +53,26 @@ def month_violations(df: DataFrame, expected: str | Column, limit: int = 5) -> D
 
 
 @dataclass(frozen=True)
-class BatchFigures:
-    rows: int
-    off_month: int
-    lost_cells: dict[str, int]
+class Batch:
+    """The files of one table, month and format; month is None for a full load."""
 
+    table: str
+    month: str | None
+    mode: str
+    fmt: str | None
+    paths: tuple[str, ...]
+
+    @property
+    def folder_mark(self) -> str:
+        """How the month shows in the names of partition folders."""
+        return f"{fv.SOURCE_MONTH}={self.month or '__HIVE_DEFAULT_PARTITION__'}"
 
-def inspect(raw: DataFrame, contract: TableContract | None, expected_month: str | None) -> BatchFigures:
-    """Everything validation needs to know of a batch, from one pass over it."""
-    counters = [F.count("*").alias("_rows")]
-    aligned = expected_month is not None and fv.MONTH in raw.columns
-    counters.append((F.count_if(off_month(expected_month)) if aligned else F.lit(0)).alias("_off"))
-    lost = lost_cells(raw, contract) if contract else []
-    found = raw.agg(*counters, *lost).first().asDict()
-    return BatchFigures(found.pop("_rows"), found.pop("_off"), {c: n for c, n in found.items() if n})
+
+@dataclass
+class Outcome:
+    status: str
+    rows: int | None = None
+    message: str | None = None
 
 
 def check_columns(table: str, contract: TableContract | None, columns: Sequence[str]) -> None:
@@ -72,54 +80,112 @@ def check_columns(table: str, contract: TableContract | None, columns: Sequence[
         raise Rejected(f"{table}: columns {missing} are missing; found {list(columns)}")
 
 
-def load_batch(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract], table: str,
-               month: str | None, mode: str, fmt: str, paths: Sequence[str]) -> tuple[int, dict[str, int]]:
-    """Read, validate, conform, deduplicate and merge one batch; rows merged and cells lost to casts."""
+def open_batch(spark: SparkSession, settings: Settings, contract: TableContract | None, batch: Batch) -> DataFrame:
+    """A batch's rows as text, with its technical columns; raises when contract columns are missing."""
+    paths = list(batch.paths)
+    columns = file_columns(spark, batch.fmt, paths)
+    check_columns(batch.table, contract, columns)
+    raw = read_batch(spark, batch.fmt, paths, columns)
+    if contract:
+        raw = raw.select(*[f"`{c}`" for c in contract.column_names], fv.SOURCE_PATH, fv.SOURCE_FILE)
+    return with_origin(raw, settings.domain, settings.year, batch.month, batch.mode)
+
+
+def inspect(raw: DataFrame, contract: TableContract | None) -> dict[str | None, Row]:
+    """Rows, rows of another month and cells lost to casts, per folder month, from one pass over all batches."""
+    off = F.lit(0)
+    if fv.MONTH in raw.columns:
+        expected = F.concat(F.col(fv.SOURCE_YEAR), F.lit("-"), F.col(fv.SOURCE_MONTH))
+        off = F.count_if(F.col(fv.SOURCE_MONTH).isNotNull() & off_month(expected))
+    lost = lost_cells(raw, contract) if contract else []
+    cells = F.struct(*lost) if lost else F.lit(None)
+    per_month = raw.groupBy(fv.SOURCE_MONTH).agg(F.count("*").alias("rows"), off.alias("off"), cells.alias("lost"))
+    return {r[fv.SOURCE_MONTH]: r for r in per_month.collect()}  # at most one row per month folder
+
+
+def load_table(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract],
+               batches: Sequence[Batch]) -> dict[Batch, Outcome]:
+    """Validate a table's batches together and merge the good ones in one upsert.
+
+    One pass validates all months and one merge looks the keys up in the table,
+    however many month folders were landed.
+    """
+    table, fmt = batches[0].table, batches[0].fmt
     if fmt not in fv.FORMATS:
         raise Rejected(f"{table}: format {fmt} is not supported; expected one of {', '.join(fv.FORMATS)}")
     if not is_known(table, contracts):
         raise Rejected(f"{table} is not in the data dictionary")
     contract = contracts.get(table)
-    columns = file_columns(spark, fmt, paths)
-    check_columns(table, contract, columns)
-    raw = read_batch(spark, fmt, paths, columns)
-    expected = f"{settings.year}-{month}" if mode == "incremental" else None
-    figures = inspect(raw, contract, expected)
-    if figures.rows == 0:
-        raise Rejected(f"{table}: no rows")
-    if figures.off_month:
-        odd = [r[0] for r in month_violations(raw, expected).collect()]
-        raise Rejected(f"{table}: {figures.off_month} rows outside {expected}: {odd}")
-    shaped = with_origin(conform(raw, contract, keep=(fv.SOURCE_PATH, fv.SOURCE_FILE)),
-                         settings.domain, settings.year, month, mode)
-    key = contract.key if contract else fv.PRIMARY_KEYS.get(table, ())
-    batch, keys = keyed_batch(shaped, key)
-    merged = LakeTable(spark, settings.table_path("bronze", table), PARTITIONS).upsert(batch, keys)
-    return merged, figures.lost_cells
+    outcomes: dict[Batch, Outcome] = {}
+    opened: dict[Batch, DataFrame] = {}
+    for b in batches:
+        try:
+            opened[b] = open_batch(spark, settings, contract, b)
+        except Rejected as e:
+            outcomes[b] = Outcome(fv.FAILED, message=str(e))
+    if not opened:
+        return outcomes
+    figures = inspect(_together(opened.values()), contract)
+    good: dict[Batch, DataFrame] = {}
+    for b, raw in opened.items():
+        found = figures.get(b.month)
+        if found is None:
+            outcomes[b] = Outcome(fv.FAILED, message=f"{table}: no rows")
+        elif found.off:
+            expected = f"{settings.year}-{b.month}"
+            odd = [r[0] for r in month_violations(raw, expected).collect()]
+            outcomes[b] = Outcome(fv.FAILED, message=f"{table}: {found.off} rows outside {expected}: {odd}")
+        else:
+            good[b] = raw
+    if not good:
+        return outcomes
+    technical = [c for c in next(iter(good.values())).columns if c.startswith("_tm_")]
+    shaped = conform(_together(good.values()), contract, keep=technical)
+    rows, keys = keyed_batch(shaped, contract.key if contract else fv.PRIMARY_KEYS.get(table, ()))
+    target = LakeTable(spark, settings.table_path("bronze", table), PARTITIONS)
+    brought = target.upsert_folders(rows, keys)
+    for b in good:
+        cells = figures[b.month].lost
+        lost = {c: n for c, n in cells.asDict().items() if n} if cells else {}
+        outcomes[b] = Outcome(fv.SUCCESS, sum(n for f, n in brought.items() if b.folder_mark in f),
+                              f"cells without a valid value: {lost}" if lost else None)
+    return outcomes
+
+
+def _together(frames: Iterable[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def load_each(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract],
+              batches: Sequence[Batch]) -> dict[Batch, Outcome]:
+    """Load a table's batches together; if that fails, one by one, so that only the bad ones fail."""
+    try:
+        return load_table(spark, settings, contracts, batches)
+    except Exception as e:  # noqa: BLE001  a bad batch is an outcome, not the end of the run
+        if len(batches) == 1 or isinstance(e, Rejected):
+            return {b: Outcome(fv.FAILED, message=str(e)[:2000]) for b in batches}
+    outcomes: dict[Batch, Outcome] = {}
+    for b in batches:
+        outcomes |= load_each(spark, settings, contracts, [b])
+    return outcomes
 
 
 def load_batches(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract],
-                 batches: Sequence[tuple[str, str | None, str, str | None, str | Sequence[str]]]) -> DataFrame:
-    """Load (table, month, mode, format, paths) batches one after the other; returns and stores their log entries.
-
-    Each batch is a distributed job of its own; one that fails is logged and the next goes on.
-    """
+                 batches: Sequence[Batch]) -> DataFrame:
+    """Load batches table by table; returns this run's log entries, one per file, and stores them."""
+    groups: dict[tuple, list[Batch]] = {}
+    for b in batches:
+        groups.setdefault((b.table, b.fmt), []).append(b)
     records = []
-    for table, month, mode, fmt, paths in batches:
-        files = [paths] if isinstance(paths, str) else list(paths)
-        entries = [dict(
-            load_id=str(uuid.uuid4()), area=settings.domain, table_name=table, load_mode=mode,
-            source_year=settings.year, source_month=month, source_path=path, source_file_name=path.rsplit("/", 1)[-1],
-            source_format=fmt or "", target_table=f"bronze.{settings.domain}.{table}",
-            target_path=settings.table_path("bronze", table),
-            historic_path=settings.historic_path(month, path.rsplit("/", 1)[-1])) for path in files]
-        try:
-            merged, lost = load_batch(spark, settings, contracts, table, month, mode, fmt, files)
-            outcome = {"status": fv.SUCCESS, "record_count": merged,
-                       "error_message": f"cells without a valid value: {lost}" if lost else None}
-        except Exception as e:  # noqa: BLE001  one bad batch must not stop the others
-            outcome = {"status": fv.FAILED, "error_message": str(e)[:2000]}
-        records += [entry | outcome for entry in entries]
+    for group in groups.values():
+        for b, outcome in load_each(spark, settings, contracts, group).items():
+            records += [dict(
+                load_id=str(uuid.uuid4()), area=settings.domain, table_name=b.table, load_mode=b.mode,
+                source_year=settings.year, source_month=b.month, source_path=path,
+                source_file_name=path.rsplit("/", 1)[-1], source_format=b.fmt or "",
+                target_table=f"bronze.{settings.domain}.{b.table}", target_path=settings.table_path("bronze", b.table),
+                record_count=outcome.rows, status=outcome.status, error_message=outcome.message,
+                historic_path=settings.historic_path(b.month, path.rsplit("/", 1)[-1])) for path in b.paths]
     if not records:
         records.append(dict(load_id=str(uuid.uuid4()), area=settings.domain, table_name=fv.NO_TABLES,
                             load_mode="full", source_year=settings.year, source_path=settings.landing,
@@ -129,13 +195,13 @@ def load_batches(spark: SparkSession, settings: Settings, contracts: dict[str, T
     return audit.entries(spark, audit.LOAD_LOG, records)
 
 
-def landed_batches(spark: SparkSession, settings: Settings) -> list[tuple]:
+def landed_batches(spark: SparkSession, settings: Settings) -> list[Batch]:
     """The landing zone as batches: all files of a table, month and format together, in load order."""
     listed = in_load_order(classify(list_files(spark, settings.landing), settings.landing))
     groups: dict[tuple, list[str]] = {}
     for f in listed.toLocalIterator():  # file names only
         groups.setdefault((f.tabla, f.mes, f.modo, f.formato), []).append(f.path)
-    return [(*key, paths) for key, paths in groups.items()]
+    return [Batch(*key, tuple(paths)) for key, paths in groups.items()]
 
 
 def load(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract]) -> DataFrame:

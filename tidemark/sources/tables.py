@@ -72,18 +72,22 @@ class LakeTable:
         return sum(written.values())
 
     def upsert(self, batch: DataFrame, keys: Sequence[str], origin: str = "") -> int:
-        """Merge a batch with unique keys; returns the number of rows it brought.
+        """Merge a batch with unique keys; returns the number of rows it brought (see ``upsert_folders``)."""
+        return sum(self.upsert_folders(batch, keys, origin).values())
+
+    def upsert_folders(self, batch: DataFrame, keys: Sequence[str], origin: str = "") -> dict[str, int]:
+        """Merge a batch with unique keys; returns the rows it brought per partition folder.
 
         The batch is written once.  Only folders holding a key of the batch are
         read in full and rewritten; all others are carried over by name.  An
         ``origin`` that was merged before is skipped, so a retried batch is harmless.
         """
         if origin and self.has_batch(origin):
-            return 0
+            return {}
         state, version = self._state()
         brought = self._write(batch, f"version={version}.new")
         if not brought:
-            return 0
+            return {}
         schema, folders = batch.schema, dict(brought)
         if state is not None:
             old = T.StructType.fromJson(json.loads(state.esquema))
@@ -96,7 +100,11 @@ class LakeTable:
                 folders |= self._write(survivors, f"version={version}.kept")
             folders |= {c: n for c, n in before.items() if c not in touched}
         self._commit(version, folders, schema, origin)
-        return sum(brought.values())
+        return brought
+
+    def compact(self) -> int:
+        """Rewrite the current rows into one version (after very many small merges)."""
+        return self.publish(self.read(), origin="compaction")
 
     # --- files ---------------------------------------------------------------
     def _rows(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
