@@ -132,3 +132,19 @@ def test_a_version_can_be_built_from_the_one_it_replaces(spark, folder):
     t.publish(spark.createDataFrame([(1,), (2,)], "k long"))
     t.publish(t.read().filter("k > 1"))
     assert rows(t.read()) == [(2,)]
+
+
+def test_reading_since_a_moment_skips_unchanged_folders(spark, folder):
+    t = LakeTable(spark, folder, ["m"])
+
+    def arriving(*data):
+        return spark.createDataFrame(data, "k long, m string").withColumn("ts", F.current_timestamp())
+
+    t.upsert(arriving((1, "01"), (2, "02"), (3, "03")), ["k"])
+    mark = t.read().agg(F.max("ts")).first()[0]
+    assert t.read_since(mark).filter(F.col("ts") > F.lit(mark)).isEmpty()
+    t.upsert(arriving((2, "02"), (4, "04")), ["k"])
+    late = t.read_since(mark)
+    assert rows(late.filter(F.col("ts") > F.lit(mark)), "k") == [(2,), (4,)]
+    assert all("version=2" in f for f in late.inputFiles())
+    assert rows(t.read_since(None), "k") == [(1,), (2,), (3,), (4,)]

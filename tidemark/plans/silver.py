@@ -74,7 +74,10 @@ def refresh_table(spark: SparkSession, settings: Settings, table: str) -> dict:
         environment=settings.environment, domain_name=settings.domain, step_name=step, table_name=table,
         source_table=f"bronze.{settings.domain}.{table}", target_table=f"silver.{settings.domain}.{table}",
         watermark_column=fv.INGESTED_AT, previous_watermark=mark, target_path=target.path)
-    fresh = newer_than(LakeTable(spark, settings.table_path("bronze", table), PARTITIONS).read(), mark)
+    source = LakeTable(spark, settings.table_path("bronze", table), PARTITIONS)
+    if not source.exists():
+        return record | dict(status=fv.NO_DATA, input_rows=0, output_rows=0, message="no bronze table")
+    fresh = newer_than(source.read_since(mark), mark)
     arrived, top = fresh.agg(F.count("*"), F.max(fv.INGESTED_AT)).first()
     if not arrived:
         return record | dict(status=fv.NO_DATA, input_rows=0, output_rows=0, new_watermark=mark,

@@ -10,17 +10,25 @@ One writer per table at a time, as in the monthly schedule.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from tidemark.operators.upsert import in_batch, not_in_batch
 
-LOG_SCHEMA = "version bigint, filas bigint, carpetas array<struct<ruta:string,filas:bigint>>, esquema string, origen string, estado string"
+LOG_SCHEMA = "version bigint, filas bigint, carpetas array<struct<ruta:string,filas:bigint>>, esquema string, origen string, estado string, " \
+             "momento bigint"
 FOLDER = r"^.*/(version=[^/]+(?:/[^/]+=[^/]*)*)/[^/]+$"
 
 
+def _now() -> int:
+    """Microseconds since 1970, by the driver's clock (which also stamps ingested rows)."""
+    return time.time_ns() // 1000
+
+
 class EmptyPublication(ValueError):
     """A publication without rows; the current version stays."""
 
@@ -60,15 +68,32 @@ class LakeTable:
             raise FileNotFoundError(f"no version of {self.path} has been published")
         return self._rows([c.ruta for c in state.carpetas], T.StructType.fromJson(json.loads(state.esquema)))
 
+    def read_since(self, mark: datetime | None) -> DataFrame:
+        """Current rows of folders whose merge began after a moment (everything without one).
+
+        With one writer at a time, a merge begins after every row of the merges before
+        it was ingested.  So rows ingested after ``mark``, the newest time among rows
+        already taken, are all here, next to older rows that such a merge rewrote.  The
+        caller still filters rows; this keeps the scan off folders that did not change
+        (timestamps have no statistics in the files by default).
+        """
+        if mark is None:
+            return self.read()
+        later = self.log().filter(F.col("momento") > F.unix_micros(F.lit(mark).cast("timestamp")))
+        versions = {f"version={r.version}" for r in later.select("version").collect()}  # one row per commit
+        state = self.current()
+        folders = [c.ruta for c in state.carpetas if c.ruta.split("/")[0].rsplit(".", 1)[0] in versions]
+        return self._rows(folders, T.StructType.fromJson(json.loads(state.esquema)))
+
     # --- changes -------------------------------------------------------------
     def publish(self, df: DataFrame, origin: str = "") -> int:
         """Replace the table's contents; refuse (and say so in the log) when there are no rows."""
-        _, version = self._state()
+        began, (_, version) = _now(), self._state()
         written = self._write(df, f"version={version}.all")
         if not written:
-            self._commit(version, {}, df.schema, origin, "REFUSED")
+            self._commit(version, {}, df.schema, origin, began, "REFUSED")
             raise EmptyPublication(f"nothing to publish in {self.path}")
-        self._commit(version, written, df.schema, origin)
+        self._commit(version, written, df.schema, origin, began)
         return sum(written.values())
 
     def upsert(self, batch: DataFrame, keys: Sequence[str], origin: str = "") -> int:
@@ -84,7 +109,7 @@ class LakeTable:
         """
         if origin and self.has_batch(origin):
             return {}
-        state, version = self._state()
+        began, (state, version) = _now(), self._state()
         brought = self._write(batch, f"version={version}.new")
         if not brought:
             return {}
@@ -99,7 +124,7 @@ class LakeTable:
                 survivors = not_in_batch(self._rows(touched, old), arrived, keys)
                 folders |= self._write(survivors, f"version={version}.kept")
             folders |= {c: n for c, n in before.items() if c not in touched}
-        self._commit(version, folders, schema, origin)
+        self._commit(version, folders, schema, origin, began)
         return brought
 
     def compact(self) -> int:
@@ -142,10 +167,11 @@ class LakeTable:
         return [r._carpeta for r in hit.collect()]  # at most one row per partition folder
 
     def _commit(self, version: int, folders: dict[str, int], schema: T.StructType, origin: str,
-                status: str = "PUBLISHED") -> None:
+                began: int, status: str = "PUBLISHED") -> None:
         pieces = json.dumps([{"ruta": c, "filas": n} for c, n in sorted(folders.items())])
         entry = self.spark.range(0, 1, 1, 1).select(
             F.lit(version).alias("version"), F.lit(sum(folders.values())).alias("filas"),
             F.from_json(F.lit(pieces), "array<struct<ruta:string,filas:bigint>>").alias("carpetas"),
-            F.lit(schema.json()).alias("esquema"), F.lit(origin).alias("origen"), F.lit(status).alias("estado"))
+            F.lit(schema.json()).alias("esquema"), F.lit(origin).alias("origen"), F.lit(status).alias("estado"),
+            F.lit(began).alias("momento"))
         entry.write.mode("append").json(f"{self.path}/_commits")
