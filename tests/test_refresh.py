@@ -120,6 +120,13 @@ def test_month_end_to_end(spark, lake):
     assert plan.count() == len(FULL) + len(JANUARY)
     assert plan.filter("archive_status = 'ARCHIVED' and por_mover").count() == plan.count()
 
+    moved = plan.filter("table_name <> 'dim_ciudad'")
+    assert bronze.record_archive(spark, settings, moved) == len(FULL) + len(JANUARY) - 1
+    assert rows(bronze.archive_plan(spark, settings), "table_name") == [("dim_ciudad",)]
+    log = audit.read(spark, settings.log_path("bronze"), audit.LOAD_LOG)
+    assert log.filter("archive_status = 'ARCHIVED' and archived_at is not null").count() == len(FULL) + len(JANUARY) - 1
+    assert log.count() == entries.count()
+
     # silver: one pass of the four steps, then nothing new
     tables = [*FULL, *JANUARY]
     summary = silver.refresh(spark, settings, tables)

@@ -220,3 +220,8 @@ def archive_plan(spark: SparkSession, settings: Settings) -> DataFrame:
     log = audit.read(spark, settings.log_path("bronze"), audit.LOAD_LOG)
     return audit.archive_outcomes(audit.pending_archives(log), list_files(spark, settings.landing),
                                   list_files(spark, settings.historic))
+
+
+def record_archive(spark: SparkSession, settings: Settings, outcomes: DataFrame) -> int:
+    """Store the outcomes of an archive plan once its files were moved; returns the loads updated."""
+    return audit.record_archive_outcomes(spark, settings.log_path("bronze"), outcomes)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.operators.dedup import latest_by_key
-from tidemark.operators.upsert import update_only
+from tidemark.operators.upsert import in_batch, update_only
+from tidemark.sources.tables import LakeTable
 
 # fixed values: columns of the two logs and of the step summary
 LOAD_LOG = """
@@ -53,27 +53,26 @@ def entries(spark: SparkSession, schema: str, records: Sequence[Mapping]) -> Dat
 def append(spark: SparkSession, path: str, schema: str, records: Sequence[Mapping]) -> None:
     """Append entries; creates the log when it is the first time, does nothing without entries."""
     if records:
-        entries(spark, schema, records).coalesce(1).write.mode("append").parquet(path)
-
-
-def ensure(spark: SparkSession, path: str, schema: str) -> None:
-    if not _there(spark, path):
-        entries(spark, schema, []).write.mode("append").parquet(path)
-
-
-def _there(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path).limit(0).count()
-        return True
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+        LakeTable(spark, path).append(entries(spark, schema, records).coalesce(1))
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A log; empty when it was never written."""
-    return spark.read.schema(schema).parquet(path) if _there(spark, path) else entries(spark, schema, [])
+    """A log; empty, with its columns, when it was never written."""
+    log = LakeTable(spark, path)
+    return log.read() if log.exists() else entries(spark, schema, [])
+
+
+def record_archive_outcomes(spark: SparkSession, path: str, outcomes: DataFrame) -> int:
+    """Store what became of archived files: an update of their load entries, none is added."""
+    log = LakeTable(spark, path)
+    if not log.exists():
+        return 0
+    done = F.col("archive_status") == fv.ARCHIVED
+    updates = outcomes.select("load_id", "archive_status", "archive_error_message",
+                              F.when(done, F.current_timestamp()).alias("archived_at"),
+                              F.current_timestamp().alias("updated_at"))
+    concerned = in_batch(log.read(), updates, ["load_id"])
+    return log.upsert(apply_archive_updates(concerned, updates), ["load_id"])
 
 
 # --- questions asked of the logs ---------------------------------------------

@@ -26,9 +26,9 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     return reader.csv(paths)
 
 
-def read_json(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """Line-delimited JSON."""
-    return spark.read.schema(schema).json(paths)
+def read_json(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """Line-delimited JSON; without a schema Spark reads the files once more to infer one."""
+    return (spark.read.schema(schema) if schema is not None else spark.read).json(paths)
 
 
 def read_parquet(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:

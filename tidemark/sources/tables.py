@@ -127,6 +127,10 @@ class LakeTable:
         self._commit(version, folders, schema, origin, began)
         return brought
 
+    def append(self, rows: DataFrame) -> int:
+        """Add rows without looking at the ones that are there."""
+        return sum(self.upsert_folders(rows, ()).values())
+
     def compact(self) -> int:
         """Rewrite the current rows into one version (after very many small merges)."""
         return self.publish(self.read(), origin="compaction")
@@ -150,21 +154,23 @@ class LakeTable:
             writer = df.write
         writer.mode("overwrite").parquet(f"{self.path}/{folder}")
         written = self.spark.read.schema(df.schema).option("basePath", self.path).parquet(f"{self.path}/{folder}")
-        counts = written.groupBy(F.regexp_extract("_metadata.file_path", FOLDER, 1).alias("carpeta")).count()
-        return {r.carpeta: r["count"] for r in counts.collect()}  # one row per partition folder
+        per_file = written.groupBy(F.col("_metadata.file_path").alias("archivo")).agg(F.count("*").alias("filas"))
+        per_folder = per_file.groupBy(F.regexp_extract("archivo", FOLDER, 1).alias("carpeta")).agg(F.sum("filas").alias("filas"))
+        return {r.carpeta: r.filas for r in per_folder.collect()}  # one row per partition folder
 
     def _folders_with_keys(self, folders: Sequence[str], schema: T.StructType, batch: DataFrame,
                            keys: Sequence[str]) -> list[str]:
         """Folders holding a key of the batch; a scan of the key columns only."""
         present = [k for k in keys if k in schema.names]
-        if len(present) < len(keys):
+        if not keys or len(present) < len(keys):
             return []
         here = self.spark.read.schema(schema).option("basePath", self.path) \
             .parquet(*[f"{self.path}/{f}" for f in folders]) \
             .select(*[f"`{k}`" for k in keys],
-                    F.regexp_extract("_metadata.file_path", FOLDER, 1).alias("_carpeta"))
-        hit = in_batch(here, batch, keys).select("_carpeta").distinct()
-        return [r._carpeta for r in hit.collect()]  # at most one row per partition folder
+                    F.col("_metadata.file_path").alias("_archivo"))
+        files = in_batch(here, batch, keys).select("_archivo").distinct()
+        hit = files.select(F.regexp_extract("_archivo", FOLDER, 1).alias("carpeta")).distinct()
+        return [r.carpeta for r in hit.collect()]  # at most one row per partition folder
 
     def _commit(self, version: int, folders: dict[str, int], schema: T.StructType, origin: str,
                 began: int, status: str = "PUBLISHED") -> None:
