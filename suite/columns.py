@@ -137,7 +137,7 @@ SELECT tabla, motivo_repartidor, motivo_fecha, motivo_campana, count(*) AS filas
   SELECT 'ventas', NULL, NULL, CASE WHEN campana_id IS NULL THEN 'venta_sin_campana' END FROM header)
 GROUP BY ALL""", "shipped", "header"))
 def null_policy_reason(spark, sf):
-    lake = base_lake(spark, sf, staged=True)
+    lake = base_lake(spark, sf, staged="lines")
     no_carrier_three = F.when(F.col("transportista_id") != "3", F.col("transportista_id"))
     sent = std.explain_nulls("fact_logistica_entregas",
                              lake["fact_logistica_entregas"].withColumn("transportista_id", no_carrier_three))
@@ -185,7 +185,7 @@ SELECT tabla, estado, valido, count(*) AS filas FROM (
     stock_final > 20 FROM stock)
 GROUP BY ALL""", "shipped", "back", "bought", "stock"))
 def domain_valid_flags(spark, sf):
-    lake = base_lake(spark, sf, staged=True)
+    lake = base_lake(spark, sf, staged="lines")
     stock = F.when(F.col("stock_final") > 200, "Sobrestock").when(F.col("stock_final") > 20, "Normal").otherwise("Roto")
     parts = [
         ("entregas", lake["fact_logistica_entregas"], "estado_entrega"),

@@ -135,7 +135,7 @@ LEFT JOIN store USING (tienda_id) LEFT JOIN city USING (ciudad_id) LEFT JOIN pro
 LEFT JOIN category USING (categoria_id) LEFT JOIN reason USING (motivo_devolucion_id)
 """, "m_returns", "header", "placed", "store", "city", "product", "category", "reason"))
 def mart_returns(spark, sf):
-    return marts.returns(silver_lake(spark, sf, staged=True))
+    return marts.returns(silver_lake(spark, sf, staged="lines sales"))
 
 
 @query("mart_marketing", sql(f"""
@@ -191,7 +191,7 @@ FROM m_purchases2 m LEFT JOIN store ON m.tienda_id = store.tienda_id LEFT JOIN p
 LEFT JOIN category ON m.categoria_id = category.categoria_id
 """, "m_purchases2", "store", "product", "category"))
 def mart_purchases(spark, sf):
-    return marts.purchases(silver_lake(spark, sf, staged=True))
+    return marts.purchases(silver_lake(spark, sf, staged="lines"))
 
 
 @query("mart_logistics", sql(f"""
@@ -210,7 +210,7 @@ LEFT JOIN carrier ON m.transportista_id = carrier.transportista_id
 LEFT JOIN city o ON o.ciudad_id = m.ciudad_origen_id LEFT JOIN city d ON d.ciudad_id = m.ciudad_destino_id
 """, "m_logistics", "header", "store", "channel", "carrier", "city"))
 def mart_logistics(spark, sf):
-    return marts.logistics(silver_lake(spark, sf, staged=True))
+    return marts.logistics(silver_lake(spark, sf, staged="lines"))
 
 
 @query("mart_finance", sql(f"""
@@ -228,7 +228,7 @@ SELECT mes_carga, m.tienda_id, {dbl('presupuesto', 'ejecutado', 'costos_presupue
 FROM m_finance m LEFT JOIN store ON m.tienda_id = store.tienda_id
 """, "m_finance", "store"))
 def mart_finance(spark, sf):
-    return marts.finance(silver_lake(spark, sf, staged=True))
+    return marts.finance(silver_lake(spark, sf, staged="lines"))
 
 
 @query("mart_targets", sql(f"""
@@ -248,7 +248,7 @@ SELECT mes_carga, m.tienda_id, {dbl('meta_ventas', 'meta_margen_bruto', 'ventas_
 FROM m_targets m LEFT JOIN store ON m.tienda_id = store.tienda_id
 """, "m_targets", "store"))
 def mart_targets(spark, sf):
-    return marts.targets(silver_lake(spark, sf, staged=True))
+    return marts.targets(silver_lake(spark, sf, staged="lines"))
 
 
 define("kpi", ("m_sales", "m_product", "m_returns", "m_inventory", "m_logistics", "m_marketing", "m_finance", "m_targets"), """
@@ -272,7 +272,7 @@ LEFT JOIN (SELECT mes_carga, sum(meta_ventas) AS meta_ventas, sum(ventas_totales
 
 def month_products(spark, sf):
     """The cores the KPIs start from, over lines that are deduplicated and priced once."""
-    lake = silver_lake(spark, sf, staged=True)
+    lake = silver_lake(spark, sf, staged="lines sales")
     return lake, {name: core(lake) for name, core in marts.CORES.items()}
 
 

@@ -338,11 +338,11 @@ margen_bruto_linea""".split()
 
 # --- the lake ----------------------------------------------------------------------
 
-def base_lake(spark: SparkSession, sf: str, *, staged: bool = False) -> Lake:
+def base_lake(spark: SparkSession, sf: str, *, staged: str = "") -> Lake:
     """Silver inputs by name, before derivation.
 
-    With ``staged`` the priced, deduplicated lines with their order are written once,
-    for jobs that read them more than once: the alternative is to deduplicate and
+    ``staged`` names what a job reads more than once and therefore writes once: "lines"
+    (priced, deduplicated, with their order), "sales" (summed from them); the alternative is to deduplicate and
     join the largest table again for every use.  Dimensions that are groupings of a
     larger table are always written, so that joins know their true size.
     """
@@ -362,11 +362,15 @@ def base_lake(spark: SparkSession, sf: str, *, staged: bool = False) -> Lake:
     def placed() -> DataFrame:
         def build():
             rows = placed_lines(line(), order())
-            return stage(rows.select(*PLACED), "lines") if staged else rows
+            return stage(rows.select(*PLACED), "lines") if "lines" in staged else rows
         return once("placed", build)
 
     def any_lines() -> DataFrame:
-        return placed() if staged else line()
+        return placed() if "lines" in staged else line()
+
+    def header() -> DataFrame:
+        sales = sales_header(any_lines().select(*HEADER_INPUTS), order())
+        return stage(sales, "sales") if "sales" in staged else sales
 
     return Lake({
         "dim_fecha": lambda: dates(order()),
@@ -381,7 +385,7 @@ def base_lake(spark: SparkSession, sf: str, *, staged: bool = False) -> Lake:
         "dim_campana_marketing": lambda: stage(campaigns(spark, sf), "dim_campana_marketing"),
         "dim_transportista": lambda: stage(carriers(spark, sf), "dim_transportista"),
         "dim_motivo_devolucion": lambda: stage(reasons(spark, sf), "dim_motivo_devolucion"),
-        "fact_ventas_cabecera": lambda: sales_header(any_lines().select(*HEADER_INPUTS), order()),
+        "fact_ventas_cabecera": header,
         "fact_ventas_detalle": lambda: sales_line(placed()),
         "fact_devoluciones": lambda: returns(placed()),
         "fact_marketing": lambda: marketing(table(spark, sf, "events")),
@@ -401,7 +405,7 @@ KEYED = ("fact_ventas_cabecera", "fact_ventas_detalle", "fact_devoluciones", "fa
          "fact_logistica_entregas", "fact_marketing")
 
 
-def silver_lake(spark: SparkSession, sf: str, *, staged: bool = False) -> Lake:
+def silver_lake(spark: SparkSession, sf: str, *, staged: str = "") -> Lake:
     """The lake after derivation."""
     base = base_lake(spark, sf, staged=staged)
 

@@ -40,9 +40,12 @@ def flag(c: str | Column) -> Column:
 
 
 def whole_number(c: str | Column) -> Column:
-    """bigint from text, numbers such as '12.0' included; NULL when it is not a number."""
-    text = F.trim(col(c).cast("string"))
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,6)").try_cast("bigint"))
+    """bigint from text, numbers such as '12.0' included; NULL when it is not a number.
+
+    The way over decimal reads both spellings at once: a failed text-to-bigint cast
+    raises and catches an exception per row, which is far slower than a good cast.
+    """
+    return F.trim(col(c).cast("string")).try_cast("decimal(38,6)").try_cast("bigint")
 
 
 def month_key(c: str | Column) -> Column:
