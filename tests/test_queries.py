@@ -4,9 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as lake
+from suite import registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = lake.queries(), lake.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -1,13 +1,12 @@
 """Where a run may write: a folder every executor can reach.
 
 The cluster names a shared folder in ``spark.checkpoint.dir``; runs take a new
-subfolder of it.  Only where that is unset (a local session, as in tests) is a
-temporary folder of this machine used.
+subfolder of it.  Where that is unset, the session's warehouse, which executors
+share as well, holds them.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    return f"{tempfile.gettempdir()}/tidemark-local"
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
