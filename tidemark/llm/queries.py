@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_pairs, line_dedup, piece_counts
+from tidemark.llm import byte_pairs, decontaminate, line_dedup, piece_counts, quality_rules
+from tidemark.workspace import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +36,24 @@ def sha256(column: str):
     return F.sha2(F.coalesce(F.col(column).cast("binary"), F.lit(b"")), 256)
 
 
+@query("op1_decontaminate", f"""
+WITH words AS (
+  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') FROM benchmark),
+sets AS (
+  SELECT DISTINCT side, id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT side, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT id, count(*) AS n FROM sets WHERE side = 'b' GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared, any_value(n) AS n_item
+FROM sets d JOIN sets b ON d.side = 'd' AND b.side = 'b' AND d.s = b.s JOIN sizes ON sizes.id = b.id
+GROUP BY d.id, b.id HAVING 4 * count(*) >= 3 * any_value(n)""")
+def op1_decontaminate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+    return found.select("doc_id", F.inline("found_items"))
+
+
 @query("op3_line_dedup", f"""
 WITH lines AS (
   SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
@@ -61,6 +80,15 @@ def op4_byte_pairs(spark, sf_dir):
         sha256("token_ids").alias("ids_sha256"), sha256("decoded").alias("decoded_sha256"))
 
 
+@query("op5_quality_rules")
+def op5_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    counted = stage(quality_rules.count_texts(docs, keep_text=False), "rule-counts")
+    cutoffs = quality_rules.choose_cutoffs(counted, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(counted, cutoffs).select(
+        "doc_id", *quality_rules.COUNTS[:5], "base_failed", "kept")
+
+
 @query("op8_piece_counts")
 def op8_piece_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
