@@ -45,7 +45,7 @@ def line_hashes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def repeated_lines(docs: DataFrame, min_docs: int, doc_id: str = "doc_id", text: str = "text",
                    keep_first: bool = False) -> DataFrame:
-    """The lines to drop (document, position): those whose key stands in at least ``min_docs`` documents.
+    """The lines to drop (document, position; once per row that repeats them): those whose key stands in at least ``min_docs`` documents.
 
     With ``keep_first`` the occurrence with the smallest (id, text hash, position) stays.
     """
@@ -58,7 +58,7 @@ def repeated_lines(docs: DataFrame, min_docs: int, doc_id: str = "doc_id", text:
     dropped = lines.join(common, list(KEY))
     if keep_first:
         dropped = dropped.filter(F.struct(*DOCUMENT, "_pos") != F.col("_first"))
-    return dropped.select(*DOCUMENT, "_pos").distinct()
+    return dropped.select(*DOCUMENT, "_pos")
 
 
 def drop_bitmaps(dropped: DataFrame) -> DataFrame:
