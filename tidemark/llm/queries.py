@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_pairs, decontaminate, line_dedup, piece_counts, quality_rules
+from tidemark.llm import byte_pairs, decontaminate, line_dedup, piece_counts, quality_model, quality_rules, toxicity
+from tidemark.llm.labels import fold
 from tidemark.workspace import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +18,7 @@ BYTE_PAIR_FILE = "byte_bpe_multi_50k.tiktoken"
 PIECE_FILE = "piece_bpe_32k.model"
 CONTEXT_TOKENS = 4096
 COMMON_LINE_DOCS = 10
+LEAST_SCORE = 0.3
 
 
 def query(name: str, sql: str | None = None):
@@ -54,6 +56,17 @@ def op1_decontaminate(spark, sf_dir):
     return found.select("doc_id", F.inline("found_items"))
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    return _scored(toxicity.score(docs, machine, keep_text=False), fold("doc_id", 4) == 2)
+
+
+def _scored(df: DataFrame, held_out) -> DataFrame:
+    return df.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
+
+
 @query("op3_line_dedup", f"""
 WITH lines AS (
   SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
@@ -89,6 +102,13 @@ def op5_quality_rules(spark, sf_dir):
         "doc_id", *quality_rules.COUNTS[:5], "base_failed", "kept")
 
 
+@query("op6_quality_model")
+def op6_quality_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return _scored(quality_model.score(docs, model, keep_text=False), fold("doc_id", 5) == 0)
+
+
 @query("op8_piece_counts")
 def op8_piece_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
