@@ -27,7 +27,8 @@ DOCUMENT = ("_id", "_text")  # id and hash of the text
 KEY = ("_h1", "_h2")  # 128 bits: two lines of a corpus do not meet by chance
 
 
-def _document(doc_id: str, text: str) -> list[Column]:
+def document(doc_id: str, text: str) -> list[Column]:
+    """What tells a document: its id and a hash of its text."""
     return [F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("_id"),
             F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text")]
 
@@ -39,7 +40,7 @@ def _lines(text: Column) -> Column:
 def line_hashes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per line with a key: document, position from 0 on, hashes of the key."""
     keys = F.transform(_lines(F.translate(text, UPPER, UPPER.lower())), lambda line: F.btrim(line, F.lit(BLANKS)))
-    lines = docs.select(*_document(doc_id, text), F.posexplode(keys).alias("_pos", "_key")).filter("length(_key) > 0")
+    lines = docs.select(*document(doc_id, text), F.posexplode(keys).alias("_pos", "_key")).filter("length(_key) > 0")
     return lines.select(*DOCUMENT, "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2"))
 
 
@@ -81,7 +82,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, doc_id: str = "doc_id", tex
     names = {c: unused_name(left, c) for c in (*DOCUMENT, "_drop")}
     for c, own in names.items():
         bitmaps = bitmaps.withColumnRenamed(c, own)
-    id_column, text_column = _document(doc_id, text)
+    id_column, text_column = document(doc_id, text)
     keyed = left.withColumns({names["_id"]: id_column, names["_text"]: text_column})
     joined = keyed.join(bitmaps, [names["_id"], names["_text"]], "left")
     drop = f"`{names['_drop']}`"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_pairs, decontaminate, line_dedup, piece_counts, quality_model, quality_rules, toxicity
+from tidemark.llm import byte_pairs, decontaminate, line_dedup, piece_counts, quality_model, quality_rules, secret_scan, toxicity, url_filter
 from tidemark.llm.labels import fold
 from tidemark.workspace import stage
 
@@ -19,6 +19,8 @@ PIECE_FILE = "piece_bpe_32k.model"
 CONTEXT_TOKENS = 4096
 COMMON_LINE_DOCS = 10
 LEAST_SCORE = 0.3
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+SPAM_HOSTS = r"(^|\.)(spam-farm|cheap-pills|casino-win)\."  # whose pages' urls make up the list
 
 
 def query(name: str, sql: str | None = None):
@@ -109,9 +111,48 @@ def op6_quality_model(spark, sf_dir):
     return _scored(quality_model.score(docs, model, keep_text=False), fold("doc_id", 5) == 0)
 
 
+def _after_scheme_sql(url: str) -> str:
+    return f"(CASE WHEN strpos({url}, '://') > 0 THEN substring({url}, strpos({url}, '://') + 3) ELSE '' END)"
+
+
+_RULES_SQL = ", ".join(f"('{said}', '{h}', '{p}')" for said, h, p in URL_RULES)
+
+
+@query("op7_url_filter", f"""
+WITH urls AS (SELECT page_id, url, {_after_scheme_sql("url")} AS u FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(u, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(u, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(u, '^[^?#]*\\?([^#]*)', 1) AS q FROM urls),
+canon AS (SELECT *, list_sort([p for p in string_split(q, '&') if length(p) > 0 AND NOT regexp_matches(p, '{url_filter.TRACKING}')]) AS kept,
+  regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\\.', '') AS bare FROM parts),
+named AS (SELECT page_id, host, path, CASE WHEN bare <> '' THEN bare || regexp_replace(path, '/+$', '')
+  || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS c FROM canon),
+listed AS (SELECT DISTINCT c FROM named WHERE regexp_matches(host, '{SPAM_HOSTS}') AND c IS NOT NULL),
+rules(said, h, p) AS (VALUES {_RULES_SQL}),
+fitting AS (SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(said, length(h || p)) AS said
+  FROM named JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT n.page_id, host, path, rule, coalesce(said, CASE WHEN listed.c IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM named n LEFT JOIN fitting f ON n.page_id = f.page_id LEFT JOIN listed ON n.c = listed.c""")
+def op7_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.filter(url_filter.host(F.col("url")).rlike(SPAM_HOSTS)).select("url")
+    return url_filter.block_listed(pages, listed, rules=URL_RULES).drop("url")
+
+
 @query("op8_piece_counts")
 def op8_piece_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
     counted = piece_counts.count_tokens(docs, public_tokenizers.path(PIECE_FILE))
     return counted.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
+
+
+@query("op9_secret_scan")
+def op9_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.find_secrets(docs, keep_text=False)
+
+    def listed(spans: str) -> str:
+        return f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    counts = [F.expr(f"cast(size(filter(secrets, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in secret_scan.KINDS[:3]]
+    return found.select("doc_id", *counts, F.expr(f"sha2({listed("filter(secrets, s -> s.kind <> 'markov')")}, 256)").alias("base_sha256"),
+                        F.expr(listed("secrets")).alias("spans"))
