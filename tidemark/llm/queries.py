@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_pairs, decontaminate, line_dedup, piece_counts, quality_model, quality_rules, secret_scan, toxicity, url_filter
+from tidemark.llm import byte_pairs, decontaminate, jaccard_join, line_dedup, piece_counts, quality_model, quality_rules, secret_scan, toxicity, url_filter
 from tidemark.llm.labels import fold
 from tidemark.workspace import stage
 
@@ -156,3 +156,8 @@ def op9_secret_scan(spark, sf_dir):
     counts = [F.expr(f"cast(size(filter(secrets, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in secret_scan.KINDS[:3]]
     return found.select("doc_id", *counts, F.expr(f"sha2({listed("filter(secrets, s -> s.kind <> 'markov')")}, 256)").alias("base_sha256"),
                         F.expr(listed("secrets")).alias("spans"))
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark, sf_dir):
+    return jaccard_join.classify(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("_id", "doc_id")
