@@ -45,7 +45,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     encoded = byte_pairs.encode(docs, path, public_tokenizers.PATTERN, drop_text=True)
     decoded = byte_pairs.decode(encoded, path)
     return decoded.select("doc_id", "lang", "source", F.expr("cast(octet_length(token_ids) div 4 as bigint)").alias("n_tokens"),
-                          "token_ids", F.decode("decoded", F.lit("UTF-8")).alias("text"))
+                          "token_ids", F.decode("decoded", "UTF-8").alias("text"))
 
 
 STAGES = [("quality_rules", keep_by_rules), ("line_dedup", dedup_lines), ("jaccard_join", one_of_near_copies),
