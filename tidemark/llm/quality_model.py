@@ -31,7 +31,7 @@ REACH = (1, 2)  # neighbours on either side
 SMOOTH = 1e-3  # a word with this share of the corpus counts half
 SAMPLE = 12_000  # labelled documents that training reads at most
 HIDDEN, EPOCHS, RATE, DECAY, SEED = 24, 60, 3e-3, 1e-3, 5
-PERIOD = 1 << 13  # words that are taken at a time
+PERIOD = 1 << 15  # words that are taken at a time
 
 SYMBOLS = re.compile(r"[^\w\s.,;:'\"()?-]+")
 CAPITALS = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{2,}")
@@ -44,6 +44,8 @@ PLACES[:FORMS] = np.arange(FORMS)[:, None]
 SIGNS[:FORMS] = [[1, 0, 0, 0]] * FORMS
 OWN = np.zeros((BUCKETS, WIDTH))
 np.add.at(OWN, (np.arange(BUCKETS)[:, None], PLACES), SIGNS)
+PLACES, SIGNS = np.vstack([PLACES, np.zeros((1, NONZEROS), dtype=int)]), np.vstack([SIGNS, np.zeros((1, NONZEROS), dtype=int)])
+GAP = np.full(REACH[-1], BUCKETS)  # a bucket beyond the others, without a vector
 _MARK_HASHES = np.concatenate([word_hashes(m) for m in MARKS])
 
 
@@ -68,15 +70,19 @@ def buckets(text: str | None) -> np.ndarray:
 def context_cells(docs: DataFrame, text: str = "text") -> DataFrame:
     """Sums over all documents: cell (bucket * (WIDTH + 1) + place, the last place counts the bucket) and total."""
     def run(batches):
-        cells = np.zeros(BUCKETS * (WIDTH + 1))
-        table = cells.reshape(BUCKETS, WIDTH + 1)
+        table = np.zeros((BUCKETS + 1, WIDTH + 1))
         for batch in batches:
             for part in slices(batch, 64):
-                for t in part.column(0).to_pylist():
-                    b = buckets(t)
-                    table[:, WIDTH] += np.bincount(b, minlength=BUCKETS)
-                    for at in range(0, len(b), PERIOD):
-                        _add_neighbours(table, b[max(0, at - REACH[-1]):at + PERIOD])
+                held, size = [GAP], 0
+                for b in map(buckets, part.column(0).to_pylist()):
+                    held += [b, GAP]
+                    size += len(b)
+                    if size >= PERIOD:
+                        _add_words(table, np.concatenate(held))
+                        held, size = [GAP], 0
+                if size:
+                    _add_words(table, np.concatenate(held))
+        cells = table[:BUCKETS].ravel()
         used = np.flatnonzero(cells)
         for at in range(0, len(used), 50_000):
             own = used[at:at + 50_000]
@@ -85,16 +91,16 @@ def context_cells(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, "cell int, total long").groupBy("cell").agg(F.sum("total").alias("total"))
 
 
-def _add_neighbours(table: np.ndarray, b: np.ndarray) -> None:
-    rows, columns, signs = [], [], []
-    for k in REACH:
-        for here, there in ((b[:-k], b[k:]), (b[k:], b[:-k])):
-            rows.append(np.repeat(here, NONZEROS))
-            columns.append(PLACES[there].ravel())
-            signs.append(SIGNS[there].ravel())
-    flat = np.concatenate(rows) * (WIDTH + 1) + np.concatenate(columns)
-    cell, place = np.unique(flat, return_inverse=True)
-    table.reshape(-1)[cell] += np.bincount(place, weights=np.concatenate(signs), minlength=len(cell))
+def _add_words(table: np.ndarray, b: np.ndarray) -> None:
+    """Add to each word's row the sparse vectors of its neighbours, and one to its count; gaps keep documents apart."""
+    side = REACH[-1]
+    for at in range(side, len(b) - side, PERIOD):
+        end = min(at + PERIOD, len(b) - side)
+        here = b[at:end] * (WIDTH + 1)
+        beside = [b[at + k:end + k] for reach in REACH for k in (-reach, reach)]
+        cells = np.concatenate([(here[:, None] + PLACES[there]).ravel() for there in beside] + [here + WIDTH])
+        signs = np.concatenate([SIGNS[there].ravel() for there in beside] + [np.ones(len(here))])
+        table += np.bincount(cells, weights=signs, minlength=table.size).reshape(table.shape)
 
 
 class Vectors:

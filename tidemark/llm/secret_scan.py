@@ -1,7 +1,7 @@
 """Secret scan, DataFrame functions only: patterns, and two character Markov models.
 
 Patterns find assignments, access keys and hex strings.  Their finds are labelled samples of random strings, the other
-long words of the corpus samples of ordinary identifiers; both are counted as character pairs over all documents.
+long words of the corpus samples of ordinary identifiers (but for those to be judged); both are counted as character pairs over all documents.
 A long word of letters and digits whose log-likelihood under the random model exceeds that under the ordinary one by
 ``LEAST_RATIO`` is reported as well, unless it overlaps a pattern's find, which always stays.  Without samples of
 either class only patterns report.
@@ -36,6 +36,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-.
 
 LEAST_LENGTH = 20  # characters of a word that the models judge
 LEAST_RATIO = 10.0
+JUDGED = f"length(value) >= {LEAST_LENGTH} AND value RLIKE '[0-9]' AND value RLIKE '[A-Za-z]'"
 PSEUDO_COUNT = 5.0  # weight of how often a character ends any pair, in the ordinary model
 RANDOM_PRIOR = 500.0  # weight of "all characters alike" in the random model
 
@@ -74,8 +75,11 @@ def passing(found: DataFrame) -> DataFrame:
 
 
 def pair_counts(found: DataFrame) -> DataFrame:
-    """Counts of neighbouring characters in random (1) and ordinary (0) samples; at most the square of ALPHABET rows each."""
-    chars = found.select(F.expr("int(kind < 3)").alias("random"), F.expr("filter(split(value, ''), c -> c <> '')").alias("c"))
+    """Counts of neighbouring characters in random (1) and ordinary (0) samples; at most the square of ALPHABET rows each.
+
+    Words that the models will judge are samples of neither.
+    """
+    chars = found.filter(f"kind < 3 OR NOT ({JUDGED})").select(F.expr("int(kind < 3)").alias("random"), F.expr("filter(split(value, ''), c -> c <> '')").alias("c"))
     pairs = chars.filter("size(c) > 1").select(
         "random", F.expr("inline(transform(arrays_zip(slice(c, 1, size(c) - 1), slice(c, 2, size(c) - 1)), p -> named_struct('a', p.`0`, 'b', p.`1`)))"))
     return pairs.groupBy("random", "a", "b").count()
@@ -92,7 +96,7 @@ def log_ratios(counts: Sequence) -> list[float] | None:
     if not all(any(map(any, table)) for table in seen):
         return None
 
-    random, ordinary = seen
+    ordinary, random = seen
     ends = [sum(row[b] for row in ordinary) + PSEUDO_COUNT / size for b in range(size)]
     usual = [n / sum(ends) for n in ends]
 
@@ -109,8 +113,7 @@ def likelier_random(found: DataFrame, ratios: list[float] | None) -> DataFrame:
     code = f"(instr('{ALPHABET}', c) - 1)"
     total = (f"aggregate(filter(split(value, ''), c -> c <> ''), named_struct('at', -1, 'total', 0D), (s, c) -> named_struct('at', {code}, "
              f"'total', s.total + CASE WHEN s.at < 0 THEN 0D ELSE get({table}, s.at * {len(ALPHABET)} + {code}) END), s -> s.total)")
-    judged = f"length(value) >= {LEAST_LENGTH} AND value RLIKE '[0-9]' AND value RLIKE '[A-Za-z]' AND {total} >= {LEAST_RATIO}"
-    return found.filter(f"kind < 3 OR ({judged})")
+    return found.filter(f"kind < 3 OR ({JUDGED} AND {total} >= {LEAST_RATIO})")
 
 
 def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", out: str = "secrets", keep_text: bool = True) -> DataFrame:
