@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.batches import mix, shingle_set, slices, unused_name
+from tidemark.llm.bloom import with_flag
 from tidemark.llm.components import components
 from tidemark.workspace import stage
 
@@ -101,7 +102,9 @@ def members(docs: DataFrame, clustered: DataFrame, doc_id: str, text: str) -> Da
                      pa.array([s.tobytes() for s in sets], type=pa.binary()),
                      pa.array([group_counts(s) for s in sets], type=pa.list_(pa.int64()))], ["_rep", "_cluster", "_n", "_hashes", "_counts"])
     texts = docs.select(F.col(doc_id).cast("long").alias("_rep"), F.col(text).alias("_t"), F.xxhash64(text).alias("_x"))
-    joined = texts.join(clustered, "_rep").dropDuplicates(["_rep", "_x"]).select("_rep", "_cluster", "_t")
+    # most documents are in no cluster; a Bloom filter keeps their texts out of the shuffle
+    likely = with_flag(texts, "_rep", clustered, "_rep", "_may").filter("_may").drop("_may")
+    joined = likely.join(clustered, "_rep").dropDuplicates(["_rep", "_x"]).select("_rep", "_cluster", "_t")
     return joined.mapInArrow(run, "_rep long, _cluster long, _n long, _hashes binary, _counts array<long>")
 
 
@@ -219,7 +222,8 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     sketched = stage(sketch(docs, doc_id, text), "sketches")
     classes = stage(sketched.filter("_id IS NOT NULL AND _set IS NOT NULL").groupBy("_set").agg(
         F.min("_id").alias("_rep"), F.min_by("_bands", "_id").alias("_bands")), "classes")
-    found = stage(with_blocks(members(docs, clusters(classes), doc_id, text)), "members")
+    found = stage(members(docs, stage(clusters(classes), "clusters"), doc_id, text), "members")
+    found = stage(with_blocks(found), "blocks")
     linked = components(verified(found, block_pairs(found)))
     named = classes.select("_set", "_rep").join(linked.select(F.col("node").alias("_rep"), "component"), "_rep", "left").select(
         "_set", F.coalesce("component", "_rep").alias("_component"))
@@ -230,5 +234,8 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents but those that a document with a smaller id stands for; null ids stay."""
     key = unused_name(docs, "_id")
-    others = classify(docs, doc_id, text).filter("_id > component_id").select(F.col("_id").alias(key)).distinct()
-    return docs.join(others, docs[doc_id] == others[key], "left_anti")
+    others = stage(classify(docs, doc_id, text).filter("_id > component_id").select(F.col("_id").alias(key)).distinct(), "others")
+    may = unused_name(docs, "_may")
+    flagged = with_flag(docs, doc_id, others, key, may)
+    doubtful = flagged.filter(F.col(may)).drop(may)
+    return flagged.filter(~F.col(may)).drop(may).union(doubtful.join(others, doubtful[doc_id] == others[key], "left_anti"))

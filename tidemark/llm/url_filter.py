@@ -3,10 +3,8 @@
 A rule names a host and a path; it fits urls of that host and its subdomains whose path begins with the rule's.  The
 longest fitting rule decides.  All other urls are blocked if their canonical form is listed.
 
-The Bloom filter is built where the list lies: a listed URL sets one bit in each of the eight 64-bit words of one
-block, blocks are OR-ed together by Spark.  Its number of blocks follows the list up to ``MOST_BLOCKS`` (8 MB, so it
-may be broadcast); with a longer list more urls pass it.  What passes goes to an exact hash join with the list, which
-takes the false positives out, so the verdict never depends on the filter.
+The Bloom filter is built where the list lies and has a bounded size.  What passes goes to an exact hash join with the
+list, which takes the false positives out, so the verdict never depends on the filter.
 
 Canonical: scheme and leading ``www.`` dropped, host lower-cased, default ports, fragments and tracking parameters
 dropped, remaining parameters sorted, trailing slashes dropped.  A url that is null or has no ``://`` has an empty host
@@ -16,15 +14,11 @@ and path, fits no rule and is not listed.  Repeated rows are judged alike; furth
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.batches import unused_name
-
-MOST_BLOCKS = 1 << 17
-URLS_A_BLOCK = 32  # 16 bits a URL
-WORDS = 8
+from tidemark.llm.bloom import MOST_BLOCKS, with_flag
 
 # fixed values
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -65,19 +59,6 @@ def rule_for(url: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column
     return rule, verdict
 
 
-def _block_and_bits(name: str, blocks: int) -> list[Column]:
-    key, bits = F.xxhash64(name), F.xxhash64(F.lit(1), name)
-    masks = [F.expr(f"shiftleft(1L, cast(shiftright(_bits, {6 * k}) & 63 as int))").alias(f"_m{k}") for k in range(WORDS)]
-    return [F.pmod(key, F.lit(blocks)).alias("_block"), bits.alias("_bits"), *masks]
-
-
-def bloom_filter(listed: DataFrame, blocks: int) -> DataFrame:
-    """The used blocks of the filter: ``_block`` and eight words."""
-    block, bits, *masks = _block_and_bits("_listed", blocks)
-    return listed.select(block, bits).select("_block", *masks).groupBy("_block").agg(
-        *[F.bit_or(f"_m{k}").alias(f"_w{k}") for k in range(WORDS)])
-
-
 def block_listed(pages: DataFrame, listed: DataFrame, url: str = "url", out: str = "verdict",
                  rules: Sequence[tuple[str, str, str]] = (), most_blocks: int = MOST_BLOCKS) -> DataFrame:
     """The pages with ``host``, ``path``, ``rule`` and ``out`` (columns of those names are replaced); ``listed`` has a column ``url``."""
@@ -86,13 +67,8 @@ def block_listed(pages: DataFrame, listed: DataFrame, url: str = "url", out: str
     rule, verdict = rule_for(F.col(url), rules)
     judged = left.withColumns({"host": host(F.col(url)), "path": path(F.col(url)), "rule": rule, out: verdict, canon: canonical(F.col(url))})
     names = listed.select(canonical(F.col("url")).alias("_listed")).dropna().distinct()
-    blocks = max(1, min(most_blocks, -(-names.count() // URLS_A_BLOCK)))
-    # at most most_blocks rows of nine longs: bounded whatever the list
-    words = F.broadcast(bloom_filter(names, blocks))
     open_urls = judged.filter(f"`{out}` IS NULL").select(F.col(f"`{canon}`").alias("_listed")).dropna().distinct()
-    block, bits, *masks = _block_and_bits("_listed", blocks)
-    probes = open_urls.select("_listed", block, bits).select("_listed", "_block", *masks)
-    passed = probes.join(words, "_block").filter(reduce(lambda a, b: a & b, [F.expr(f"_w{k} & _m{k} = _m{k}") for k in range(WORDS)]))
+    passed = with_flag(open_urls, "_listed", names, "_listed", "_may", most_blocks).filter("_may")
     hits = passed.select("_listed").join(names, "_listed", "left_semi")
     hit = unused_name(left, "_hit")
     found = hits.select(F.col("_listed").alias(canon), F.lit(True).alias(hit))
