@@ -4,7 +4,7 @@ import re
 import cases
 import pytest
 
-from tidemark.llm import secret_scan, url_filter
+from tidemark.llm import bloom, secret_scan, url_filter
 from tidemark.llm.queries import QUERIES, URL_RULES
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -107,8 +107,8 @@ def test_url_filter_empty(spark):
 
 def test_bloom_filter_has_no_false_negative(spark):
     listed = spark.range(5000).selectExpr("concat('h', id, '/p') AS _listed")
-    for blocks in (1, 40, 157):
-        words = url_filter.bloom_filter(listed, blocks)
-        block, bits, *masks = url_filter._block_and_bits("_listed", blocks)
-        probes = listed.select("_listed", block, bits).select("_listed", "_block", *masks).join(words, "_block")
-        assert probes.filter(" AND ".join(f"_w{k} & _m{k} = _m{k}" for k in range(8))).count() == 5000
+    others = spark.range(5000).selectExpr("concat('x', id) AS _listed", "1 AS _w0", "2 AS _block").union(spark.sql("SELECT NULL, 1, 2"))
+    for most in (1, 40, 157):
+        assert bloom.with_flag(listed, "_listed", listed, "_listed", "may", most).filter("may").count() == 5000
+    flagged = bloom.with_flag(others, "_listed", listed, "_listed", "may")
+    assert flagged.columns == [*others.columns, "may"] and flagged.count() == 5001 and flagged.filter("may").count() < 100
