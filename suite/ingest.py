@@ -11,11 +11,12 @@ from suite.sql import define, sql
 from suite.tables import month, text
 from tidemark import fixed_values as fv
 from tidemark.contracts import TableContract, dictionary_rows, dictionary_summary
-from tidemark.plans import bronze
+from tidemark.plans import bronze, silver
 from tidemark.plans.settings import Settings
 from tidemark.sources import audit
 from tidemark.sources.landing import classify
 from tidemark.sources.readers import conform, read_csv, read_json, read_parquet
+from tidemark.sources.tables import LakeTable
 from tidemark.workspace import new_folder
 
 ORDER_CONTRACT = TableContract("orders", (
@@ -156,6 +157,8 @@ SELECT * FROM (
     CASE WHEN strftime(o_orderdate, '%m') = '03' THEN 'FAILED' ELSE 'SUCCESS' END AS estado,
     CASE WHEN strftime(o_orderdate, '%m') = '03' THEN NULL ELSE count(DISTINCT o_orderkey) END AS filas,
     CASE WHEN strftime(o_orderdate, '%m') = '03' THEN 'mes' END AS motivo FROM orders GROUP BY 2)
+UNION ALL SELECT 'fact_pedidos', '05', 'FAILED', NULL, 'columnas'
+UNION ALL SELECT 'fact_pedidos', '06', 'SUCCESS', count(*), NULL FROM customer
 UNION ALL SELECT 'dim_cliente', NULL, 'FAILED', NULL, 'columnas'
 UNION ALL SELECT 'dim_desconocida', NULL, 'FAILED', NULL, 'diccionario'
 UNION ALL SELECT 'dim_vacia', NULL, 'FAILED', NULL, 'vacia'
@@ -181,8 +184,14 @@ def ingest_rejects(spark, sf):
                      "dim_vacia": table(spark, sf, "supplier").select("s_suppkey").filter("s_suppkey < 0"),
                      "dim_pieza": table(spark, sf, "part").select("p_partkey", "p_name")}.items():
         df.write.option("header", True).csv(f"{root}/{name}")
+    # a second file of a month: one lacks columns, one has them in another order
+    customers.write.option("header", True).csv(f"{root}/otros")
+    table(spark, sf, "customer").select(
+        F.lit("2001-06").alias("mes_carga"), (-F.col("c_custkey")).alias("o_orderkey"), F.col("c_acctbal").alias("o_totalprice")
+    ).write.option("header", True).csv(f"{root}/negativos")
+    second = {5: (f"{root}/otros",), 6: (f"{root}/negativos",)}
     contracts = {c.name: c for c in (SALES_CONTRACT, CUSTOMER_CONTRACT, EMPTY_CONTRACT, PART_CONTRACT)}
-    batches = [bronze.Batch("fact_pedidos", f"{m:02d}", "incremental", "csv", (f"{root}/pedidos/mes={m:02d}",))
+    batches = [bronze.Batch("fact_pedidos", f"{m:02d}", "incremental", "csv", (f"{root}/pedidos/mes={m:02d}", *second.get(m, ())))
                for m in range(1, 13)]
     batches += [bronze.Batch(t, None, "full", "csv", (f"{root}/{t}",))
                 for t in ("dim_cliente", "dim_desconocida", "dim_vacia", "dim_pieza")]
@@ -197,8 +206,8 @@ def ingest_rejects(spark, sf):
 
 
 @query("month_alignment_violations", """
-SELECT DISTINCT strftime(o_orderdate, '%Y-%m') || '-01' AS mes_carga FROM orders
-WHERE o_orderkey % 4 = 0 AND strftime(o_orderdate, '%Y-%m') <> '1998-03' ORDER BY 1 LIMIT 5""")
+SELECT strftime(o_orderdate, '%Y-%m') || '-01' AS mes_carga, count(*) AS filas FROM orders
+WHERE o_orderkey % 4 = 0 AND strftime(o_orderdate, '%Y-%m') <> '1998-03' GROUP BY 1""")
 def month_alignment_violations(spark, sf):
     """All orders in the folder of 1998-03, every fourth with its true month: which months do not belong there?"""
     true_month = F.concat(month("o_orderdate"), F.lit("-01"))
@@ -238,7 +247,7 @@ FROM (SELECT o_custkey, strftime(o_orderdate, '%Y') AS y, count(*) AS n, max(o_o
 
 
 @query("audit_latest", sql("""
-SELECT table_name, load_id, status, record_count, strftime(t, '%Y-%m-%d %H:%M:%S') AS updated_at FROM (
+SELECT table_name, load_id, status, record_count, strftime(t, '%Y-%m-%d %H:%M:%S.%f') AS updated_at FROM (
   SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY t DESC) AS rn FROM load_log) WHERE rn = 1""", "load_log"))
 def audit_latest(spark, sf):
     return audit.latest_per(load_log(spark, sf), "table_name").select(
@@ -253,9 +262,9 @@ def pending_archives(spark, sf):
 
 
 @query("archive_status_update", sql("""
-SELECT load_id, status, CASE WHEN y >= '1998' AND odd THEN 'ARCHIVED' WHEN archived THEN 'ARCHIVED' END AS archive_status,
-  strftime(CASE WHEN y >= '1998' AND odd THEN TIMESTAMP '2002-01-02' WHEN archived THEN t END, '%Y-%m-%d %H:%M:%S') AS archived_at,
-  strftime(CASE WHEN y >= '1998' AND odd THEN TIMESTAMP '2002-01-02' ELSE t END, '%Y-%m-%d %H:%M:%S') AS updated_at
+SELECT load_id, status, CASE WHEN y >= '1998' AND odd THEN 'SUCCESS' WHEN archived THEN 'SUCCESS' END AS archive_status,
+  strftime(CASE WHEN y >= '1998' AND odd THEN TIMESTAMP '2002-01-02' WHEN archived THEN t END, '%Y-%m-%d %H:%M:%S.%f') AS archived_at,
+  strftime(CASE WHEN y >= '1998' AND odd THEN TIMESTAMP '2002-01-02' ELSE t END, '%Y-%m-%d %H:%M:%S.%f') AS updated_at
 FROM (SELECT *, source_year AS y, CAST(split_part(load_id, '-', 1) AS BIGINT) % 2 = 1 AS odd FROM load_log)""", "load_log"))
 def archive_status_update(spark, sf):
     """Odd customers' loads since 1998 get archived; each update comes twice and some match no load."""
@@ -274,7 +283,7 @@ def archive_status_update(spark, sf):
 
 
 @query("archive_state", sql("""
-SELECT load_id, table_name, CASE WHEN NOT landed AND NOT historic THEN 'FAILED' ELSE 'ARCHIVED' END AS archive_status, landed AS por_mover,
+SELECT load_id, table_name, CASE WHEN NOT landed AND NOT historic THEN 'FAILED' ELSE 'SUCCESS' END AS archive_status, landed AS por_mover,
   CASE WHEN NOT landed AND NOT historic THEN 'el archivo no esta en raw ni en historico' END AS archive_error_message
 FROM (SELECT *, record_count >= 2 AS landed, top % 4 = 1 AS historic FROM load_log WHERE status = 'SUCCESS' AND NOT archived)""", "load_log"))
 def archive_state(spark, sf):
@@ -292,7 +301,7 @@ def archive_state(spark, sf):
 def step_log(spark, sf) -> DataFrame:
     """A step log with one run per day and event type, clocked by the events."""
     runs = table(spark, sf, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(
-        F.count("*").alias("n"), F.max(F.date_trunc("second", "ts")).cast("timestamp").alias("top"),
+        F.count("*").alias("n"), F.max("ts").cast("timestamp").alias("top"),
         F.count_if(F.col("value") > 50).alias("kept"))
     failed = F.dayofmonth("day") % 5 == 0
     columns = dict(
@@ -307,13 +316,13 @@ def step_log(spark, sf) -> DataFrame:
 
 define("step_log", (), """
 SELECT event_type AS table_name, count(*) AS input_rows, count(*) FILTER (value > 50) AS output_rows,
-  max(date_trunc('second', ts)) AS top, CASE WHEN day(ts) % 5 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+  max(ts) AS top, CASE WHEN day(ts) % 5 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
   CASE WHEN day(ts) % 2 = 0 THEN 'schema_standardization' ELSE 'null_corrections' END AS step_name
 FROM events GROUP BY event_type, CAST(ts AS DATE), day(ts)""")
 
 
 @query("watermark_state", sql("""
-SELECT step_name, table_name, strftime(max(top), '%Y-%m-%d %H:%M:%S') AS watermark FROM step_log WHERE status = 'SUCCESS'
+SELECT step_name, table_name, strftime(max(top), '%Y-%m-%d %H:%M:%S.%f') AS watermark FROM step_log WHERE status = 'SUCCESS'
 GROUP BY ALL""", "step_log"))
 def watermark_state(spark, sf):
     return audit.high_water_marks(step_log(spark, sf))
@@ -321,7 +330,39 @@ def watermark_state(spark, sf):
 
 @query("step_summary", sql("""
 SELECT step_name, table_name, status, input_rows, output_rows, CAST(NULL AS VARCHAR) AS previous_watermark,
-  strftime(top, '%Y-%m-%d %H:%M:%S') AS new_watermark, 'silver' AS target_path,
+  strftime(top, '%Y-%m-%d %H:%M:%S.%f') AS new_watermark, 'silver' AS target_path,
   CASE WHEN status = 'FAILED' THEN 'roto' END AS message FROM step_log""", "step_log"))
 def step_summary(spark, sf):
     return audit.step_summary(step_log(spark, sf))
+
+
+@query("mixed_format_months", """
+SELECT o_orderkey, o_custkey, 3 - CAST(o_orderkey % 3 = 1 AS BIGINT) AS mes FROM orders""")
+def mixed_format_months(spark, sf):
+    """Orders land as json in January, two thirds of them as csv in February, and all but one third as json in March.
+
+    The latest month of a key wins, whatever the formats.
+    """
+    root = new_folder(spark, "mixed")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    o.withColumn("mes", F.lit(1)).write.json(f"{root}/01")
+    o.filter("o_orderkey % 3 <> 0").withColumn("mes", F.lit(2)).write.option("header", True).csv(f"{root}/02")
+    o.filter("o_orderkey % 3 <> 1").withColumn("mes", F.lit(3)).write.json(f"{root}/03")
+    contract = TableContract("fact_mixta", (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("mes", "bigint")), ("o_orderkey",))
+    batches = [bronze.Batch(contract.name, m, "incremental", fmt, (f"{root}/{m}",)) for m, fmt in (("01", "json"), ("02", "csv"), ("03", "json"))]
+    settings = Settings(root, "comercial", "2001")
+    bronze.raise_on_failures(bronze.load_batches(spark, settings, {contract.name: contract}, batches))
+    return LakeTable(spark, settings.table_path("bronze", contract.name), bronze.PARTITIONS).read().select(*contract.column_names)
+
+
+@query("silver_dictionary_table", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders""")
+def silver_dictionary_table(spark, sf):
+    """All orders through bronze and silver as a table that only the dictionary knows."""
+    root = new_folder(spark, "dictionary")
+    as_text(table(spark, sf, "orders")).select(*ORDER_CONTRACT.column_names).write.option("header", True).csv(f"{root}/orders")
+    contracts, settings = {"orders": ORDER_CONTRACT}, Settings(root, "comercial", "2001")
+    bronze.raise_on_failures(bronze.load_batches(
+        spark, settings, contracts, [bronze.Batch("orders", None, "full", "csv", (f"{root}/orders",))]))
+    silver.refresh(spark, settings, contracts)
+    return LakeTable(spark, settings.table_path("silver", "orders"), bronze.PARTITIONS).read().select(*ORDER_CONTRACT.column_names)

@@ -22,7 +22,7 @@ PARTS = (fv.SOURCE_YEAR, fv.SOURCE_MONTH)
 
 @query("dedup_latest", sql("""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-  strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate FROM newest""", "newest"))
+  strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate FROM newest""", "newest"))
 def dedup_latest(spark, sf):
     return latest_by_key(table(spark, sf, "lineitem"), LINE_KEY, LINE_NEWEST)
 
@@ -48,14 +48,14 @@ FIRST, SECOND = datetime(2002, 1, 1), datetime(2002, 2, 1)
 
 @query("bronze_upsert_pk", """
 SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y') AS anio, strftime(o_orderdate, '%m') AS mes,
-  CASE WHEN o_orderkey % 3 = 0 THEN 1.5 ELSE o_totalprice END AS o_totalprice
-FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0""")
+  CASE WHEN o_orderkey % 3 = 0 THEN 1.5 ELSE o_totalprice END AS o_totalprice FROM orders""")
 def bronze_upsert_pk(spark, sf):
-    """Even orders are loaded, then every third order comes with a new price; stored by source year and month."""
+    """Even orders are loaded, then the odd ones, and every third order with a new price; stored by source year and month."""
     o = table(spark, sf, "orders")
     target = LakeTable(spark, new_folder(spark, "bronze-pk"), PARTS)
     target.upsert(landed(o.filter("o_orderkey % 2 = 0"), "o_orderdate", FIRST), ["o_orderkey"])
-    repriced = o.filter("o_orderkey % 3 = 0").withColumn("o_totalprice", F.lit(1.5))
+    new_price = F.when(F.col("o_orderkey") % 3 == 0, 1.5).otherwise(F.col("o_totalprice"))
+    repriced = o.filter("o_orderkey % 2 = 1 OR o_orderkey % 3 = 0").withColumn("o_totalprice", new_price)
     target.upsert(landed(repriced, "o_orderdate", SECOND), ["o_orderkey"])
     return target.read().select("o_orderkey", "o_orderstatus", F.col(fv.SOURCE_YEAR).alias("anio"),
                                 F.col(fv.SOURCE_MONTH).alias("mes"), "o_totalprice")
@@ -78,15 +78,15 @@ def bronze_upsert_hash(spark, sf):
 
 
 @query("schema_evolution_upsert", """
-SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
-  CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority END AS prioridad
-FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 5 = 0""")
+SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 1 OR o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 2 = 1 OR o_orderkey % 5 = 0 THEN o_orderpriority END AS prioridad FROM orders""")
 def schema_evolution_upsert(spark, sf):
     """The second batch lacks a column (updated rows lose it) and brings a new one (old rows lack it)."""
     o = table(spark, sf, "orders")
     target = LakeTable(spark, new_folder(spark, "evolve"))
     target.upsert(o.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_totalprice", "o_orderstatus"), ["o_orderkey"])
-    target.upsert(o.filter("o_orderkey % 5 = 0").select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("prioridad")),
+    rest = o.filter("o_orderkey % 2 = 1 OR o_orderkey % 5 = 0")
+    target.upsert(rest.select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("prioridad")),
                   ["o_orderkey"])
     return target.read()
 
@@ -127,22 +127,20 @@ def late_upsert(spark, sf):
 
 
 @query("publish_gate", """
-SELECT 1 AS version, count(*) AS filas, 'PUBLISHED' AS estado, false AS actual FROM orders
-UNION ALL SELECT 2, 0, 'REFUSED', false
-UNION ALL SELECT 3, count(*), 'PUBLISHED', true FROM orders WHERE o_orderstatus = 'F'""")
+SELECT 1 AS publicacion, o_orderkey, o_orderstatus FROM orders
+UNION ALL SELECT 2, o_orderkey, o_orderstatus FROM orders
+UNION ALL SELECT 3, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'""")
 def publish_gate(spark, sf):
-    """Publish all orders, then nothing (refused, the first version stays), then the finished ones."""
-    o = table(spark, sf, "orders")
-    target = LakeTable(spark, new_folder(spark, "publish"))
-    target.publish(o)
-    try:
-        target.publish(o.filter("o_orderkey < 0"))
-    except EmptyPublication:
-        pass
-    target.publish(o.filter("o_orderstatus = 'F'"))
-    current = target.current().version
-    return target.log().select(F.col("version").cast("int").alias("version"), "filas", "estado",
-                               (F.col("version") == current).alias("actual"))
+    """What readers see after each publication: all orders, then still all (an empty one is refused), then the finished ones."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    target, seen = LakeTable(spark, new_folder(spark, "publish")), []
+    for n, wanted in enumerate(("true", "o_orderkey < 0", "o_orderstatus = 'F'"), 1):
+        try:
+            target.publish(o.filter(wanted))
+        except EmptyPublication:
+            pass
+        seen.append(target.read().withColumn("publicacion", F.lit(n)))
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
 
 
 # --- incremental ------------------------------------------------------------------------------

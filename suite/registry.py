@@ -29,7 +29,7 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.DateType):
             return F.date_format(c, "yyyy-MM-dd").alias(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(f.name)
+            return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(f.name)
         return c
     return df.select(*[shown(f) for f in df.schema.fields])
 

@@ -144,7 +144,15 @@ def test_dictionary_gives_contracts_in_its_own_order(spark):
 
 def test_merge_keys_fall_back():
     assert merge_keys("fact_inventario_mensual", ["tienda_id", "mes_carga", "producto_id"]) == ["mes_carga", "tienda_id", "producto_id"]
-    assert merge_keys("otra", ["x", "_tm_record_hash"]) == ["_tm_record_hash"]
-    assert merge_keys("otra", ["x", "_tm_source_path", "_tm_source_year"]) == ["_tm_source_year", "_tm_source_path"]
-    with pytest.raises(ValueError):
-        merge_keys("otra", ["x"])
+    assert merge_keys("otra", ["x", "y"], TableContract("otra", (), ("y", "x"))) == ["y", "x"]
+    # part of a key is no key, nor is the place a row came from
+    assert merge_keys("fact_inventario_mensual", ["tienda_id", "mes_carga"]) == ["_tm_record_hash"]
+    assert merge_keys("otra", ["x", "_tm_source_path", "_tm_source_year"]) == ["_tm_record_hash"]
+
+
+def test_whole_numbers_never_round(spark):
+    from tidemark.functions.columns import loses_fraction, whole_number
+    texts = ["12.0", "12.7", "12.9999999", "-3.99999999999999999999", "9223372036854775807", "x", "", None, " 5 "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", whole_number("t").alias("n"), loses_fraction("t").alias("lost"))
+    assert [(r.n, r.lost) for r in df.collect()] == [(12, False), (12, True), (12, True), (-3, True), (9223372036854775807, False),
+                                                     (None, False), (None, False), (None, False), (5, False)]

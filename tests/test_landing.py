@@ -109,9 +109,9 @@ def test_archive_round_is_idempotent(spark):
     historic = spark.createDataFrame([("hist/b",)], "path string")
     out = audit.archive_outcomes(audit.pending_archives(log), landed, historic)
     assert rows(out, "load_id", "archive_status", "por_mover") == \
-        [("a", "ARCHIVED", True), ("b", "ARCHIVED", False), ("c", "FAILED", False)]
+        [("a", "SUCCESS", True), ("b", "SUCCESS", False), ("c", "FAILED", False)]
     stamp = datetime(2026, 3, 1)
-    updates = spark.createDataFrame([("a", stamp, "ARCHIVED", None, stamp), ("zz", stamp, "ARCHIVED", None, stamp)],
+    updates = spark.createDataFrame([("a", stamp, "SUCCESS", None, stamp), ("zz", stamp, "SUCCESS", None, stamp)],
                                     "load_id string, archived_at timestamp, archive_status string, "
                                     "archive_error_message string, updated_at timestamp")
     after = audit.apply_archive_updates(log, updates)

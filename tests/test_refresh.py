@@ -1,6 +1,7 @@
 """A small retail month from landed files to reconciled KPIs."""
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from tidemark import fixed_values as fv
@@ -118,21 +119,21 @@ def test_month_end_to_end(spark, lake):
     assert rows(stored, fv.SOURCE_YEAR, fv.SOURCE_MONTH, fv.LOAD_MODE, "venta_id")[0] == ("2026", "01", "incremental", "V1")
     plan = bronze.archive_plan(spark, settings)
     assert plan.count() == len(FULL) + len(JANUARY)
-    assert plan.filter("archive_status = 'ARCHIVED' and por_mover").count() == plan.count()
+    assert plan.filter("archive_status = 'SUCCESS' and por_mover").count() == plan.count()
 
     moved = plan.filter("table_name <> 'dim_ciudad'")
     assert bronze.record_archive(spark, settings, moved) == len(FULL) + len(JANUARY) - 1
     assert rows(bronze.archive_plan(spark, settings), "table_name") == [("dim_ciudad",)]
     log = audit.read(spark, settings.log_path("bronze"), audit.LOAD_LOG)
-    assert log.filter("archive_status = 'ARCHIVED' and archived_at is not null").count() == len(FULL) + len(JANUARY) - 1
+    assert log.filter("archive_status = 'SUCCESS' and archived_at is not null").count() == len(FULL) + len(JANUARY) - 1
     assert log.count() == entries.count()
 
     # silver: one pass of the four steps, then nothing new
     tables = [*FULL, *JANUARY]
     summary = silver.refresh(spark, settings, tables)
-    assert rows(summary.filter("status <> 'SUCCESS'")) == [] and summary.count() == len(tables)
+    assert rows(summary.filter("status <> 'SUCCESS'")) == [] and summary.count() == len(tables) * len(fv.STEPS)
     again = silver.refresh(spark, settings, ["fact_compras"])
-    assert rows(again, "status", "output_rows") == [("NO_DATA", 0)]
+    assert rows(again, "status", "output_rows") == [("NO_DATA", 0)] * len(fv.STEPS)
     lake_tables = gold.silver_lake(spark, settings, {t: "comercial" for t in tables})
     sales = rows(lake_tables["fact_ventas_cabecera"], "venta_id", "mes_carga", "tiene_campana", "campana_null_reason",
                  "estado_venta_codigo", "estado_venta_codigo_valido", fv.SILVER_STEP)
@@ -178,6 +179,7 @@ def test_a_late_correction_reaches_silver_through_the_mark(spark, lake):
     out = gold.silver_lake(spark, other, {"fact_costos_mensual": "finanzas"})["fact_costos_mensual"]
     assert [(r[0], float(r[1])) for r in rows(out, "costo_id", "variacion_costo")] == [("A1", 19.0), ("A9", 1.0)]
     marks = audit.read(spark, other.log_path("silver"), audit.STEP_LOG)
+    marks = marks.filter(F.col("step_name") == fv.STEPS[0])
     assert marks.filter("status = 'SUCCESS'").count() == 2
     assert marks.orderBy("updated_at").collect()[1].previous_watermark is not None
 
@@ -199,5 +201,70 @@ def test_rows_left_between_steps_are_resumed(spark, folder):
 
 def test_nothing_landed_is_logged(spark, folder):
     found = bronze.load(spark, Settings(folder, "shared", "2026"), {})
-    assert rows(found, "status", "table_name") == [("NO_DATA", fv.NO_TABLES)]
+    assert rows(found, "status", "table_name") == [("NO_DATA", fv.NO_FILES)]
     assert rows(silver.refresh(spark, Settings(folder, "shared", "2026"), []), "status") == [("NO_DATA",)]
+
+
+def test_silver_keeps_rows_of_a_table_only_the_dictionary_knows(spark, folder):
+    from pathlib import Path
+
+    from tidemark.contracts import TableContract
+    settings = Settings(folder, "comercial", "2026")
+    landing = Path(folder) / "raw" / "comercial" / "2026"
+    write(landing, None, "fact_nueva", ["a,1", "b,2", "c,3"], ["id", "n"])
+    write(landing, None, "fact_sin_clave", ["1", "1", "2"], ["n"])
+    contracts = {"fact_nueva": TableContract("fact_nueva", (("id", "string"), ("n", "bigint")), ("id",)),
+                 "fact_sin_clave": TableContract("fact_sin_clave", (("n", "bigint"),))}
+    bronze.raise_on_failures(bronze.load(spark, settings, contracts))
+    silver.refresh(spark, settings, contracts)
+    lake = gold.silver_lake(spark, settings, {t: "comercial" for t in contracts})
+    assert rows(lake["fact_nueva"], "id") == [("a",), ("b",), ("c",)]
+    assert rows(lake["fact_sin_clave"], "n") == [(1,), (2,)]
+
+
+def test_one_bad_table_does_not_lose_the_log(spark, folder, monkeypatch):
+    from pathlib import Path
+
+    from tidemark.contracts import TableContract
+    settings = Settings(folder, "comercial", "2026")
+    landing = Path(folder) / "raw" / "comercial" / "2026"
+    contracts = {t: TableContract(t, (("id", "string"),), ("id",)) for t in ("a", "b", "c")}
+    for t in contracts:
+        write(landing, None, t, ["1"], ["id"])
+    bronze.raise_on_failures(bronze.load(spark, settings, contracts))
+    run = silver.run_steps
+
+    def broken(table, *args, **named):
+        if table == "b":
+            raise RuntimeError("roto")
+        return run(table, *args, **named)
+    monkeypatch.setattr(silver, "run_steps", broken)
+    silver.refresh(spark, settings, contracts)
+    log = audit.read(spark, settings.log_path("silver"), audit.STEP_LOG).filter(F.col("step_name") == fv.STEPS[0])
+    assert rows(log, "table_name", "status", "message") == [("a", "SUCCESS", None), ("b", "FAILED", "roto"), ("c", "SUCCESS", None)]
+
+
+def test_files_are_counted_and_refused_one_by_one(spark, folder):
+    from pathlib import Path
+
+    from tidemark.contracts import TableContract
+    settings = Settings(folder, "comercial", "2026")
+    landing = Path(folder) / "raw" / "comercial" / "2026"
+    contract = {"t": TableContract("t", (("id", "string"), ("n", "bigint")), ("id",))}
+    (landing / "01").mkdir(parents=True)
+    for name, text in {"t.csv": "id,n\na,1\nb,2.5\n", "t_01.csv": "n,id\n3,c\n4,d\n5,e\n", "t.json": '{"id": "f"}\n', "t.parquet": "no"}.items():
+        (landing / "01" / name).write_text(text)
+    entries = bronze.load(spark, settings, contract)
+    got = {r.source_file_name: (r.status, r.record_count) for r in entries.collect()}
+    assert got == {"t.csv": ("SUCCESS", 2), "t_01.csv": ("SUCCESS", 3), "t.json": ("FAILED", None), "t.parquet": ("FAILED", None)}
+    assert "n" in entries.filter("source_file_name = 't.csv'").first().error_message
+    stored = LakeTable(spark, settings.table_path("bronze", "t"), bronze.PARTITIONS).read()
+    assert rows(stored, "id", "n") == [("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 5)]
+
+
+def test_log_clock_does_not_depend_on_the_zone(spark):
+    import time
+    from datetime import datetime, timezone
+    entry = audit.entries(spark, audit.STEP_LOG, [{"step_name": "s"}])
+    seconds = entry.select(F.unix_timestamp("created_at")).first()[0]
+    assert abs(seconds - time.time()) < 60 and datetime.now(timezone.utc)

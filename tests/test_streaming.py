@@ -33,3 +33,14 @@ def test_a_replayed_batch_is_skipped(spark, folder):
     assert target.upsert(df, ["k"], origin="checkpoint#0") == 1
     assert target.upsert(df, ["k"], origin="checkpoint#0") == 0
     assert target.current().version == 1
+
+
+def test_a_renewed_checkpoint_loses_nothing(spark, folder):
+    import shutil
+    target, schema = LakeTable(spark, f"{folder}/renewed"), "k int, v string"
+    for k in (1, 2):
+        spark.createDataFrame([(k, "x")], schema).write.mode("overwrite").parquet(f"{folder}/landing{k}")
+        df = spark.read.parquet(f"{folder}/landing{k}")
+        upsert_new_files(spark, f"{folder}/landing{k}", df.schema, target, ["k"], f"{folder}/checkpoint", newest=("v",)).awaitTermination()
+        shutil.rmtree(f"{folder}/checkpoint")
+    assert sorted(r.k for r in target.read().collect()) == [1, 2]

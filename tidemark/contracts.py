@@ -42,10 +42,6 @@ DICTIONARY = TableContract(
 )
 
 
-def spark_type(declared: str | None) -> str:
-    return fv.DICTIONARY_TYPES.get((declared or "").strip(), "string")
-
-
 def dictionary_rows(dictionary: DataFrame, position: str = "posicion") -> DataFrame:
     """The dictionary as one row per column: Spark type, place in the table, key or not."""
     declared = F.trim(F.col("tipo_dato_csv"))
@@ -88,14 +84,14 @@ def is_known(table: str, contracts: dict[str, TableContract]) -> bool:
     return table in contracts or table in fv.TABLES_WITHOUT_DICTIONARY
 
 
-ORIGIN = (fv.SOURCE_YEAR, fv.SOURCE_MONTH, fv.SOURCE_PATH, fv.SOURCE_FILE)
-
+def merge_keys(table: str, columns: Iterable[str], contract: TableContract | None = None) -> list[str]:
+    """Key of an upsert: the contract's key, else the table's fixed key, else the record hash.
 
-def merge_keys(table: str, columns: Iterable[str]) -> list[str]:
-    """Key of an upsert: the first of primary key, record hash and row origin that the frame has."""
+    A key counts only if the frame has all of its columns.  Where a row came from is never
+    a key: a file has many rows.
+    """
     have = set(columns)
-    for choice in (fv.PRIMARY_KEYS.get(table, ()), (fv.RECORD_HASH,), ORIGIN):
-        usable = [c for c in choice if c in have]
-        if usable:
-            return usable
-    raise ValueError(f"{table}: nothing to merge on among {sorted(have)}")
+    for choice in (contract.key if contract else (), fv.PRIMARY_KEYS.get(table, ())):
+        if choice and have.issuperset(choice):
+            return list(choice)
+    return [fv.RECORD_HASH]

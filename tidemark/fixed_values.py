@@ -30,13 +30,13 @@ STEPS = (
     "domain_normalization",
     "business_derivations",
 )
-SUCCESS, FAILED, NO_DATA, ARCHIVED = "SUCCESS", "FAILED", "NO_DATA", "ARCHIVED"
-NO_TABLES = "__NO_TABLES__"
+SUCCESS, FAILED, NO_DATA = "SUCCESS", "FAILED", "NO_DATA"
+ARCHIVED = "SUCCESS"  # what the load log says of a file that was archived
+NO_TABLES, NO_FILES = "__NO_TABLES__", "__NO_FILES__"
 
 # --- files -------------------------------------------------------------------
 FORMATS = ("csv", "json", "parquet")
 TABLES_WITHOUT_DICTIONARY = ("data_dictionary", "manifest", "resumen_mensual_validacion")
-DICTIONARY_TYPES = {"object": "string", "int64": "bigint", "float64": "double"}
 
 # --- column types by name ----------------------------------------------------
 DATES = """

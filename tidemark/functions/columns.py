@@ -40,12 +40,22 @@ def flag(c: str | Column) -> Column:
 
 
 def whole_number(c: str | Column) -> Column:
-    """bigint from text, numbers such as '12.0' included; NULL when it is not a number.
+    """bigint from text, numbers such as '12.0' included, without their fraction; NULL when it is not a number.
 
     The way over decimal reads both spellings at once: a failed text-to-bigint cast
     raises and catches an exception per row, which is far slower than a good cast.
     """
-    return F.trim(col(c).cast("string")).try_cast("decimal(38,6)").try_cast("bigint")
+    return exact_number(c).try_cast("bigint")
+
+
+def exact_number(c: str | Column) -> Column:
+    """A number with up to 18 decimals; further ones are cut off, so that narrowing never rounds up."""
+    return F.regexp_replace(F.trim(col(c).cast("string")), r"(\.\d{18})\d+", "$1").try_cast("decimal(38,18)")
+
+
+def loses_fraction(c: str | Column) -> Column:
+    """Is it a number that is not whole?"""
+    return F.coalesce(exact_number(c) % 1 != 0, F.lit(False))
 
 
 def month_key(c: str | Column) -> Column:

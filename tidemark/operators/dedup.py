@@ -41,7 +41,14 @@ def with_hash_key(df: DataFrame, ignore: Sequence[str] = (fv.INGESTED_AT,)) -> D
 
 def keyed_batch(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """A batch with one row per key, and that key; the record hash where the table has no key."""
-    usable = [k for k in key if k in df.columns]
-    if usable:
-        return latest_by_key(df, usable), usable
-    return latest_by_key(with_hash_key(df), [fv.RECORD_HASH]), [fv.RECORD_HASH]
+    if key and set(key) <= set(df.columns):
+        return latest_by_key(df, key), list(key)
+    return latest_by_hash(with_hash_key(df)), [fv.RECORD_HASH]
+
+
+def latest_by_hash(hashed: DataFrame) -> DataFrame:
+    """The newest row of every record hash; rows with one hash differ in nothing but the time of ingestion."""
+    if fv.INGESTED_AT not in hashed.columns:
+        return hashed.dropDuplicates([fv.RECORD_HASH])
+    place = F.row_number().over(Window.partitionBy(fv.RECORD_HASH).orderBy(F.col(fv.INGESTED_AT).desc_nulls_last()))
+    return hashed.withColumn("_place", place).filter("_place = 1").drop("_place")

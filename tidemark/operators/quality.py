@@ -128,6 +128,7 @@ def worst_first(checks: DataFrame) -> DataFrame:
 
 def raise_on_errors(checks: DataFrame) -> None:
     """Optional gate: stop when any ERROR check failed (the report has one row per check)."""
-    failed = checks.filter("severity = 'ERROR' and status = 'FAIL'").select("table_name", "check_name").take(20)
-    if failed:
-        raise ValueError("quality checks failed: " + ", ".join(f"{r.table_name}.{r.check_name}" for r in failed))
+    failed = checks.filter("severity = 'ERROR' and status = 'FAIL'").select("table_name", "check_name")
+    if total := failed.count():
+        shown = ", ".join(f"{r.table_name}.{r.check_name}" for r in failed.take(20))
+        raise ValueError(f"{total} quality checks failed, such as {shown}")

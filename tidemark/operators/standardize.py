@@ -19,11 +19,6 @@ def type_by_name(df: DataFrame) -> DataFrame:
     return df.select(*[typed(f.name, f.dataType) for f in df.schema.fields])
 
 
-def cast_losses(raw: DataFrame, cast: Column, name: str) -> Column:
-    """Count of cells that had text and lost it in a cast."""
-    return F.count_if(F.col(f"`{name}`").isNotNull() & cast.isNull()).alias(name)
-
-
 def standardize(df: DataFrame) -> DataFrame:
     return type_by_name(blank_to_null(df))
 

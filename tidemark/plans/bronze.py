@@ -1,15 +1,17 @@
 """Bronze: land a year's files of one domain.
 
-All files of one table and month form a batch; all batches of a table are validated in
-one pass and merged in one upsert.  A bad batch is logged as FAILED and the others go
-on; the caller decides whether to raise.
+All files of one table and month form a batch; all batches of a table, whatever their
+formats, are validated in one pass and merged in one upsert, so the latest month wins.
+A bad file is logged as FAILED and the others go on; the caller decides whether to raise.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
@@ -47,9 +49,12 @@ def off_month(expected: str | Column) -> Column:
     return F.col(fv.MONTH).isNotNull() & ~in_month(fv.MONTH, expected)
 
 
-def month_violations(df: DataFrame, expected: str | Column, limit: int = 5) -> DataFrame:
-    """Up to ``limit`` different month keys that do not belong to the folder."""
-    return df.filter(off_month(expected)).select(fv.MONTH).distinct().orderBy(fv.MONTH).limit(limit)
+def month_violations(df: DataFrame, expected: str | Column) -> DataFrame:
+    """Month keys that do not belong to the folder, with their rows."""
+    return df.filter(off_month(expected)).groupBy(fv.MONTH).agg(F.count("*").alias("filas"))
+
+
+EXAMPLES = 5  # months a message names; the rows are all counted
 
 
 @dataclass(frozen=True)
@@ -62,12 +67,6 @@ class Batch:
     fmt: str | None
     paths: tuple[str, ...]
 
-    @property
-    def folder_mark(self) -> str:
-        """How the month shows in the names of partition folders."""
-        return f"{fv.SOURCE_MONTH}={self.month or '__HIVE_DEFAULT_PARTITION__'}"
-
-
 @dataclass
 class Outcome:
     status: str
@@ -80,75 +79,109 @@ def check_columns(table: str, contract: TableContract | None, columns: Sequence[
         raise Rejected(f"{table}: columns {missing} are missing; found {list(columns)}")
 
 
-def open_batch(spark: SparkSession, settings: Settings, contract: TableContract | None, batch: Batch) -> DataFrame:
-    """A batch's rows as text, with its technical columns; raises when contract columns are missing."""
-    paths = list(batch.paths)
-    columns = file_columns(spark, batch.fmt, paths)
-    check_columns(batch.table, contract, columns)
-    raw = read_batch(spark, batch.fmt, paths, columns)
-    if contract:
-        raw = raw.select(*[f"`{c}`" for c in contract.column_names], fv.SOURCE_PATH, fv.SOURCE_FILE)
-    return with_origin(raw, settings.domain, settings.year, batch.month, batch.mode)
+File = tuple[Batch, str]
 
 
-def inspect(raw: DataFrame, contract: TableContract | None) -> dict[str | None, Row]:
-    """Rows, rows of another month and cells lost to casts, per folder month, from one pass over all batches."""
+def open_files(spark: SparkSession, settings: Settings, contract: TableContract | None, batch: Batch) -> tuple[list[DataFrame], dict[File, Outcome]]:
+    """A batch's rows as text with technical columns, one scan per header, and the files without the contract's columns."""
+    frames, refused = [], {}
+    if batch.fmt not in fv.FORMATS:
+        message = f"{batch.table}: format {batch.fmt} is not supported; expected one of {', '.join(fv.FORMATS)}"
+        return [], {(batch, p): Outcome(fv.FAILED, message=message) for p in batch.paths}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for p in batch.paths:
+        try:
+            # a line of JSON names its own columns: the contract's are asked for, and none can be missing from a file
+            columns = contract.column_names if contract and batch.fmt == "json" else file_columns(spark, batch.fmt, [p])
+            check_columns(batch.table, contract, columns)
+            by_header.setdefault(tuple(columns), []).append(p)
+        except Exception as e:  # noqa: BLE001  an unreadable file is an outcome, not the end of the run
+            refused[batch, p] = Outcome(fv.FAILED, message=str(e))
+    for columns, paths in by_header.items():
+        raw = read_batch(spark, batch.fmt, paths, columns)
+        if contract:
+            raw = raw.select(*[f"`{c}`" for c in contract.column_names], fv.SOURCE_PATH, fv.SOURCE_FILE)
+        frames.append(with_origin(raw, settings.domain, settings.year, batch.month, batch.mode))
+    return frames, refused
+
+
+def plain_path(path: str) -> str:
+    """A path the way listings and scans both give it, whatever slashes follow the scheme."""
+    return re.sub("^file:/+", "/", path).rstrip("/")
+
+
+def inspect(raw: DataFrame, contract: TableContract | None) -> list[Row]:
+    """Rows, rows of another month and cells lost to casts, per file, from one pass over all batches of a table."""
     off = F.lit(0)
     if fv.MONTH in raw.columns:
         expected = F.concat(F.col(fv.SOURCE_YEAR), F.lit("-"), F.col(fv.SOURCE_MONTH))
         off = F.count_if(F.col(fv.SOURCE_MONTH).isNotNull() & off_month(expected))
     lost = lost_cells(raw, contract) if contract else []
     cells = F.struct(*lost) if lost else F.lit(None)
-    per_month = raw.groupBy(fv.SOURCE_MONTH).agg(F.count("*").alias("rows"), off.alias("off"), cells.alias("lost"))
-    return {r[fv.SOURCE_MONTH]: r for r in per_month.collect()}  # at most one row per month folder
+    empty = [F.count_if(F.col(f"`{c}`").isNotNull()) for c in (contract.column_names if contract else [])]
+    per_file = raw.groupBy(fv.SOURCE_PATH).agg(
+        F.count("*").alias("rows"), off.alias("off"), cells.alias("lost"), F.array(*empty).cast("array<bigint>").alias("filled"))
+    return per_file.collect()  # one row per file
 
 
 def load_table(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract],
-               batches: Sequence[Batch]) -> dict[Batch, Outcome]:
-    """Validate a table's batches together and merge the good ones in one upsert.
+               batches: Sequence[Batch]) -> dict[File, Outcome]:
+    """Validate a table's files together and merge the good ones in one upsert.
 
     One pass validates all months and one merge looks the keys up in the table,
-    however many month folders were landed.
+    however many month folders and formats were landed.
     """
-    table, fmt = batches[0].table, batches[0].fmt
-    if fmt not in fv.FORMATS:
-        raise Rejected(f"{table}: format {fmt} is not supported; expected one of {', '.join(fv.FORMATS)}")
-    if not is_known(table, contracts):
-        raise Rejected(f"{table} is not in the data dictionary")
-    contract = contracts.get(table)
-    outcomes: dict[Batch, Outcome] = {}
-    opened: dict[Batch, DataFrame] = {}
+    table = batches[0].table
+    files = [(b, p) for b in batches for p in b.paths]
+    if not any(b.fmt in fv.FORMATS for b in batches) or is_known(table, contracts):
+        contract = contracts.get(table)
+    else:
+        return {f: Outcome(fv.FAILED, message=f"{table} is not in the data dictionary") for f in files}
+    outcomes: dict[File, Outcome] = {}
+    opened: list[DataFrame] = []
     for b in batches:
-        try:
-            opened[b] = open_batch(spark, settings, contract, b)
-        except Rejected as e:
-            outcomes[b] = Outcome(fv.FAILED, message=str(e))
+        frames, refused = open_files(spark, settings, contract, b)
+        opened += frames
+        outcomes |= refused
     if not opened:
         return outcomes
-    figures = inspect(_together(opened.values()), contract)
-    good: dict[Batch, DataFrame] = {}
-    for b, raw in opened.items():
-        found = figures.get(b.month)
-        if found is None:
-            outcomes[b] = Outcome(fv.FAILED, message=f"{table}: no rows")
-        elif found.off:
+    raw = _together(opened)
+    owners = {plain_path(p): (b, p) for b, p in files if (b, p) not in outcomes}
+    figures: dict[File, list[Row]] = {f: [] for f in owners.values()}
+    for row in inspect(raw, contract):
+        path = plain_path(row[fv.SOURCE_PATH])
+        while path not in owners:  # a landed path may be a folder of part files
+            path = path.rsplit("/", 1)[0]
+        figures[owners[path]].append(row)
+    good: list[File] = []
+    for (b, p), found in figures.items():
+        off = sum(r.off for r in found)
+        absent = [c for k, c in enumerate(contract.column_names) if not any(r.filled[k] for r in found)] if contract and b.fmt == "json" else []
+        if not found:
+            outcomes[b, p] = Outcome(fv.FAILED, message=f"{table}: no rows")
+        elif absent and (gone := contract.missing(file_columns(spark, b.fmt, [p]))):
+            outcomes[b, p] = Outcome(fv.FAILED, message=f"{table}: columns {gone} are missing")
+        elif off:
             expected = f"{settings.year}-{b.month}"
-            odd = [r[0] for r in month_violations(raw, expected).collect()]
-            outcomes[b] = Outcome(fv.FAILED, message=f"{table}: {found.off} rows outside {expected}: {odd}")
+            here = raw.filter(F.col(fv.SOURCE_PATH).isin([r[fv.SOURCE_PATH] for r in found]))
+            months = month_violations(here, expected)
+            shown = [r[fv.MONTH] for r in months.orderBy(fv.MONTH).limit(EXAMPLES).collect()]
+            outcomes[b, p] = Outcome(fv.FAILED, message=f"{table}: {off} rows of {months.count()} months outside {expected}, such as {shown}")
         else:
-            good[b] = raw
+            good.append((b, p))
     if not good:
         return outcomes
-    technical = [c for c in next(iter(good.values())).columns if c.startswith("_tm_")]
-    shaped = conform(_together(good.values()), contract, keep=technical)
-    rows, keys = keyed_batch(shaped, contract.key if contract else fv.PRIMARY_KEYS.get(table, ()))
-    target = LakeTable(spark, settings.table_path("bronze", table), PARTITIONS)
-    brought = target.upsert_folders(rows, keys)
-    for b in good:
-        cells = figures[b.month].lost
-        lost = {c: n for c, n in cells.asDict().items() if n} if cells else {}
-        outcomes[b] = Outcome(fv.SUCCESS, sum(n for f, n in brought.items() if b.folder_mark in f),
-                              f"cells without a valid value: {lost}" if lost else None)
+    if len(good) < len(owners):
+        bad = [r[fv.SOURCE_PATH] for f in figures if f not in good for r in figures[f]]
+        raw = raw.filter(~F.col(fv.SOURCE_PATH).isin(bad)) if bad else raw
+    technical = [c for c in raw.columns if c.startswith("_tm_")]
+    rows, keys = keyed_batch(conform(raw, contract, keep=technical), contract.key if contract else fv.PRIMARY_KEYS.get(table, ()))
+    LakeTable(spark, settings.table_path("bronze", table), PARTITIONS).upsert(rows, keys)
+    for f in good:
+        cells = Counter()
+        for r in figures[f]:
+            cells.update({c: n for c, n in r.lost.asDict().items() if n} if r.lost else {})
+        outcomes[f] = Outcome(fv.SUCCESS, sum(r.rows for r in figures[f]), f"cells without an exact value: {dict(cells)}" if cells else None)
     return outcomes
 
 
@@ -157,42 +190,49 @@ def _together(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def load_each(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract],
-              batches: Sequence[Batch]) -> dict[Batch, Outcome]:
-    """Load a table's batches together; if that fails, one by one, so that only the bad ones fail."""
+              batches: Sequence[Batch]) -> dict[File, Outcome]:
+    """Load a table's files together; if that fails, one by one, so that only the bad ones fail."""
+    files = [(b, p) for b in batches for p in b.paths]
     try:
         return load_table(spark, settings, contracts, batches)
-    except Exception as e:  # noqa: BLE001  a bad batch is an outcome, not the end of the run
-        if len(batches) == 1 or isinstance(e, Rejected):
-            return {b: Outcome(fv.FAILED, message=str(e)[:2000]) for b in batches}
-    outcomes: dict[Batch, Outcome] = {}
-    for b in batches:
-        outcomes |= load_each(spark, settings, contracts, [b])
+    except Exception as e:  # noqa: BLE001  a bad file is an outcome, not the end of the run
+        if len(files) == 1:
+            return {files[0]: Outcome(fv.FAILED, message=str(e))}
+    outcomes: dict[File, Outcome] = {}
+    for b, p in files:
+        found = load_each(spark, settings, contracts, [replace(b, paths=(p,))])
+        outcomes |= {(b, p): outcome for outcome in found.values()}
     return outcomes
 
 
 def load_batches(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract],
                  batches: Sequence[Batch]) -> DataFrame:
-    """Load batches table by table; returns this run's log entries, one per file, and stores them."""
-    groups: dict[tuple, list[Batch]] = {}
+    """Load batches table by table; returns this run's log entries, one per file.
+
+    A table's entries are stored as soon as it is done.
+    """
+    groups: dict[str, list[Batch]] = {}
     for b in batches:
-        groups.setdefault((b.table, b.fmt), []).append(b)
-    records = []
-    for group in groups.values():
-        for b, outcome in load_each(spark, settings, contracts, group).items():
-            records += [dict(
-                load_id=str(uuid.uuid4()), area=settings.domain, table_name=b.table, load_mode=b.mode,
-                source_year=settings.year, source_month=b.month, source_path=path,
-                source_file_name=path.rsplit("/", 1)[-1], source_format=b.fmt or "",
-                target_table=f"bronze.{settings.domain}.{b.table}", target_path=settings.table_path("bronze", b.table),
-                record_count=outcome.rows, status=outcome.status, error_message=outcome.message,
-                historic_path=settings.historic_path(b.month, path.rsplit("/", 1)[-1])) for path in b.paths]
-    if not records:
-        records.append(dict(load_id=str(uuid.uuid4()), area=settings.domain, table_name=fv.NO_TABLES,
-                            load_mode="full", source_year=settings.year, source_path=settings.landing,
-                            source_file_name="", source_format="", target_table="", target_path="",
-                            record_count=0, status=fv.NO_DATA, error_message="no files landed"))
-    audit.append(spark, settings.log_path("bronze"), audit.LOAD_LOG, records)
-    return audit.entries(spark, audit.LOAD_LOG, records)
+        groups.setdefault(b.table, []).append(b)
+    log_path, all_records = settings.log_path("bronze"), []
+    for table, group in groups.items():
+        records = [dict(
+            load_id=str(uuid.uuid4()), area=settings.domain, table_name=table, load_mode=b.mode,
+            source_year=settings.year, source_month=b.month, source_path=path,
+            source_file_name=path.rsplit("/", 1)[-1], source_format=b.fmt or "",
+            target_table=f"bronze.{settings.domain}.{table}", target_path=settings.table_path("bronze", table),
+            record_count=outcome.rows, status=outcome.status, error_message=outcome.message,
+            historic_path=settings.historic_path(b.month, path.rsplit("/", 1)[-1]))
+            for (b, path), outcome in load_each(spark, settings, contracts, group).items()]
+        audit.append(spark, log_path, audit.LOAD_LOG, records)
+        all_records += records
+    if not all_records:
+        all_records = [dict(load_id=str(uuid.uuid4()), area=settings.domain, table_name=fv.NO_FILES, load_mode="no_data",
+                            source_year=settings.year, source_path=settings.landing, source_file_name=fv.NO_FILES,
+                            source_format="none", target_table="", target_path=log_path, record_count=0, status=fv.NO_DATA,
+                            error_message="no files landed")]
+        audit.append(spark, log_path, audit.LOAD_LOG, all_records)
+    return audit.entries(spark, audit.LOAD_LOG, all_records)
 
 
 def landed_batches(spark: SparkSession, settings: Settings) -> list[Batch]:
@@ -210,9 +250,10 @@ def load(spark: SparkSession, settings: Settings, contracts: dict[str, TableCont
 
 
 def raise_on_failures(entries: DataFrame) -> None:
-    failed = entries.filter(F.col("status") == fv.FAILED).select("source_file_name", "error_message").take(10)
-    if failed:
-        raise Rejected("; ".join(f"{r.source_file_name}: {r.error_message}" for r in failed))
+    bad = entries.filter(F.col("status") == fv.FAILED).select("source_file_name", "error_message")
+    if total := bad.count():
+        shown = "; ".join(f"{r.source_file_name}: {r.error_message}" for r in bad.take(10))
+        raise Rejected(f"{total} files failed, such as {shown}")
 
 
 def archive_plan(spark: SparkSession, settings: Settings) -> DataFrame:

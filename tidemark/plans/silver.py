@@ -7,13 +7,13 @@ finishes rows that an earlier, partial run left behind.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import fixed_values as fv
-from tidemark.contracts import merge_keys
-from tidemark.operators.dedup import latest_by_key
+from tidemark.contracts import TableContract, merge_keys
+from tidemark.operators.dedup import keyed_batch, latest_by_hash, latest_by_key
 from tidemark.operators.measures import derive
 from tidemark.operators.quality import report, stamped
 from tidemark.operators.standardize import add_domain_codes, awaiting, explain_nulls, stamp_step, standardize
@@ -28,11 +28,19 @@ def newer_than(df: DataFrame, mark, column: str = fv.INGESTED_AT) -> DataFrame:
     return df.filter(F.col(column) > F.lit(mark)) if mark is not None and column in df.columns else df
 
 
-def run_step(step: str, table: str, df: DataFrame, *, domain: str, sales: DataFrame | None = None) -> DataFrame:
+def one_row_per_key(table: str, df: DataFrame, contract: TableContract | None) -> DataFrame:
+    """The newest row per key; rows of a table without a key are told by their record hash."""
+    key = merge_keys(table, df.columns, contract)
+    if key != [fv.RECORD_HASH]:
+        return latest_by_key(df, key)
+    return latest_by_hash(df) if fv.RECORD_HASH in df.columns else keyed_batch(df, ())[0]
+
+
+def run_step(step: str, table: str, df: DataFrame, *, domain: str, sales: DataFrame | None = None,
+             contract: TableContract | None = None) -> DataFrame:
     """One step over a frame, stamped."""
     if step == "schema_standardization":
-        typed = standardize(df)
-        return stamp_step(latest_by_key(typed, merge_keys(table, typed.columns)), step, domain)
+        return stamp_step(one_row_per_key(table, standardize(df), contract), step, domain)
     if step == "null_corrections":
         out = explain_nulls(table, df)
     elif step == "domain_normalization":
@@ -45,11 +53,11 @@ def run_step(step: str, table: str, df: DataFrame, *, domain: str, sales: DataFr
 
 
 def run_steps(table: str, df: DataFrame, *, domain: str, after: str | None = None,
-              sales: DataFrame | None = None) -> DataFrame:
+              sales: DataFrame | None = None, contract: TableContract | None = None) -> DataFrame:
     """All steps that follow ``after`` (all four without it), as one lazy plan."""
     start = fv.STEPS.index(after) + 1 if after else 0
     for step in fv.STEPS[start:]:
-        df = run_step(step, table, df, domain=domain, sales=sales)
+        df = run_step(step, table, df, domain=domain, sales=sales, contract=contract)
     return df
 
 
@@ -64,8 +72,11 @@ def _sales(spark: SparkSession, settings: Settings, table: str) -> DataFrame | N
     return sales.read() if sales.exists() else None
 
 
-def refresh_table(spark: SparkSession, settings: Settings, table: str) -> dict:
-    """Carry a table's new bronze rows to silver; returns the run's log record."""
+def refresh_table(spark: SparkSession, settings: Settings, table: str, contract: TableContract | None = None) -> list[dict]:
+    """Carry a table's new bronze rows to silver and finish rows that wait between steps.
+
+    Returns the run's log records, one per step; a failure is a record too.
+    """
     step, log_path = fv.STEPS[0], settings.log_path("silver")
     log = audit.read(spark, log_path, audit.STEP_LOG)
     mark = audit.high_water_mark(log, step, table)
@@ -74,38 +85,62 @@ def refresh_table(spark: SparkSession, settings: Settings, table: str) -> dict:
         environment=settings.environment, domain_name=settings.domain, step_name=step, table_name=table,
         source_table=f"bronze.{settings.domain}.{table}", target_table=f"silver.{settings.domain}.{table}",
         watermark_column=fv.INGESTED_AT, previous_watermark=mark, target_path=target.path)
-    source = LakeTable(spark, settings.table_path("bronze", table), PARTITIONS)
-    if not source.exists():
-        return record | dict(status=fv.NO_DATA, input_rows=0, output_rows=0, message="no bronze table")
-    fresh = newer_than(source.read_since(mark), mark)
-    arrived, top = fresh.agg(F.count("*"), F.max(fv.INGESTED_AT)).first()
-    if not arrived:
-        return record | dict(status=fv.NO_DATA, input_rows=0, output_rows=0, new_watermark=mark,
-                             message="no rows above the mark")
-    done = run_steps(table, fresh, domain=settings.domain, sales=_sales(spark, settings, table))
-    merged = target.upsert(done, merge_keys(table, done.columns))
-    return record | dict(status=fv.SUCCESS, input_rows=arrived, output_rows=merged, new_watermark=top)
-
-
-def resume_table(spark: SparkSession, settings: Settings, table: str) -> int:
+    try:
+        source = LakeTable(spark, settings.table_path("bronze", table), PARTITIONS)
+        if not source.exists():
+            return [record | dict(status=fv.NO_DATA, input_rows=0, output_rows=0, message="no bronze table")]
+        finished = resume_table(spark, settings, table, contract)
+        fresh = newer_than(source.read_since(mark), mark)
+        arrived, top = fresh.agg(F.count("*"), F.max(fv.INGESTED_AT)).first()
+        if not arrived:
+            message = "no rows above the mark"
+            return [record | dict(status=fv.NO_DATA, input_rows=0, output_rows=0, new_watermark=mark, message=message),
+                    *_later_steps(record, finished, finished)]
+        done = run_steps(table, fresh, domain=settings.domain, sales=_sales(spark, settings, table), contract=contract)
+        merged = target.upsert(done, merge_keys(table, done.columns, contract))
+        return [record | dict(status=fv.SUCCESS, input_rows=arrived, output_rows=merged, new_watermark=top),
+                *_later_steps(record, merged + finished, merged + finished)]
+    except Exception as e:  # noqa: BLE001  a bad table is an outcome, not the end of the run
+        return [record | dict(status=fv.FAILED, input_rows=0, output_rows=0, new_watermark=mark, message=str(e))]
+
+
+def _later_steps(record: dict, came: int, went: int) -> list[dict]:
+    """Log records of the steps after the first, which run over the same rows in the same plan."""
+    path = record["target_table"]
+    return [record | dict(step_name=step, source_table=path, status=fv.SUCCESS if came else fv.NO_DATA, input_rows=came,
+                          output_rows=went, watermark_column=None, previous_watermark=None) for step in fv.STEPS[1:]]
+
+
+def resume_table(spark: SparkSession, settings: Settings, table: str, contract: TableContract | None = None) -> int:
     """Finish rows that stopped between steps; returns how many were merged."""
     target, merged = _silver(spark, settings, table), 0
+    if not target.exists() or target.read().filter(F.col(fv.SILVER_STEP) != fv.STEPS[-1]).isEmpty():
+        return 0
     for step in fv.STEPS[:-1]:
         waiting = awaiting(target.read(), step)
         if not waiting.isEmpty():
             done = run_steps(table, waiting, domain=settings.domain, after=step, sales=_sales(spark, settings, table))
-            merged += target.upsert(done, merge_keys(table, done.columns))
+            merged += target.upsert(done, merge_keys(table, done.columns, contract))
     return merged
 
 
-def refresh(spark: SparkSession, settings: Settings, tables: Iterable[str]) -> DataFrame:
-    """Refresh a domain's tables, sales before the returns that look them up; returns the step summary."""
-    ordered = sorted(tables, key=lambda t: (t == "fact_devoluciones", t))
-    records = [refresh_table(spark, settings, t) for t in ordered] or [dict(
-        environment=settings.environment, domain_name=settings.domain, step_name=fv.STEPS[0],
-        table_name=fv.NO_TABLES, input_rows=0, output_rows=0, status=fv.NO_DATA, message="no tables")]
-    audit.append(spark, settings.log_path("silver"), audit.STEP_LOG, records)
-    return audit.step_summary(audit.entries(spark, audit.STEP_LOG, records))
+def refresh(spark: SparkSession, settings: Settings, tables: Iterable[str] | Mapping[str, TableContract]) -> DataFrame:
+    """Refresh a domain's tables, sales before the returns that look them up; returns the step summary.
+
+    Given contracts, their keys count.  Every table's records are stored as soon as it is done.
+    """
+    contracts = tables if isinstance(tables, Mapping) else {}
+    log_path, all_records = settings.log_path("silver"), []
+    for t in sorted(tables, key=lambda t: (t == "fact_devoluciones", t)):
+        records = refresh_table(spark, settings, t, contracts.get(t))
+        audit.append(spark, log_path, audit.STEP_LOG, records)
+        all_records += records
+    if not all_records:
+        all_records = [dict(
+            environment=settings.environment, domain_name=settings.domain, step_name=fv.STEPS[0],
+            table_name=fv.NO_TABLES, input_rows=0, output_rows=0, status=fv.NO_DATA, message="no tables")]
+        audit.append(spark, log_path, audit.STEP_LOG, all_records)
+    return audit.step_summary(audit.entries(spark, audit.STEP_LOG, all_records))
 
 
 def check(spark: SparkSession, settings: Settings, tables: dict[str, DataFrame]) -> DataFrame:

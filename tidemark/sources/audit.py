@@ -38,7 +38,7 @@ def _names(schema: str) -> list[str]:
 
 def entries(spark: SparkSession, schema: str, records: Sequence[Mapping]) -> DataFrame:
     """Log entries as a frame; what a record leaves out is NULL, its clock is set here."""
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    now = datetime.now(timezone.utc)
     names = _names(schema)
     rows = []
     for r in records:

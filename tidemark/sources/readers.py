@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark import fixed_values as fv
 from tidemark.contracts import DICTIONARY, TableContract
-from tidemark.functions.columns import whole_number
+from tidemark.functions.columns import loses_fraction, whole_number
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None,
@@ -83,11 +83,11 @@ def conform(df: DataFrame, contract: TableContract | None, keep: Sequence[str] =
 
 
 def lost_cells(raw: DataFrame, contract: TableContract) -> list[Column]:
-    """Per contract column: cells with text that the cast to the contract type turned into NULL."""
-    return [
-        F.count_if((F.trim(F.col(f"`{n}`").cast("string")) != "") & contract_cast(n, t).isNull()).alias(n)
-        for n, t in contract.columns if t != "string"
-    ]
+    """Per contract column: cells with text that the cast to the contract type turned into NULL or cut a fraction off."""
+    def lost(n: str, t: str) -> Column:
+        gone = (F.trim(F.col(f"`{n}`").cast("string")) != "") & contract_cast(n, t).isNull()
+        return gone | loses_fraction(f"`{n}`") if t == "bigint" else gone
+    return [F.count_if(lost(n, t)).alias(n) for n, t in contract.columns if t != "string"]
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:

@@ -4,13 +4,16 @@ A parquet folder cannot be overwritten while it is being read, and a reader must
 never see half a refresh.  So every change writes new folders and then appends one
 row to the table's commit log; the newest row lists the folders the table
 consists of.  A job that dies before that row leaves the old version current.
-One writer per table at a time, as in the monthly schedule.
+Writers of one table take turns, as in the monthly schedule: folders have names of
+their own, and a commit whose base is no longer the newest version is refused, so a
+second writer gets an error and never takes a write away.
 """
 
 from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -33,6 +36,10 @@ class EmptyPublication(ValueError):
     """A publication without rows; the current version stays."""
 
 
+class WriteConflict(RuntimeError):
+    """Another writer committed since this one read the table; nothing was changed."""
+
+
 class LakeTable:
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
         self.spark, self.path, self.partition_by = spark, path.rstrip("/"), tuple(partition_by)
@@ -41,7 +48,7 @@ class LakeTable:
     def log(self) -> DataFrame:
         """Commits and refused publications, one row each."""
         try:
-            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/_commits")
+            return self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", True).json(f"{self.path}/_commits")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -82,14 +89,14 @@ class LakeTable:
         later = self.log().filter(F.col("momento") > F.unix_micros(F.lit(mark).cast("timestamp")))
         versions = {f"version={r.version}" for r in later.select("version").collect()}  # one row per commit
         state = self.current()
-        folders = [c.ruta for c in state.carpetas if c.ruta.split("/")[0].rsplit(".", 1)[0] in versions]
+        folders = [c.ruta for c in state.carpetas if c.ruta.split("/")[0].split("-")[0] in versions]
         return self._rows(folders, T.StructType.fromJson(json.loads(state.esquema)))
 
     # --- changes -------------------------------------------------------------
     def publish(self, df: DataFrame, origin: str = "") -> int:
         """Replace the table's contents; refuse (and say so in the log) when there are no rows."""
         began, (_, version) = _now(), self._state()
-        written = self._write(df, f"version={version}.all")
+        written = self._write(df, version, "all")
         if not written:
             self._commit(version, {}, df.schema, origin, began, "REFUSED")
             raise EmptyPublication(f"nothing to publish in {self.path}")
@@ -110,19 +117,21 @@ class LakeTable:
         if origin and self.has_batch(origin):
             return {}
         began, (state, version) = _now(), self._state()
-        brought = self._write(batch, f"version={version}.new")
+        old = T.StructType.fromJson(json.loads(state.esquema)) if state is not None else None
+        if old is not None and (absent := [k for k in keys if k not in old.names]):
+            raise ValueError(f"{self.path} has no key column {absent}; its rows could not be found again")
+        brought = self._write(batch, version, "new")
         if not brought:
             return {}
         schema, folders = batch.schema, dict(brought)
         if state is not None:
-            old = T.StructType.fromJson(json.loads(state.esquema))
             schema = T.StructType(old.fields + [f for f in schema.fields if f.name not in old.names])
             arrived = self._rows(list(brought), batch.schema)
             before = {c.ruta: c.filas for c in state.carpetas}
             touched = self._folders_with_keys(list(before), old, arrived, keys)
             if touched:
                 survivors = not_in_batch(self._rows(touched, old), arrived, keys)
-                folders |= self._write(survivors, f"version={version}.kept")
+                folders |= self._write(survivors, version, "kept")
             folders |= {c: n for c, n in before.items() if c not in touched}
         self._commit(version, folders, schema, origin, began)
         return brought
@@ -131,10 +140,6 @@ class LakeTable:
         """Add rows without looking at the ones that are there."""
         return sum(self.upsert_folders(rows, ()).values())
 
-    def compact(self) -> int:
-        """Rewrite the current rows into one version (after very many small merges)."""
-        return self.publish(self.read(), origin="compaction")
-
     # --- files ---------------------------------------------------------------
     def _rows(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         if not folders:
@@ -142,17 +147,18 @@ class LakeTable:
         reader = self.spark.read.schema(schema).option("basePath", self.path)
         return reader.parquet(*[f"{self.path}/{f}" for f in folders]).select(*[f"`{c}`" for c in schema.names])
 
-    def _write(self, df: DataFrame, folder: str) -> dict[str, int]:
+    def _write(self, df: DataFrame, version: int, what: str) -> dict[str, int]:
         """Write, then count what is really there: folder -> rows (footers only).
 
         Rebalancing by the partition columns gives each folder a few files of the
         advisory size instead of one per task, and splits a folder that holds most rows.
         """
+        folder = f"version={version}-{uuid.uuid4().hex}.{what}"
         if self.partition_by:
             writer = df.hint("rebalance", *self.partition_by).write.partitionBy(*self.partition_by)
         else:
             writer = df.write
-        writer.mode("overwrite").parquet(f"{self.path}/{folder}")
+        writer.parquet(f"{self.path}/{folder}")
         written = self.spark.read.schema(df.schema).option("basePath", self.path).parquet(f"{self.path}/{folder}")
         per_file = written.groupBy(F.col("_metadata.file_path").alias("archivo")).agg(F.count("*").alias("filas"))
         per_folder = per_file.groupBy(F.regexp_extract("archivo", FOLDER, 1).alias("carpeta")).agg(F.sum("filas").alias("filas"))
@@ -161,8 +167,7 @@ class LakeTable:
     def _folders_with_keys(self, folders: Sequence[str], schema: T.StructType, batch: DataFrame,
                            keys: Sequence[str]) -> list[str]:
         """Folders holding a key of the batch; a scan of the key columns only."""
-        present = [k for k in keys if k in schema.names]
-        if not keys or len(present) < len(keys):
+        if not keys:
             return []
         here = self.spark.read.schema(schema).option("basePath", self.path) \
             .parquet(*[f"{self.path}/{f}" for f in folders]) \
@@ -180,4 +185,11 @@ class LakeTable:
             F.from_json(F.lit(pieces), "array<struct<ruta:string,filas:bigint>>").alias("carpetas"),
             F.lit(schema.json()).alias("esquema"), F.lit(origin).alias("origen"), F.lit(status).alias("estado"),
             F.lit(began).alias("momento"))
-        entry.write.mode("append").json(f"{self.path}/_commits")
+        if self._state()[1] != version:
+            raise WriteConflict(f"{self.path} changed while version {version} was being made")
+        try:  # one folder per version: of two writers that come this far together, the later one fails
+            entry.write.mode("errorifexists").json(f"{self.path}/_commits/{version}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise WriteConflict(f"{self.path} changed while version {version} was being made") from e

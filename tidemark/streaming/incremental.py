@@ -3,7 +3,8 @@
 ``availableNow`` takes everything that arrived since the last run and ends, so it
 replaces the ingestion high-water mark of the batch refresh: the stream's
 checkpoint remembers which files were taken.  A batch that is replayed after a
-failure carries the same origin and the table skips it.
+failure carries the same origin and the table skips it.  The origin holds the query's
+own id, which a new checkpoint changes even at the same path.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ def upsert_new_files(spark: SparkSession, folder: str, schema: T.StructType, tar
         rows = transform(batch)
         if keep_newest and target.exists():
             rows = rows.unionByName(in_batch(target.read(), rows, keys), allowMissingColumns=True)
-        target.upsert(latest_by_key(rows, keys, newest), keys, origin=f"{checkpoint}#{batch_id}")
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        target.upsert(latest_by_key(rows, keys, newest), keys, origin=f"{query_id}#{batch_id}")
 
     return (
         arriving.writeStream.foreachBatch(merge)
