@@ -6,7 +6,8 @@ where that pair stands; ranks are taken in order, and a merge touches its two ne
 Python worker has met before are not replayed.  Within a word the order is that of the usual encoder: lowest rank
 first, leftmost among equals, and a word that is a token as a whole is that token.
 
-Memory is bounded: the word table of a worker is emptied when it holds ``KNOWN_BYTES``.
+Memory is bounded: the word table of a worker has two generations of ``KNOWN_BYTES`` each.  When the younger is full
+it becomes the older one, and of that one only words that occur again are carried on.
 
 Null texts are empty; an empty text has no ids.  Texts of any length work, also one single long word.
 Repeated rows are encoded like any other; all further columns pass through unchanged.
@@ -26,10 +27,11 @@ from pyspark.sql import DataFrame, types as T
 
 from tidemark.llm.batches import slices
 
-KNOWN_BYTES = 96 << 20
+KNOWN_BYTES = 24 << 20
+KNOWN_PAIRS = 1 << 18
 ROWS = 1000
 FENCE, MERGED = -1, -2
-_COST = 150  # bytes that an entry of the word table takes besides its texts
+_COST = 250  # bytes that an entry of the word table takes besides its texts
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -151,18 +153,23 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.vocabulary, self.pattern = Vocabulary(path), regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit numbers."""
         split = [self.pattern.findall(t) if t else [] for t in texts]
         if self.held > KNOWN_BYTES:
-            self.known, self.held, self.vocabulary.pair_ranks = {}, 0, {}
-        known = self.known
-        met = list({w for words in split for w in words if w not in known})
-        for word, ids in zip(met, replay([w.encode() for w in met], self.vocabulary)):
-            known[word] = ids
-            self.held += len(word) + len(ids) + _COST
+            self.known, self.older, self.held = {}, self.known, 0
+        if len(self.vocabulary.pair_ranks) > KNOWN_PAIRS:
+            self.vocabulary.pair_ranks = {}
+        known, older = self.known, self.older
+        fresh = {w for words in split for w in words if w not in known}
+        again = {w: older[w] for w in fresh if w in older}
+        met = list(fresh.difference(again))
+        again.update(zip(met, replay([w.encode() for w in met], self.vocabulary)))
+        known.update(again)
+        self.held += sum(len(w) + len(ids) + _COST for w, ids in again.items())
         return [b"".join([known[w] for w in words]) for words in split]
 
 
