@@ -43,7 +43,7 @@ def test_repetitive_texts_as_the_library(alphabet):
 
 
 def test_full_word_table_changes_nothing(monkeypatch):
-    monkeypatch.setattr(byte_pairs, "KNOWN_BYTES", 300)
+    monkeypatch.setattr(byte_pairs, "KNOWN_BYTES", 900)
     own = byte_pairs.Encoder(RANKS, P.PATTERN)
     texts = [t for t in cases.texts() if t is None or len(t) < 100_000]
     for t in texts * 2:
