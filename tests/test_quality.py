@@ -43,3 +43,21 @@ def test_gate_stops_on_failed_errors(spark):
     twice = {"dim_ciudad": spark.createDataFrame([("c",), ("c",)], "ciudad_id string")}
     with pytest.raises(ValueError, match="dim_ciudad.primary_key_unique"):
         quality.raise_on_errors(quality.report(twice, spark))
+
+
+def test_key_checks_equal_the_separate_ones(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (None, None), (3, "c")], "k int, v string")
+    for keys in (["k"], ["k", "v"]):
+        found = {r.check_name: r.failing_count for r in quality.key_checks("t", df, keys).collect()}
+        assert found["primary_key_unique"] == quality.unique_key("t", df, keys).first().failing_count == 2
+        assert found == {r.check_name: r.failing_count for r in quality.row_checks("t", df, keys).collect()} | {"primary_key_unique": 2}
+    assert quality.key_checks("t", df.filter("k > 9"), ["k"]).filter("failing_count > 0").first().check_name == "table_not_empty"
+
+
+def test_parents_come_from_the_own_domain_else_from_shared(spark):
+    child = {"dim_tienda": spark.createDataFrame([("t", "c")], "tienda_id string, ciudad_id string")}
+    city = lambda c: {"dim_ciudad": spark.createDataFrame([(c,)], "ciudad_id string")}
+    for own, shared, status in (({}, city("c"), "PASS"), ({}, city("x"), "FAIL"), (city("c"), city("x"), "PASS"), ({}, {}, "SKIPPED")):
+        report = quality.report({**child, **own}, spark, shared=shared)
+        assert rows(report.filter("check_name = 'fk_ciudad_id_to_dim_ciudad_ciudad_id'"), "status") == [(status,)]
+        assert own or report.filter("table_name = 'dim_ciudad'").isEmpty()

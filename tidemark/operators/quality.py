@@ -38,16 +38,36 @@ def unique_key(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _labelled(counts, table, "primary_key_unique", f"PK unica por {key_text(keys)}")
 
 
+def key_checks(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Key uniqueness, null keys and emptiness from one grouping by the key."""
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("_rows")).select(any_null.alias("_null"), "_rows")
+    found = per_key.agg(F.count_if(F.col("_rows") > 1).alias("_twice"),
+                        F.coalesce(F.sum(F.when(F.col("_null"), F.col("_rows"))), F.lit(0)).alias("_nulls"),
+                        F.when(F.count("*") == 0, 1).otherwise(0).cast("bigint").alias("_empty"))
+    results = F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(said).alias("description"), F.col(c).alias("failing_count"))
+                        for name, said, c in (("primary_key_unique", f"PK unica por {key_text(keys)}", "_twice"),
+                                              ("primary_key_not_null", f"PK no nula por {key_text(keys)}", "_nulls"),
+                                              ("table_not_empty", "La tabla Silver debe tener registros", "_empty"))])
+    return _as_checks(found.select(F.inline(results)), table)
+
+
+def _as_checks(rows: DataFrame, table: str) -> DataFrame:
+    return rows.select(F.lit(table).alias("table_name"), "check_name", F.lit("ERROR").alias("severity"),
+                       F.col("failing_count").cast("bigint").alias("failing_count"), "description")
+
+
 def row_checks(table: str, df: DataFrame, keys: Sequence[str] = (),
-               identities: Sequence[tuple[str, str, float]] = ()) -> DataFrame:
+               identities: Sequence[tuple[str, str, float]] = (), emptiness: bool = True) -> DataFrame:
     """Null keys, emptiness and arithmetic identities of one table in a single pass."""
     names, counters = [], []
     if keys:
         names.append(("primary_key_not_null", f"PK no nula por {key_text(keys)}"))
         any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         counters.append(F.count_if(any_null))
-    names.append(("table_not_empty", "La tabla Silver debe tener registros"))
-    counters.append(F.when(F.count("*") == 0, 1).otherwise(0).cast("bigint"))
+    if emptiness:
+        names.append(("table_not_empty", "La tabla Silver debe tener registros"))
+        counters.append(F.when(F.count("*") == 0, 1).otherwise(0).cast("bigint"))
     for description, residual, tolerance in identities:
         names.append(("arithmetic_consistency", description))
         counters.append(F.count_if(F.abs(F.expr(residual).cast("double")) > tolerance))
@@ -55,9 +75,7 @@ def row_checks(table: str, df: DataFrame, keys: Sequence[str] = (),
     results = F.array(*[
         F.struct(F.lit(n).alias("check_name"), F.lit(d).alias("description"), F.col(f"_{i}").alias("failing_count"))
         for i, (n, d) in enumerate(names)])
-    return one_row.select(F.inline(results)).select(
-        F.lit(table).alias("table_name"), "check_name", F.lit("ERROR").alias("severity"),
-        F.col("failing_count").cast("bigint").alias("failing_count"), "description")
+    return _as_checks(one_row.select(F.inline(results)), table)
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -82,10 +100,10 @@ def report(tables: Mapping[str, DataFrame], spark: SparkSession, *,
            keys: Mapping[str, Sequence[str]] = fv.PRIMARY_KEYS,
            references: Sequence[tuple[str, str, str, str]] = tuple(fv.FOREIGN_KEYS),
            identities: Sequence[tuple[str, str, str, float]] = tuple(fv.IDENTITIES),
-           note_skipped: bool = True) -> DataFrame:
-    """All checks over a set of tables.
+           note_skipped: bool = True, shared: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """All checks over a set of tables; parents of references come from them, else from ``shared``.
 
-    A reference with a missing side is reported as SKIPPED (or left out with
+    Shared tables are only looked up, not checked again.  A reference with a missing side is reported as SKIPPED (or left out with
     ``note_skipped=False``), never silently passed.
     """
     if not tables:
@@ -97,12 +115,14 @@ def report(tables: Mapping[str, DataFrame], spark: SparkSession, *,
         key = [k for k in keys.get(name, ()) if k in df.columns]
         own = [(d, e, t) for table, d, e, t in identities if table == name]
         if key:
-            parts.append(unique_key(name, df, key))
-        parts.append(row_checks(name, df, key, own))
+            parts.append(key_checks(name, df, key))
+        if own or not key:
+            parts.append(row_checks(name, df, (), own, emptiness=not key))
+    parents = {**(shared or {}), **tables}
     for child, column, parent, parent_column in references:
-        if child in tables and parent in tables and column in tables[child].columns \
-                and parent_column in tables[parent].columns:
-            parts.append(reference_check(child, tables[child], column, parent, tables[parent], parent_column))
+        if child in tables and parent in parents and column in tables[child].columns \
+                and parent_column in parents[parent].columns:
+            parts.append(reference_check(child, tables[child], column, parent, parents[parent], parent_column))
         elif note_skipped and child in tables:
             skipped.append((child, f"fk_{column}_to_{parent}_{parent_column}", "INFO", None, "Tabla o columna ausente"))
     if skipped:

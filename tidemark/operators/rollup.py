@@ -16,12 +16,14 @@ class Lake(Mapping):
     Values may be frames or functions that build one when first asked for.
     ``keyed`` names the tables whose primary key is known to be unique (they were
     written by a keyed upsert): there ``count`` replaces the far costlier
-    ``count(distinct)``.
+    ``count(distinct)``.  ``rolled`` holds published products by name: sums over a coarser
+    grain are taken from them instead of the facts, where that is exact.
     """
 
     def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]], keyed: Iterable[str] = ()):
         self._tables = dict(tables)
         self.keyed = frozenset(keyed)
+        self.rolled: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         found = self._tables[name]
@@ -67,5 +69,16 @@ def monthly(facts: DataFrame, *grain: str, **measures: Column) -> DataFrame:
     )
 
 
+def summed(lake: Lake, fact: str, product: str, *grain: str, **measures: tuple[str, Column]) -> DataFrame:
+    """Measures of a fact by month and ``grain``: from the published product if its rows add up to them.
+
+    A measure is named by its column in the product and by what it is over the fact.  Counts
+    of rows add up only where the fact's key is unique.
+    """
+    if product in lake.rolled and fact in lake.keyed:
+        return lake.rolled[product].groupBy(fv.MONTH, *grain).agg(*[F.sum(c).alias(name) for name, (c, _) in measures.items()])
+    return monthly(lake[fact], *grain, **{name: over_fact for name, (_, over_fact) in measures.items()})
+
+
 def with_ratios(df: DataFrame, **pairs: tuple[str, str]) -> DataFrame:
     return df.withColumns({name: ratio(top, bottom) for name, (top, bottom) in pairs.items()})

@@ -27,6 +27,9 @@ PRODUCT_DOMAIN = {
 }
 
 
+ROLLED_FROM = ("mart_ventas_mensual", "mart_ventas_producto_mensual")
+
+
 def product_table(spark: SparkSession, settings: Settings, name: str) -> LakeTable:
     return LakeTable(spark, settings.in_domain(PRODUCT_DOMAIN[name]).table_path("gold", name))
 
@@ -38,9 +41,17 @@ def publish(spark: SparkSession, settings: Settings, name: str, df: DataFrame) -
 
 
 def refresh(spark: SparkSession, settings: Settings, lake: Lake) -> DataFrame:
-    """Publish every product, then KPIs and checks from the *published* products."""
-    summary = [(name, publish(spark, settings, name, build(lake))) for name, build in marts.PRODUCTS.items()]
-    published = {n: product_table(spark, settings, n).read() for n in marts.KPI_SOURCES}
+    """Publish every product, then KPIs and checks from the *published* products.
+
+    Sales and product sales come first: what later products say about sales is rolled up
+    from them, so each fact is scanned once.  The checks keep reading silver.
+    """
+    summary, made = [], Lake(dict(lake), lake.keyed)
+    for name, build in marts.PRODUCTS.items():
+        summary.append((name, publish(spark, settings, name, build(made))))
+        if name in ROLLED_FROM:
+            made.rolled[name] = product_table(spark, settings, name).read()
+    published = {n: product_table(spark, settings, n).read() for n in marts.kpi_measures()}
     kpi = "mart_kpis_ejecutivos_mensual"
     summary.append((kpi, publish(spark, settings, kpi, marts.kpis(published))))
     checks = gold_checks(product_table(spark, settings, kpi).read(), lake)

@@ -9,16 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions.columns import mean
-from tidemark.operators.rollup import Lake, hits, monthly, total, with_ratios
+from tidemark.operators.rollup import Lake, hits, monthly, summed, total, with_ratios
 from tidemark.plans import dims
 
 MES_TIENDA = [fv.MONTH, "tienda_id"]
 
 
+def sales_by(lake: Lake, *grain: str, **measures: tuple[str, Column]) -> DataFrame:
+    return summed(lake, "fact_ventas_cabecera", "mart_ventas_mensual", *grain, **measures)
+
+
 # --- commercial --------------------------------------------------------------
 
 def sales_core(lake: Lake) -> DataFrame:
@@ -95,15 +99,15 @@ def returns_core(lake: Lake) -> DataFrame:
     """
     place = ["tienda_id", "ciudad_id"]
     article = [*place, "categoria_id", "producto_id"]
-    store_sales = monthly(
-        lake["fact_ventas_cabecera"], *place,
-        numero_ventas=lake.rows_of("fact_ventas_cabecera"),
-        ventas_totales=total("valor_total"),
-        margen_bruto=total("margen_bruto"),
+    store_sales = sales_by(
+        lake, *place,
+        numero_ventas=("numero_ventas", lake.rows_of("fact_ventas_cabecera")),
+        ventas_totales=("ventas_totales", total("valor_total")),
+        margen_bruto=("margen_bruto", total("margen_bruto")),
     )
-    lines_sold = monthly(
-        lake["fact_ventas_detalle"], *article,
-        total_lineas_vendidas=lake.rows_of("fact_ventas_detalle"),
+    lines_sold = summed(
+        lake, "fact_ventas_detalle", "mart_ventas_producto_mensual", *article,
+        total_lineas_vendidas=("lineas_vendidas", lake.rows_of("fact_ventas_detalle")),
     )
     met = (
         returns_measures(lake)
@@ -239,8 +243,7 @@ def logistics_core(lake: Lake) -> DataFrame:
         peso_total_kg=total("peso_estimado_kg"),
         costo_envio_total=total("costo_envio"),
     )
-    sold = monthly(lake["fact_ventas_cabecera"], "tienda_id", "canal_id",
-                   ventas_totales_asociadas=total("valor_total"))
+    sold = sales_by(lake, "tienda_id", "canal_id", ventas_totales_asociadas=("ventas_totales", total("valor_total")))
     return with_ratios(
         shipped.join(sold, [*MES_TIENDA, "canal_id"], "left"),
         entregas_a_tiempo_pct=("entregas_a_tiempo", "entregas"),
@@ -259,12 +262,12 @@ def logistics(lake: Lake) -> DataFrame:
 # --- finance -----------------------------------------------------------------
 
 def store_month_sales(lake: Lake) -> DataFrame:
-    return monthly(
-        lake["fact_ventas_cabecera"], "tienda_id",
-        ventas_totales=total("valor_total"),
-        ventas_sin_iva=total("base_neta_sin_iva"),
-        margen_bruto=total("margen_bruto"),
-        numero_ventas=lake.rows_of("fact_ventas_cabecera"),
+    return sales_by(
+        lake, "tienda_id",
+        ventas_totales=("ventas_totales", total("valor_total")),
+        ventas_sin_iva=("ventas_sin_iva", total("base_neta_sin_iva")),
+        margen_bruto=("margen_bruto", total("margen_bruto")),
+        numero_ventas=("numero_ventas", lake.rows_of("fact_ventas_cabecera")),
     )
 
 
@@ -332,26 +335,22 @@ def targets(lake: Lake) -> DataFrame:
 
 # --- executive KPIs ----------------------------------------------------------
 
-# month-level sums (or, marked, averages) taken from each product
-KPI_SOURCES = {
-    "mart_ventas_mensual": "ventas_totales ventas_sin_iva margen_bruto numero_ventas",
-    "mart_ventas_producto_mensual": "unidades_vendidas",
-    "mart_devoluciones_mensual": "devoluciones valor_reintegrado",
-    "mart_inventario_mensual": "cobertura_dias_promedio:avg productos_bajo_reorden",
-    "mart_logistica_mensual": "entregas entregas_a_tiempo costo_envio_total",
-    "mart_marketing_mensual": "gasto_marketing ventas_atribuidas_valor",
-    "mart_finanzas_mensual": "presupuesto ejecutado costos_reales",
-    "mart_objetivos_mensual": "meta_ventas ventas_totales:as:ventas_objetivo_totales",
-}
+def _sums(*columns: str) -> list[Column]:
+    return [total(c).alias(c) for c in columns]
 
 
-def _month_level(mart: DataFrame, spec: str) -> DataFrame:
-    measures = []
-    for item in spec.split():
-        column, *rest = item.split(":")
-        how = mean(column) if rest == ["avg"] else total(column)
-        measures.append(how.alias(rest[1] if rest[:1] == ["as"] else column))
-    return mart.groupBy(fv.MONTH).agg(*measures)
+# what each product contributes to a month; a function, as columns need a session
+def kpi_measures() -> dict[str, list[Column]]:
+    return {
+        "mart_ventas_mensual": _sums("ventas_totales", "ventas_sin_iva", "margen_bruto", "numero_ventas"),
+        "mart_ventas_producto_mensual": _sums("unidades_vendidas"),
+        "mart_devoluciones_mensual": _sums("devoluciones", "valor_reintegrado"),
+        "mart_inventario_mensual": [mean("cobertura_dias_promedio").alias("cobertura_dias_promedio"), *_sums("productos_bajo_reorden")],
+        "mart_logistica_mensual": _sums("entregas", "entregas_a_tiempo", "costo_envio_total"),
+        "mart_marketing_mensual": _sums("gasto_marketing", "ventas_atribuidas_valor"),
+        "mart_finanzas_mensual": _sums("presupuesto", "ejecutado", "costos_reales"),
+        "mart_objetivos_mensual": [*_sums("meta_ventas"), total("ventas_totales").alias("ventas_objetivo_totales")],
+    }
 
 
 def kpis(products: Mapping[str, DataFrame]) -> DataFrame:
@@ -360,10 +359,10 @@ def kpis(products: Mapping[str, DataFrame]) -> DataFrame:
     Coverage is the plain average over inventory rows of the product, as users
     of the lake know it, not an average weighted by stock.
     """
-    first, *others = KPI_SOURCES
-    board = _month_level(products[first], KPI_SOURCES[first])
-    for name in others:
-        board = board.join(_month_level(products[name], KPI_SOURCES[name]), fv.MONTH, "left")
+    board = None
+    for name, measures in kpi_measures().items():
+        months = products[name].groupBy(fv.MONTH).agg(*measures)
+        board = months if board is None else board.join(months, fv.MONTH, "left")
     refunded = F.coalesce(F.col("valor_reintegrado"), F.lit(0))
     return with_ratios(
         board.withColumn("ventas_netas", F.col("ventas_totales") - refunded),

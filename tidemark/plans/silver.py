@@ -143,8 +143,9 @@ def refresh(spark: SparkSession, settings: Settings, tables: Iterable[str] | Map
     return audit.step_summary(audit.entries(spark, audit.STEP_LOG, all_records))
 
 
-def check(spark: SparkSession, settings: Settings, tables: dict[str, DataFrame]) -> DataFrame:
-    """Run and publish the quality report of a set of silver tables."""
+def check(spark: SparkSession, settings: Settings, tables: dict[str, DataFrame],
+          shared: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Run and publish the quality report of a domain's silver tables; their parents may lie in ``shared``."""
     published = LakeTable(spark, settings.table_path("silver", "silver_quality_checks"))
-    published.publish(stamped(report(tables, spark), settings.environment, settings.domain))
+    published.publish(stamped(report(tables, spark, shared=shared), settings.environment, settings.domain))
     return published.read()
