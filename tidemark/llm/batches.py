@@ -7,11 +7,11 @@ hashes of its words.  Everything is numpy over the bytes of a block, so no Pytho
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame
 
 BLOCK_BYTES = 1 << 20
 SHINGLE = 5
@@ -91,15 +91,17 @@ def shingle_set(text: str | None) -> np.ndarray:
     return shingle_hashes(word_hashes(text))
 
 
-def map_texts(df: DataFrame, schema: T.StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
-    """Apply a function batch by batch; ``make`` runs once per task and loads what the function needs."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = None
-        for batch in batches:
-            for part in slices(batch):
-                step = step or make()
-                yield step(part)
-    return df.mapInArrow(run, schema)
+ROWS_KEY, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """The frame; its session hands texts to Python in batches of 1,000 rows, unless it has a setting of its own.
+
+    Spark's 10,000 rows of text are tens of megabytes outside the heap for every task and every Python step in it.
+    """
+    if df.sparkSession.conf.get(ROWS_KEY, None) is None:
+        df.sparkSession.conf.set(ROWS_KEY, ROWS)
+    return df
 
 
 def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:

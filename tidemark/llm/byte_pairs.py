@@ -25,11 +25,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from tidemark.llm.batches import slices
+from tidemark.llm.batches import in_batches, slices
 
 KNOWN_BYTES = 24 << 20
 KNOWN_PAIRS = 1 << 18
-ROWS = 1000
+ROWS = 200
 FENCE, MERGED = -1, -2
 _COST = 250  # bytes that an entry of the word table takes besides its texts
 
@@ -196,7 +196,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
                 encoded = pa.array(coder.encode(part.column(at).to_pylist()), type=pa.binary())
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in picked], encoded], [f.name for f in schema.fields])
 
-    return docs.mapInArrow(run, schema)
+    return in_batches(docs).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -214,4 +214,4 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in picked], pa.array(texts, type=pa.binary())],
                                                  [f.name for f in schema.fields])
 
-    return df.mapInArrow(run, schema)
+    return in_batches(df).mapInArrow(run, schema)

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.batches import SHINGLE, shingle_hashes, shingle_set, slices, word_hashes
+from tidemark.llm.batches import SHINGLE, in_batches, shingle_hashes, shingle_set, slices, word_hashes
 
 SHARE = (3, 4)  # at least three quarters
 SLICE_BYTES = 32 << 20
@@ -126,7 +126,7 @@ def _find_slice(docs: DataFrame, items: DataFrame, text: str, found: str, keep_t
                 hits = pa.array([index.find(x) for x in part.column(at).to_pylist()], type=arrow)
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in picked], hits], [f.name for f in schema.fields])
 
-    return docs.mapInArrow(run, schema)
+    return in_batches(docs).mapInArrow(run, schema)
 
 
 def without_items(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:

@@ -18,7 +18,7 @@ How it is spread:
 
 Words are runs of anything but ASCII white space, A-Z lower-cased; a text of fewer than five words is one shingle; null
 and empty texts have no shingles and are linked with nothing.  Documents are told by ``doc_id``: rows that repeat id
-and text are one document, a null id is linked with nothing and has no class.  Further columns pass through.
+and text are one document, rows of one id with different texts share that id's place, a null id is linked with nothing and has no class.  Further columns pass through.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.batches import mix, shingle_set, slices, unused_name
+from tidemark.llm.batches import in_batches, mix, shingle_set, slices, unused_name
 from tidemark.llm.bloom import with_flag
 from tidemark.llm.components import components
 from tidemark.workspace import stage
@@ -79,7 +79,7 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                      pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], type=pa.binary()),
                      pa.array([bands(s) if len(s) else None for s in sets], type=pa.list_(pa.int64()))],
                     ["_id", "n_shingles", "_set", "_bands"])
-    return docs.select(F.col(doc_id).cast("long").alias("_id"), text).mapInArrow(
+    return in_batches(docs.select(F.col(doc_id).cast("long").alias("_id"), text)).mapInArrow(
         run, "_id long, n_shingles long, _set binary, _bands array<long>")
 
 
@@ -105,7 +105,7 @@ def members(docs: DataFrame, clustered: DataFrame, doc_id: str, text: str) -> Da
     # most documents are in no cluster; a Bloom filter keeps their texts out of the shuffle
     likely = with_flag(texts, "_rep", clustered, "_rep", "_may").filter("_may").drop("_may")
     joined = likely.join(clustered, "_rep").dropDuplicates(["_rep", "_x"]).select("_rep", "_cluster", "_t")
-    return joined.mapInArrow(run, "_rep long, _cluster long, _n long, _hashes binary, _counts array<long>")
+    return in_batches(joined).mapInArrow(run, "_rep long, _cluster long, _n long, _hashes binary, _counts array<long>")
 
 
 def with_blocks(found: DataFrame) -> DataFrame:

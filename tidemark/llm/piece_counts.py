@@ -21,7 +21,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, types as T
 
-from tidemark.llm.batches import slices
+from tidemark.llm.batches import in_batches, slices
 
 CHUNK = 16_384
 OVERLAP = 256
@@ -138,4 +138,4 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
                 counts = pa.array([model.count(x, chunk, overlap) for x in part.column(at).to_pylist()], type=pa.int64())
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in picked], counts], [f.name for f in schema.fields])
 
-    return docs.mapInArrow(run, schema)
+    return in_batches(docs).mapInArrow(run, schema)

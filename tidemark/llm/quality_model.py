@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.batches import mix, shingle_set, slices, word_hashes
+from tidemark.llm.batches import in_batches, mix, shingle_set, slices, word_hashes
 from tidemark.llm.labels import labelled_sample
 
 BUCKETS, WIDTH, NONZEROS = 1 << 13, 32, 4
@@ -88,7 +88,7 @@ def context_cells(docs: DataFrame, text: str = "text") -> DataFrame:
             own = used[at:at + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array(own, type=pa.int32()), pa.array(cells[own].astype(np.int64))], ["cell", "total"])
 
-    return docs.select(text).mapInArrow(run, "cell int, total long").groupBy("cell").agg(F.sum("total").alias("total"))
+    return in_batches(docs.select(text)).mapInArrow(run, "cell int, total long").groupBy("cell").agg(F.sum("total").alias("total"))
 
 
 def _add_words(table: np.ndarray, b: np.ndarray) -> None:
@@ -190,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, mark: str = "qua
                      pa.array([int(h[0] >> np.uint64(1)) if len(h := shingle_set(t)) else None for t in texts], type=pa.int64())],
                     ["_id", "_mark", "_pooled", "_copy"])
 
-    rows = picked.mapInArrow(pooled, "_id long, _mark int, _pooled binary, _copy long").toPandas().sort_values(["_id", "_pooled"])
+    rows = in_batches(picked).mapInArrow(pooled, "_id long, _mark int, _pooled binary, _copy long").toPandas().sort_values(["_id", "_pooled"])
     rows = rows[~rows.duplicated("_copy") | rows["_copy"].isna()]
     x = np.array([np.frombuffer(p) for p in rows["_pooled"]]).reshape(len(rows), 2 * WIDTH + 1)
     return vectors, fit(x, rows["_mark"].to_numpy(dtype=float))
@@ -212,4 +212,4 @@ def score(docs: DataFrame, model: tuple[Vectors, Network], text: str = "text", o
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in picked], pa.array(net.score(x), type=pa.float64())],
                                                  [f.name for f in schema.fields])
 
-    return docs.mapInArrow(run, schema)
+    return in_batches(docs).mapInArrow(run, schema)

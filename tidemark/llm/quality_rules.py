@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.batches import slices, unused_name
+from tidemark.llm.batches import in_batches, slices, unused_name
 
 # fixed values
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -93,7 +93,7 @@ def count_texts(docs: DataFrame, text: str = "text", keep_text: bool = True) ->
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in picked], *[pa.array(c, type=pa.int64()) for c in counted]],
                                                  [f.name for f in schema.fields])
 
-    return docs.mapInArrow(run, schema)
+    return in_batches(docs).mapInArrow(run, schema)
 
 
 def _level(rule: str) -> Column:

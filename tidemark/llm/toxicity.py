@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.batches import mix, shingle_set, slices, word_hashes
+from tidemark.llm.batches import in_batches, mix, shingle_set, slices, word_hashes
 from tidemark.llm.labels import labelled_sample
 
 TERM = re.compile(r"[^\W\d_]+")
@@ -126,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, mark: str = "tox
                     [part.column(0), part.column(2), pa.array([terms(t).tobytes() for t in texts], type=pa.binary()),
                      pa.array([near_copy_marks(t) for t in texts], type=pa.list_(pa.int64()))], ["_id", "_mark", "_terms", "_copies"])
 
-    rows = picked.mapInArrow(hashed, T.StructType([
+    rows = in_batches(picked).mapInArrow(hashed, T.StructType([
         T.StructField("_id", T.LongType()), T.StructField("_mark", T.IntegerType()), T.StructField("_terms", T.BinaryType()),
         T.StructField("_copies", T.ArrayType(T.LongType()))]))
     met, own, marks = set(), [], []
@@ -152,4 +152,4 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", out: str = "sco
                 scores = pa.array([shared.value.score(t) for t in part.column(at).to_pylist()], type=pa.float64())
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in picked], scores], [f.name for f in schema.fields])
 
-    return docs.mapInArrow(run, schema)
+    return in_batches(docs).mapInArrow(run, schema)
