@@ -3,7 +3,6 @@ from collections import defaultdict
 
 import cases
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup
 
@@ -55,5 +54,7 @@ def test_empty(spark):
 
 def test_query_digests_the_kept_text(spark):
     from tidemark.llm.queries import QUERIES
-    r = QUERIES["op3_line_dedup"](spark, "/root/testdata/sf0.001").orderBy("doc_id").first()
-    assert len(r.kept_sha256) == len(hashlib.sha256(b"").hexdigest()) and F is not None
+    sf = "/root/testdata/sf0.001"
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    want = {i: (n, dropped, hashlib.sha256(kept.encode()).hexdigest()) for i, n, dropped, kept in brute(texts, 10)}
+    assert {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in QUERIES["op3_line_dedup"](spark, sf).collect()} == want
