@@ -38,7 +38,7 @@ from tidemark.workspace import stage
 SHARE = (75, 100)
 GROUPS = 64
 BANDS, ROWS = 48, 3
-BLOCK_SETS, BLOCK_SHINGLES = 2048, 1 << 20
+BLOCK_SETS, BLOCK_SHINGLES = 2048, 1 << 19
 LEAF, FANOUT = 32, 16
 STRIP = 1.1  # sizes of a block's sets differ by this factor at most
 AT_A_TIME = 4096  # shingles hashed at a time
