@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and returns a frame, which is written as
 one's docs.  All but the last return the columns of ``documents``:
 
 * quality rules: documents that fail the base rules or a certified cutoff go;
-* line dedup: of a line that stands in ten documents or more only the first occurrence stays; no document goes;
+* line dedup: of a line that stands in ten documents or more only the first occurrence stays; documents that lose all
+  their words by that go, those that had none before stay;
 * near duplicates: of documents linked by a word-shingle similarity of 0.75 or more the one with the smallest id stays;
 * decontamination: documents that hold three quarters of a benchmark item's shingles go;
 * token ids: the documents with ``token_ids`` (little-endian 32-bit numbers) instead of text, and what they decode to.
@@ -29,7 +30,9 @@ def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(docs, COMMON_LINE_DOCS, keep_first=True).select(docs.columns)
+    # a dropped line has a word, so what has dropped lines and no word now had one before
+    left = line_dedup.dedup_lines(docs, COMMON_LINE_DOCS, keep_first=True)
+    return left.filter((F.col("n_dropped") == 0) | (F.length(F.btrim("text", F.lit(line_dedup.BLANKS))) > 0)).select(docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
