@@ -6,7 +6,8 @@ one's docs.  All but the last return the columns of ``documents``:
 * quality rules: documents that fail the base rules or a certified cutoff go;
 * line dedup: of a line that stands in ten documents or more only the first occurrence stays; documents that lose all
   their words by that go, those that had none before stay;
-* near duplicates: of documents linked by a word-shingle similarity of 0.75 or more the one with the smallest id stays;
+* near duplicates: of documents linked by a word-shingle similarity of 0.75 or more the one with the smallest id stays,
+  rows that repeat id and text stay once;
 * decontamination: documents that hold three quarters of a benchmark item's shingles go;
 * token ids: the documents with ``token_ids`` (little-endian 32-bit numbers) instead of text, and what they decode to.
 """

@@ -5,6 +5,7 @@ import random
 import cases
 
 import corpus_pipeline
+from tidemark.llm import jaccard_join
 
 
 def both_stages(spark, docs):
@@ -25,3 +26,22 @@ def test_groups_of_copies_leave_one_document(spark):
     # near copies: the first stays whole, and of the others the own line, which all link with one another
     assert [r for r in got if 200 <= r[0] < 300] == [rows[12], (201, f"own1 {near[3]}")]
     assert [r for r in got if r[0] >= 300] == [(300, " \n"), (301, ""), (302, None)]
+
+
+def test_one_row_of_each_class(spark):
+    rng = random.Random(23)
+    a, b, c, d = (cases.prose(rng, 60) for _ in range(4))
+    rows = [(4, a, "en")] * 9 + [(4, a, "de"), (7, a, "en"), (7, b, "en"), (8, a.upper() + " x", "en"), (None, a, "en")]  # 7: copy and own text
+    rows += [(None, c, "fr"), (None, c, "en"), (9, d, "en"), (None, d, "en"), (10, "", "en"), (10, "", "en"), (11, None, "en"), (12, "", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    for frame in (docs, docs.selectExpr("*", "1 AS _own", "2 AS _number", "3 AS _may", "4 AS _id")):
+        kept = jaccard_join.one_of_each(frame)
+        assert kept.columns == frame.columns
+        got = sorted((tuple(r)[:3] for r in kept.collect()), key=repr)
+        assert got == sorted([(4, a, "de"), (7, b, "en"), (None, c, "en"), (9, d, "en"), (10, "", "en"), (11, None, "en"), (12, "", "en")], key=repr)
+
+
+def test_repeated_rows_with_plain_ids(spark):
+    rows = [(i % 3, f"text number {i % 3} with some words more") for i in range(30)] + [(5, "TEXT number 0 with some words more")]
+    kept = jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == rows[:3]

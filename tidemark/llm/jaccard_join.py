@@ -18,7 +18,8 @@ How it is spread:
 
 Words are runs of anything but ASCII white space, A-Z lower-cased; a text of fewer than five words is one shingle; null
 and empty texts have no shingles and are linked with nothing.  Documents are told by ``doc_id``: rows that repeat id
-and text are one document, rows of one id with different texts share that id's place, a null id is linked with nothing and has no class.  Further columns pass through.
+and text are one document, rows of one id with different texts share that id's place, a null id is linked with nothing and has no class.
+``one_of_each`` tells documents by id and text.  Further columns pass through.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.batches import in_batches, mix, shingle_set, slices, unused_name
 from tidemark.llm.bloom import with_flag
@@ -231,11 +232,55 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         "_id", "n_shingles", F.coalesce("_component", "_id").alias("component_id"))
 
 
+def _document(doc_id: str, text: str) -> list[Column]:
+    """What tells a document in ``one_of_each``, in its order: id, null ids last, then 128 bits of hash of the text."""
+    own = F.col(doc_id).cast("long")
+    return [own.isNull().alias("_none"), F.coalesce(own, F.lit(0)).alias("_own"), F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")]
+
+
+def without_repeats(docs: DataFrame, told: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The documents, of rows that repeat id and text the first by their further columns; ``told`` has the documents with their ``_rows``."""
+    repeated = stage(told.filter("_rows > 1").drop("_rows"), "repeated")
+    if repeated.isEmpty():
+        return docs
+    names = {c: unused_name(docs, c) for c in repeated.columns}
+    may, place, rest = unused_name(docs, "_may"), unused_name(docs, "_place"), [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
+    keyed = docs.withColumns(dict(zip(names.values(), _document(doc_id, text))))
+    flagged = with_flag(keyed, names["_h1"], repeated, "_h1", may)
+    # the limit of one row a document is also taken before the shuffle, so a document of very many rows is no hot key
+    order = F.to_json(F.struct(*rest)) if rest else F.lit(0)
+    first = flagged.filter(F.col(may)).withColumn(place, F.row_number().over(Window.partitionBy(*names.values()).orderBy(order))).filter(F.col(place) == 1)
+    return stage(flagged.filter(~F.col(may)).select(docs.columns).union(first.select(docs.columns)), "single-rows")
+
+
+def with_numbers(docs: DataFrame, told: DataFrame, doc_id: str, text: str, number: str) -> DataFrame:
+    """The documents with a ``number`` of their own that follows the order of documents: the id, if no id is null or has several texts."""
+    several = told.groupBy("_none", "_own").agg(F.count("*").alias("_texts")).filter("_none OR _texts > 1")
+    if several.isEmpty():
+        return docs.withColumn(number, F.col(doc_id).cast("long"))
+    key = told.columns[:4]
+    order = told.select(key).repartitionByRange(*key).sortWithinPartitions(*key)
+    numbers = stage(order.withColumn(number, F.monotonically_increasing_id()), "numbers")
+    names = {c: unused_name(docs, c) for c in key}
+    for c, own in names.items():
+        numbers = numbers.withColumnRenamed(c, own)
+    keyed = docs.withColumns(dict(zip(names.values(), _document(doc_id, text))))
+    return stage(keyed.join(numbers, list(names.values())).select(*docs.columns, number), "numbered")
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents but those that a document with a smaller id stands for; null ids stay."""
-    key = unused_name(docs, "_id")
-    others = stage(classify(docs, doc_id, text).filter("_id > component_id").select(F.col("_id").alias(key)).distinct(), "others")
-    may = unused_name(docs, "_may")
-    flagged = with_flag(docs, doc_id, others, key, may)
+    """One row of each component: of the document with the smallest id, null ids last, and of its texts the one with the smallest hash.
+
+    Documents are told by id and text here, so an id's texts stay or go each for itself, and null ids are linked like others.
+    Rows that repeat id and text are one document and leave one row, without shingles as well.
+    """
+    told = stage(docs.select(_document(doc_id, text)).groupBy("_none", "_own", "_h1", "_h2").agg(F.count("*").alias("_rows")), "documents")
+    number = unused_name(docs, "_number")
+    numbered = with_numbers(without_repeats(docs, told, doc_id, text), told, doc_id, text, number)
+    key = unused_name(numbered, "_id")
+    others = stage(classify(numbered, number, text).filter("_id > component_id").select(F.col("_id").alias(key)).distinct(), "others")
+    may = unused_name(numbered, "_may")
+    flagged = with_flag(numbered, number, others, key, may)
     doubtful = flagged.filter(F.col(may)).drop(may)
-    return flagged.filter(~F.col(may)).drop(may).union(doubtful.join(others, doubtful[doc_id] == others[key], "left_anti"))
+    kept = flagged.filter(~F.col(may)).drop(may).union(doubtful.join(others, doubtful[number] == others[key], "left_anti"))
+    return kept.drop(number)
