@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_pairs, decontaminate, jaccard_join, line_dedup, piece_counts, quality_model, quality_rules, secret_scan, toxicity, url_filter
+from tidemark.llm import byte_pairs, collocations, curve_packing, decontaminate, jaccard_join, line_dedup, piece_counts, quality_model, quality_rules, secret_scan, token_alignment, toxicity, url_filter
 from tidemark.llm.labels import fold
 from tidemark.workspace import stage
 
@@ -16,6 +16,8 @@ ORACLES: dict[str, str] = {}
 
 BYTE_PAIR_FILE = "byte_bpe_multi_50k.tiktoken"
 PIECE_FILE = "piece_bpe_32k.model"
+WORD_FILE = "word_bpe_49k.json"
+BYTE_FILE = "byte_bpe_50k.json"
 CONTEXT_TOKENS = 4096
 COMMON_LINE_DOCS = 10
 LEAST_SCORE = 0.3
@@ -161,3 +163,21 @@ def op9_secret_scan(spark, sf_dir):
 @query("op10_jaccard_join")
 def op10_jaccard_join(spark, sf_dir):
     return jaccard_join.classify(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("_id", "doc_id")
+
+
+@query("op11_curve_packing")
+def op11_curve_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = curve_packing.pack(docs, public_tokenizers.path(WORD_FILE))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.align(docs, public_tokenizers.path(BYTE_FILE), public_tokenizers.path(PIECE_FILE), public_tokenizers.PATTERN)
+
+
+@query("op13_collocations")
+def op13_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
