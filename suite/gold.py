@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from suite.registry import query
 from suite.sql import dbl, define, share, sql, whole
 from suite.tables import base_lake, silver_lake
-from tidemark.plans import dims, marts
+from tidemark import fixed_values as fv
+from tidemark.plans import dims, gold, marts
+from tidemark.plans.bronze import PARTITIONS
 from tidemark.plans.reconcile import gold_checks
+from tidemark.plans.settings import Settings
+from tidemark.sources.tables import LakeTable
+from tidemark.workspace import new_folder
 
 
 def ratios(**pairs: tuple[str, str]) -> str:
@@ -351,3 +358,35 @@ FROM lined_up""", "lined_up"))
 def gold_reconciliation_control(spark, sf):
     lake, products = month_products(spark, sf)
     return gold_checks(marts.kpis(products), lake, against_control=True)
+
+
+# --- products by month ---------------------------------------------------------------------------
+
+LATE_MONTHS = ("1995-03", "1996-07")
+
+
+@query("gold_after_late_file", sql(f"""
+SELECT mes_carga, tienda_id, ciudad_id, canal_id, CAST(sum(CASE WHEN tarde THEN 2 * valor_total ELSE valor_total END) AS DOUBLE) AS ventas_totales,
+  count(*) AS numero_ventas, mes_carga IN {LATE_MONTHS} AS reescrito
+FROM (SELECT *, mes_carga IN {LATE_MONTHS} AND CAST(venta_id AS BIGINT) % 2 = 0 AS tarde FROM header) GROUP BY ALL""", "header"))
+def gold_after_late_file(spark, sf):
+    """Sales by month are published, corrections of two months come late, and only these months are built and written again."""
+    settings, product = Settings(new_folder(spark, "late-gold"), "comercial", "2001"), "mart_ventas_mensual"
+    lake = silver_lake(spark, sf, staged="sales")
+    names = ("fact_ventas_cabecera", "dim_tienda", "dim_ciudad", "dim_canal_venta")
+    for name in names:
+        year, month = (F.split(F.col(fv.MONTH), "-")[k] if name.startswith("fact_") else F.lit(None).cast("string") for k in (0, 1))
+        rows = lake[name].withColumns({fv.SOURCE_YEAR: year, fv.SOURCE_MONTH: month})
+        LakeTable(spark, settings.table_path("silver", name), PARTITIONS).publish(rows)
+    domains = dict.fromkeys(names, settings.domain)
+    gold.refresh_changed(spark, settings, domains, only=[product])
+    published = gold.product_table(spark, settings, product)
+    before = published.folders()
+    sales = LakeTable(spark, settings.table_path("silver", names[0]), PARTITIONS)
+    late = sales.read().filter(F.col(fv.MONTH).isin(*LATE_MONTHS) & (F.col("venta_id").cast("bigint") % 2 == 0))
+    sales.upsert(late.withColumn("valor_total", (F.col("valor_total") * 2).cast(late.schema["valor_total"].dataType)), ["venta_id"])
+    gold.refresh_changed(spark, settings, domains, only=[product])
+    written = published.folders().join(before, "carpeta", "left_anti").select(
+        F.regexp_extract("carpeta", f"{fv.MONTH}=(.*)$", 1).alias(fv.MONTH), F.lit(True).alias("nuevo"))
+    return published.read().join(written, fv.MONTH, "left").select(
+        fv.MONTH, "tienda_id", "ciudad_id", "canal_id", "ventas_totales", "numero_ventas", F.coalesce("nuevo", F.lit(False)).alias("reescrito"))

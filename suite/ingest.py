@@ -205,6 +205,59 @@ def ingest_rejects(spark, sf):
                           F.col("status").alias("estado"), F.col("record_count").alias("filas"), reason.alias("motivo"))
 
 
+def written_lines(df: DataFrame, line, columns: str, folder: str) -> None:
+    """Text lines below a header line, as files of a landing zone hold them."""
+    df.select(line.alias(columns)).write.option("header", True).option("sep", "\x01").option("quote", "").csv(folder)
+
+
+# every 17th line is broken: a cell too many, a cell too few, a quote that never ends; half an object, plain text, a bare number
+define("order_lines", (), """
+SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS k, CAST(o_custkey AS VARCHAR) AS c, o_orderstatus AS s,
+  CASE WHEN o_orderkey % 17 = 0 THEN (o_orderkey // 17) % 3 END AS kind FROM orders""")
+
+
+@query("malformed_rows", sql("""
+SELECT 'cargada' AS que, f AS formato, o_orderkey AS clave, c || s AS contenido, NULL AS motivo, CAST(NULL AS BIGINT) AS filas
+FROM order_lines, (VALUES ('csv'), ('json')) formats(f) WHERE kind IS NULL
+UNION ALL SELECT 'rechazada', 'csv', NULL,
+  CASE kind WHEN 0 THEN k || ',' || c || ',' || s || ',x' WHEN 1 THEN k || ',' || c ELSE '"' || k || ',' || c || ',' || s END,
+  CASE kind WHEN 0 THEN '3 cells expected, found 4' WHEN 1 THEN '3 cells expected, found 2' ELSE 'cells cannot be told apart' END, NULL
+FROM order_lines WHERE kind IS NOT NULL
+UNION ALL SELECT 'rechazada', 'json', NULL, CASE kind WHEN 0 THEN '{"o_orderkey":"' || k WHEN 1 THEN 'pedido ' || k ELSE k END, 'no JSON object', NULL
+FROM order_lines WHERE kind IS NOT NULL
+UNION ALL SELECT 'registro', f, NULL, 'SUCCESS', count(kind) || ' lines rejected', count(*) - count(kind)
+FROM order_lines, (VALUES ('csv'), ('json')) formats(f) GROUP BY f""", "order_lines"))
+def malformed_rows(spark, sf):
+    """All orders land as csv and as json, every 17th line broken: what was loaded, what was rejected and why, and the log."""
+    root = new_folder(spark, "malformed")
+    settings = Settings(root, "comercial", "2001")
+    key, cust, status = text("o_orderkey"), text("o_custkey"), F.col("o_orderstatus")
+    broken, kind = F.col("o_orderkey") % 17 == 0, F.expr("(o_orderkey div 17) % 3")
+    o = table(spark, sf, "orders")
+    whole = F.concat_ws(",", key, cust, status)
+    written_lines(o, F.when(~broken, whole).when(kind == 0, F.concat(whole, F.lit(",x"))).when(kind == 1, F.concat_ws(",", key, cust))
+                  .otherwise(F.concat(F.lit('"'), whole)), "o_orderkey,o_custkey,o_orderstatus", f"{root}/pedidos csv")
+    whole = F.to_json(F.struct(key.alias("o_orderkey"), cust.alias("o_custkey"), "o_orderstatus"))
+    o.select(F.when(~broken, whole).when(kind == 0, F.concat(F.lit('{"o_orderkey":"'), key)).when(kind == 1, F.concat(F.lit("pedido "), key))
+             .otherwise(key)).write.text(f"{root}/pedidos%20json")
+    columns = (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"))
+    contracts = {f"pedidos_{fmt}": TableContract(f"pedidos_{fmt}", columns, ("o_orderkey",)) for fmt in ("csv", "json")}
+    batches = [bronze.Batch("pedidos_csv", None, "full", "csv", (f"{root}/pedidos csv",)),
+               bronze.Batch("pedidos_json", None, "full", "json", (f"{root}/pedidos%20json",))]
+    log = bronze.load_batches(spark, settings, contracts, batches)
+    null = F.lit(None)
+
+    def loaded(fmt: str) -> DataFrame:
+        rows = LakeTable(spark, settings.table_path("bronze", f"pedidos_{fmt}"), bronze.PARTITIONS).read()
+        return rows.select(F.lit("cargada").alias("que"), F.lit(fmt).alias("formato"), F.col("o_orderkey").alias("clave"),
+                           F.concat("o_custkey", "o_orderstatus").alias("contenido"), null.cast("string").alias("motivo"), null.cast("bigint").alias("filas"))
+
+    fmt = F.element_at(F.split("table_name", "_"), -1)
+    rejected = bronze.rejected_lines(spark, settings).select(F.lit("rechazada"), fmt, null.cast("bigint"), "line", "reason", null.cast("bigint"))
+    logged = log.select(F.lit("registro"), fmt, null.cast("bigint"), "status", "error_message", "record_count")
+    return loaded("csv").union(loaded("json")).union(rejected).union(logged)
+
+
 @query("month_alignment_violations", """
 SELECT strftime(o_orderdate, '%Y-%m') || '-01' AS mes_carga, count(*) AS filas FROM orders
 WHERE o_orderkey % 4 = 0 AND strftime(o_orderdate, '%Y-%m') <> '1998-03' GROUP BY 1""")

@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from suite.registry import query, table
 from suite.sql import sql
-from suite.tables import LINE_KEY, LINE_NEWEST, money, month
+from suite.tables import LINE_KEY, LINE_NEWEST, base_lake, money, month
 from tidemark import fixed_values as fv
 from tidemark.operators.dedup import keyed_batch, latest_by_key, with_hash_key
 from tidemark.operators.upsert import keyed_upsert
+from tidemark.contracts import TableContract
+from tidemark.plans import silver
+from tidemark.plans.settings import Settings
 from tidemark.plans.silver import newer_than
+from tidemark.sources import audit
 from tidemark.sources.tables import EmptyPublication, LakeTable
 from tidemark.streaming.incremental import upsert_new_files
+from tidemark.streaming.silver import refresh_new_rows
 from tidemark.workspace import new_folder
 
 PARTS = (fv.SOURCE_YEAR, fv.SOURCE_MONTH)
@@ -156,6 +161,87 @@ def incremental_new_rows(spark, sf):
                                            F.sum(money("value")).alias("valor"))
 
 
+LOADS = 6
+
+
+def stamped_loads(spark, sf) -> LakeTable:
+    """All events in a table of ``LOADS`` loads by id, each ingested in its own month."""
+    events, target = table(spark, sf, "events"), LakeTable(spark, new_folder(spark, "stamped"))
+    for load in range(LOADS):
+        target.append(events.filter(F.col("event_id") % LOADS == load).withColumn(
+            fv.INGESTED_AT, F.lit(datetime(2002, load + 1, 1)).cast("timestamp")))
+    return target
+
+
+@query("incremental_pushed_mark", f"""
+SELECT event_type, count(*) AS filas, min(event_id) AS primero, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS valor
+FROM events WHERE event_id % {LOADS} > 3 GROUP BY 1""")
+def incremental_pushed_mark(spark, sf):
+    """Rows above the mark of the fourth of six loads: the filter reaches the files, whose statistics rule out older row groups."""
+    fresh = newer_than(stamped_loads(spark, sf).read(), datetime(2002, 4, 1))
+    return fresh.groupBy("event_type").agg(F.count("*").alias("filas"), F.min("event_id").alias("primero"),
+                                           F.sum(money("value")).alias("valor"))
+
+
+@query("step_rows_measured", """
+WITH l AS (SELECT DISTINCT * FROM lineitem), n AS (SELECT count(*) AS arrived, count(DISTINCT (l_orderkey, l_linenumber)) AS kept,
+  count(DISTINCT (l_orderkey, l_linenumber)) FILTER (l_orderkey % 3 = 0) AS waiting FROM l)
+SELECT 1 AS corrida, 'schema_standardization' AS paso, 'SUCCESS' AS estado, arrived AS entran, kept AS salen FROM n
+UNION ALL SELECT 1, unnest(['null_corrections', 'domain_normalization', 'business_derivations']), 'SUCCESS', kept, kept FROM n
+UNION ALL SELECT 2, 'schema_standardization', 'NO_DATA', 0, 0
+UNION ALL SELECT 2, 'null_corrections', 'NO_DATA', 0, 0
+UNION ALL SELECT 2, unnest(['domain_normalization', 'business_derivations']), 'SUCCESS', waiting, waiting FROM n""")
+def step_rows_measured(spark, sf):
+    """Rows in and out of every silver step, as observed: all lines, then a third of them that wait after the second step."""
+    settings = Settings(new_folder(spark, "steps"), "comercial", "2001")
+    contract = TableContract("lineas", (("l_orderkey", "bigint"), ("l_linenumber", "bigint")), tuple(LINE_KEY))
+    batch, key = keyed_batch(table(spark, sf, "lineitem").withColumns({
+        fv.SOURCE_YEAR: F.lit("2001"), fv.SOURCE_MONTH: F.lit(None).cast("string"), fv.INGESTED_AT: F.lit(FIRST).cast("timestamp")}), ())
+    LakeTable(spark, settings.table_path("bronze", contract.name), PARTS).upsert(batch, key)
+    silver.refresh(spark, settings, {contract.name: contract})
+    lines = LakeTable(spark, settings.table_path("silver", contract.name), PARTS)
+    stopped = lines.read().filter("l_orderkey % 3 = 0").withColumn(fv.SILVER_STEP, F.lit(fv.STEPS[1]))
+    lines.upsert(stopped, LINE_KEY)
+    silver.refresh(spark, settings, {contract.name: contract})
+    log = audit.read(spark, settings.log_path("silver"), audit.STEP_LOG)
+    run = F.dense_rank().over(Window.orderBy("created_at"))  # eight rows
+    return log.select(run.alias("corrida"), F.col("step_name").alias("paso"), F.col("status").alias("estado"),
+                      F.col("input_rows").alias("entran"), F.col("output_rows").alias("salen"))
+
+
+@query("late_sales_for_returns", sql("""
+SELECT devolucion_id, dias_hasta_devolucion, 'business_derivations' AS paso FROM back""", "back"))
+def late_sales_for_returns(spark, sf):
+    """All returns reach silver before any sale; when the sales come, the open lookups are found and derived again."""
+    settings = Settings(new_folder(spark, "late-sales"), "comercial", "2001")
+    lake = base_lake(spark, sf, staged="lines")
+    origin = {fv.SOURCE_YEAR: F.lit("2001"), fv.SOURCE_MONTH: F.lit(None).cast("string"), fv.INGESTED_AT: F.current_timestamp()}
+    for name in ("fact_devoluciones", "fact_ventas_cabecera"):
+        rows = lake[name].withColumns(origin)
+        LakeTable(spark, settings.table_path("bronze", name), PARTS).upsert(rows, fv.PRIMARY_KEYS[name])
+        silver.refresh(spark, settings, ["fact_devoluciones", "fact_ventas_cabecera"])
+    returned = LakeTable(spark, settings.table_path("silver", "fact_devoluciones"), PARTS).read()
+    return returned.select("devolucion_id", F.col("dias_hasta_devolucion").cast("bigint"), F.col(fv.SILVER_STEP).alias("paso"))
+
+
+@query("silver_available_now", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, 'business_derivations' AS paso,
+  (SELECT 2 * count(*) - count(*) FILTER (o_orderkey % 5 <> 0) FROM orders) AS entraron FROM orders""")
+def silver_available_now(spark, sf):
+    """All orders in two loads, every fifth corrected by the second, carried to silver by a stream that ends when it has caught up."""
+    settings = Settings(new_folder(spark, "silver-stream"), "comercial", "2001")
+    contract = TableContract("pedidos", (("o_orderkey", "bigint"), ("o_orderstatus", "string")), ("o_orderkey",))
+    o, source = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate"), LakeTable(
+        spark, settings.table_path("bronze", contract.name), PARTS)
+    for wave, rows in ((FIRST, o), (SECOND, o.filter("o_orderkey % 5 = 0").withColumn("o_orderstatus", F.lit("X")))):
+        source.upsert(landed(rows, "o_orderdate", wave), contract.key)
+        refresh_new_rows(spark, settings, contract.name, f"{settings.root}/checkpoint", contract).awaitTermination()
+    log = audit.read(spark, settings.log_path("silver"), audit.STEP_LOG).filter(F.col("step_name") == fv.STEPS[0])
+    came = log.agg(F.sum("input_rows").alias("entraron"))
+    done = LakeTable(spark, settings.table_path("silver", contract.name), PARTS).read()
+    return done.select("o_orderkey", "o_orderstatus", F.col(fv.SILVER_STEP).alias("paso")).join(F.broadcast(came))
+
+
 @query("incremental_available_now", """
 SELECT user_id, event_type, event_id, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")

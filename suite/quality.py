@@ -80,8 +80,8 @@ def dq_not_empty(spark, sf):
 
 @query("dq_fk", _sql([_fk_sql(*r) for r in RAW_REFERENCES]))
 def dq_fk(spark, sf):
-    return _union([quality.reference_check(c, table(spark, sf, c), col, p, table(spark, sf, p), pcol)
-                   for c, col, p, pcol in RAW_REFERENCES])
+    tables = {name: table(spark, sf, name) for c, _, p, _ in RAW_REFERENCES for name in (c, p)}
+    return quality.with_status(quality.reference_checks(RAW_REFERENCES, tables, tables))
 
 
 # the star's identities, and one that the independent order totals must break

@@ -120,6 +120,9 @@ MEASURES = {
 }
 
 
+DAYS = "dias_hasta_devolucion"
+
+
 def days_to_return(returned: DataFrame, sales: DataFrame) -> DataFrame:
     """Days between a sale and its return (left join: returns of unknown sales stay, with NULL).
 
@@ -127,8 +130,8 @@ def days_to_return(returned: DataFrame, sales: DataFrame) -> DataFrame:
     returns is skew on the left side only; adaptive execution splits that side.
     """
     sold_on = sales.select("venta_id", F.col("fecha_venta").alias("_vendido"))
-    joined = returned.drop("dias_hasta_devolucion").join(sold_on, "venta_id", "left")
-    return joined.withColumn("dias_hasta_devolucion", F.datediff("fecha_devolucion", "_vendido")).drop("_vendido")
+    joined = returned.drop(DAYS).join(sold_on, "venta_id", "left")
+    return joined.withColumn(DAYS, F.datediff("fecha_devolucion", "_vendido")).drop("_vendido")
 
 
 def derive(table: str, df: DataFrame, sales: DataFrame | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """Data-quality checks: one row per check, computed without leaving Spark.
 
-All counting checks of a table share one aggregation over it; key uniqueness
-and references need a grouping of their own.  Nothing is collected: the report
+All counting checks of a table share one aggregation over it, and all references
+of all tables another; key uniqueness needs a grouping of its own.  Nothing is collected: the report
 is a union of one-row frames.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import fixed_values as fv
 
@@ -96,6 +96,51 @@ def reference_check(child_name: str, child: DataFrame, column: str,
                      "Integridad referencial Silver")
 
 
+TAGS = 62  # references that share one mark
+
+
+def reference_checks(references: Sequence[tuple[str, str, str, str]], tables: Mapping[str, DataFrame],
+                     parents: Mapping[str, DataFrame]) -> DataFrame:
+    """All references (child, column, parent, parent column) in one pass: distinct orphans of each.
+
+    Every table is read once and gives its values tagged: by the parent key they should be
+    found in, and by a bit of the reference or none for the parent's own values.  One grouping by key and
+    value joins all sides, combined before it is shuffled, so a value held by a third of all rows is one row
+    a task.  A value of another type than the parent's is compared as the parent's type.
+    """
+    members: dict[tuple[str, str], list[int]] = {}
+    for i, (_, _, parent, parent_column) in enumerate(references):
+        members.setdefault((parent, parent_column), []).append(i)
+    frames = {**{p: parents[p] for p, _ in members}, **{c: tables[c] for c, *_ in references}}
+    values: dict[str, list] = {}
+    place: dict[int, tuple[int, int]] = {}  # of a reference: the number of its parent key, its bit
+    keys = 0
+    for (parent, parent_column), own in members.items():
+        kind = parents[parent].schema[parent_column].dataType
+        for at in range(0, len(own), TAGS):
+            values.setdefault(parent, []).append(_tagged(keys, 0, F.col(parent_column).cast("string")))
+            for bit, i in enumerate(own[at:at + TAGS]):
+                child, column = references[i][:2]
+                text = F.col(column).cast("string")
+                same = tables[child].schema[column].dataType == kind
+                values.setdefault(child, []).append(_tagged(keys, 1 << bit, text if same else F.coalesce(F.col(column).try_cast(kind).cast("string"), text)))
+                place[i] = keys, 1 << bit
+            keys += 1
+    tagged = reduce(DataFrame.unionByName, [frames[t].select(F.inline(F.array(*v))).filter("valor is not null") for t, v in values.items()])
+    met = tagged.groupBy("clave", "valor").agg(F.bit_or("marca").alias("marcas"), F.max(F.col("marca") == 0).alias("conocido"))
+    counts = met.filter(~F.col("conocido")).agg(*[
+        F.count_if((F.col("clave") == key) & (F.col("marcas").bitwiseAND(bit) != 0)).alias(f"_{i}") for i, (key, bit) in sorted(place.items())])
+    results = F.array(*[
+        F.struct(F.lit(child).alias("table_name"), F.lit(f"fk_{column}_to_{parent}_{parent_column}").alias("check_name"), F.lit("ERROR").alias("severity"),
+                 F.col(f"_{i}").cast("bigint").alias("failing_count"), F.lit("Integridad referencial Silver").alias("description"))
+        for i, (child, column, parent, parent_column) in enumerate(references)])
+    return counts.select(F.inline(results))
+
+
+def _tagged(key: int, mark: int, value: Column) -> Column:
+    return F.struct(F.lit(key).alias("clave"), F.lit(mark).cast("bigint").alias("marca"), value.alias("valor"))
+
+
 def report(tables: Mapping[str, DataFrame], spark: SparkSession, *,
            keys: Mapping[str, Sequence[str]] = fv.PRIMARY_KEYS,
            references: Sequence[tuple[str, str, str, str]] = tuple(fv.FOREIGN_KEYS),
@@ -118,13 +163,15 @@ def report(tables: Mapping[str, DataFrame], spark: SparkSession, *,
             parts.append(key_checks(name, df, key))
         if own or not key:
             parts.append(row_checks(name, df, (), own, emptiness=not key))
-    parents = {**(shared or {}), **tables}
+    parents, found = {**(shared or {}), **tables}, []
     for child, column, parent, parent_column in references:
         if child in tables and parent in parents and column in tables[child].columns \
                 and parent_column in parents[parent].columns:
-            parts.append(reference_check(child, tables[child], column, parent, parents[parent], parent_column))
+            found.append((child, column, parent, parent_column))
         elif note_skipped and child in tables:
             skipped.append((child, f"fk_{column}_to_{parent}_{parent_column}", "INFO", None, "Tabla o columna ausente"))
+    if found:
+        parts.append(reference_checks(found, tables, parents))
     if skipped:
         parts.append(spark.createDataFrame(skipped, CHECK_SCHEMA))
     return with_status(reduce(DataFrame.unionByName, parts))

@@ -1,8 +1,10 @@
 """Bronze: land a year's files of one domain.
 
 All files of one table and month form a batch; all batches of a table, whatever their
-formats, are validated in one pass and merged in one upsert, so the latest month wins.
+formats, are parsed once, validated in one pass and merged in one upsert, so the latest month wins.
 A bad file is logged as FAILED and the others go on; the caller decides whether to raise.
+A line that does not fit its file is no reason to refuse the file: it is kept, with the reason,
+in the domain's table of rejected lines, counted in the log, and the other lines are loaded.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -23,8 +25,9 @@ from tidemark.operators.dedup import keyed_batch
 from tidemark.plans.settings import Settings
 from tidemark.sources import audit
 from tidemark.sources.landing import classify, in_load_order, list_files
-from tidemark.sources.readers import conform, file_columns, lost_cells, read_batch
+from tidemark.sources.readers import REJECT_REASON, REJECTED_LINE, conform, csv_headers, file_columns, header_cells, json_keys, lost_cells, read_batch
 from tidemark.sources.tables import LakeTable
+from tidemark.workspace import stage
 
 PARTITIONS = (fv.SOURCE_YEAR, fv.SOURCE_MONTH)
 
@@ -54,9 +57,6 @@ def month_violations(df: DataFrame, expected: str | Column) -> DataFrame:
     return df.filter(off_month(expected)).groupBy(fv.MONTH).agg(F.count("*").alias("filas"))
 
 
-EXAMPLES = 5  # months a message names; the rows are all counted
-
-
 @dataclass(frozen=True)
 class Batch:
     """The files of one table, month and format; month is None for a full load."""
@@ -67,6 +67,15 @@ class Batch:
     fmt: str | None
     paths: tuple[str, ...]
 
+
+File = tuple[Batch, str]
+# columns of the table of rejected lines
+REJECTS = """
+area string, table_name string, source_year string, source_month string, source_path string, source_file_name string,
+line string, reason string, rejected_at timestamp
+"""
+
+
 @dataclass
 class Outcome:
     status: str
@@ -79,57 +88,138 @@ def check_columns(table: str, contract: TableContract | None, columns: Sequence[
         raise Rejected(f"{table}: columns {missing} are missing; found {list(columns)}")
 
 
-File = tuple[Batch, str]
+def plain_path(path: str) -> str:
+    """A path the way listings and scans both give it, whatever slashes follow the scheme."""
+    return re.sub("^file:/+", "/", path).rstrip("/")
 
 
-def open_files(spark: SparkSession, settings: Settings, contract: TableContract | None, batch: Batch) -> tuple[list[DataFrame], dict[File, Outcome]]:
-    """A batch's rows as text with technical columns, one scan per header, and the files without the contract's columns."""
-    frames, refused = [], {}
-    if batch.fmt not in fv.FORMATS:
-        message = f"{batch.table}: format {batch.fmt} is not supported; expected one of {', '.join(fv.FORMATS)}"
-        return [], {(batch, p): Outcome(fv.FAILED, message=message) for p in batch.paths}
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for p in batch.paths:
-        try:
-            # a line of JSON names its own columns: the contract's are asked for, and none can be missing from a file
-            columns = contract.column_names if contract and batch.fmt == "json" else file_columns(spark, batch.fmt, [p])
-            check_columns(batch.table, contract, columns)
-            by_header.setdefault(tuple(columns), []).append(p)
-        except Exception as e:  # noqa: BLE001  an unreadable file is an outcome, not the end of the run
-            refused[batch, p] = Outcome(fv.FAILED, message=str(e))
-    for columns, paths in by_header.items():
-        raw = read_batch(spark, batch.fmt, paths, columns)
+def owner(path: str, landed: Mapping[str, File]) -> File:
+    """The landed file a path belongs to: itself or the folder of part files it lies in."""
+    at = plain_path(path)
+    while at not in landed:
+        at, _, last = at.rpartition("/")
+        if not at or not last:
+            raise Rejected(f"{path} lies in none of the landed paths")
+    return landed[at]
+
+
+def headers_of(spark: SparkSession, files: Sequence[File]) -> dict[File, set[tuple[str, ...]]]:
+    """The header lines of CSV files (several where a landed path is a folder), from one pass over all of them."""
+    landed = {plain_path(p): (b, p) for b, p in files}
+    found: dict[File, set[tuple[str, ...]]] = {f: set() for f in files}
+    for row in csv_headers(spark, [p for _, p in files]).collect():  # file names and their header lines
+        found[owner(row.path, landed)].add(header_cells(row.line))
+    return found
+
+
+def columns_of(spark: SparkSession, contract: TableContract | None, file: File, headers: set[tuple[str, ...]]) -> list[str]:
+    """The columns a file brings; an error if they are not those of one table, or not the contract's."""
+    b, path = file
+    if b.fmt not in fv.FORMATS:
+        raise Rejected(f"{b.table}: format {b.fmt} is not supported; expected one of {', '.join(fv.FORMATS)}")
+    if b.fmt == "csv":
+        if len(headers) > 1:
+            raise Rejected(f"{b.table}: its parts have {len(headers)} different headers")
+        columns = list(next(iter(headers), ()))
+        if len({c.lower() for c in columns}) < len(columns) or "" in columns:
+            raise Rejected(f"{b.table}: columns without a name of their own in {columns}")
+    else:
+        # a line of JSON names its own columns: the contract's are asked for, and none can be missing from a file
+        columns = contract.column_names if contract and b.fmt == "json" else file_columns(spark, b.fmt, [path])
+    check_columns(b.table, contract, columns)
+    if not columns:
+        raise Rejected(f"{b.table}: no rows")
+    return columns
+
+
+def open_files(spark: SparkSession, settings: Settings, contract: TableContract | None, batches: Sequence[Batch],
+               each: bool) -> tuple[list[DataFrame], dict[File, Outcome]]:
+    """A table's rows as text with technical columns, one scan per batch and header, and the files without the contract's columns.
+
+    Without ``each`` all CSV files are taken to have the header of the first one, which the scan checks.
+    """
+    refused: dict[File, Outcome] = {}
+    by_header: dict[tuple[Batch, tuple[str, ...]], list[str]] = {}
+    texts = [(b, p) for b in batches for p in b.paths if b.fmt == "csv"]
+    headers: dict[File, set[tuple[str, ...]]] = {}
+    if texts and each:
+        headers = headers_of(spark, texts)
+    elif texts:
+        first = tuple(file_columns(spark, "csv", [p for _, p in texts]))
+        headers = {f: {first} for f in texts}
+    for b in batches:
+        for p in b.paths:
+            try:
+                by_header.setdefault((b, tuple(columns_of(spark, contract, (b, p), headers.get((b, p), set())))), []).append(p)
+            except Exception as e:  # noqa: BLE001  an unreadable file is an outcome, not the end of the run
+                refused[b, p] = Outcome(fv.FAILED, message=str(e))
+    frames = []
+    for (b, columns), paths in by_header.items():
+        raw = read_batch(spark, b.fmt, paths, columns)
         if contract:
-            raw = raw.select(*[f"`{c}`" for c in contract.column_names], fv.SOURCE_PATH, fv.SOURCE_FILE)
-        frames.append(with_origin(raw, settings.domain, settings.year, batch.month, batch.mode))
+            raw = raw.select(*[f"`{c}`" for c in contract.column_names], fv.SOURCE_PATH, fv.SOURCE_FILE, REJECTED_LINE, REJECT_REASON)
+        frames.append(with_origin(raw, settings.domain, settings.year, b.month, b.mode))
     return frames, refused
 
 
-def plain_path(path: str) -> str:
-    """A path the way listings and scans both give it, whatever slashes follow the scheme."""
-    return re.sub("^file:/+", "/", path).rstrip("/")
+def parse(spark: SparkSession, settings: Settings, contract: TableContract | None,
+          batches: Sequence[Batch]) -> tuple[DataFrame | None, dict[File, Outcome]]:
+    """A table's files, parsed once and written, and the files that could not be opened.
+
+    Files mostly share a header, which the scan checks in every one.  Only where that fails, all header
+    lines are read first and files with one header are scanned together.
+    """
+    for each in (False, True):
+        opened, refused = open_files(spark, settings, contract, batches, each)
+        if not each and any(b.fmt == "csv" for b, _ in refused):
+            continue
+        try:
+            return (stage(_together(opened), "landed-rows") if opened else None), refused
+        except Exception:  # noqa: BLE001  some header may be another one
+            if each or not any(b.fmt == "csv" for b in batches):
+                raise
+    raise AssertionError("the second attempt returns or raises")
 
 
 def inspect(raw: DataFrame, contract: TableContract | None) -> list[Row]:
-    """Rows, rows of another month and cells lost to casts, per file, from one pass over all batches of a table."""
-    off = F.lit(0)
+    """Per file, from one pass over all batches of a table: rows, rejected lines, rows of another month (and the first
+    and last such month) and cells lost to casts."""
+    fits = F.col(REJECTED_LINE).isNull()
+    off, month = F.lit(False), F.lit(None).cast("string")
     if fv.MONTH in raw.columns:
         expected = F.concat(F.col(fv.SOURCE_YEAR), F.lit("-"), F.col(fv.SOURCE_MONTH))
-        off = F.count_if(F.col(fv.SOURCE_MONTH).isNotNull() & off_month(expected))
+        off = fits & F.col(fv.SOURCE_MONTH).isNotNull() & off_month(expected)
+        month = F.when(off, F.col(fv.MONTH).cast("string"))
     lost = lost_cells(raw, contract) if contract else []
     cells = F.struct(*lost) if lost else F.lit(None)
-    empty = [F.count_if(F.col(f"`{c}`").isNotNull()) for c in (contract.column_names if contract else [])]
+    empty = [F.count_if(fits & F.col(f"`{c}`").isNotNull()) for c in (contract.column_names if contract else [])]
     per_file = raw.groupBy(fv.SOURCE_PATH).agg(
-        F.count("*").alias("rows"), off.alias("off"), cells.alias("lost"), F.array(*empty).cast("array<bigint>").alias("filled"))
+        F.count_if(fits).alias("rows"), F.count_if(~fits).alias("rejected"), F.count_if(off).alias("off"),
+        F.array(F.min(month), F.max(month)).alias("months"), cells.alias("lost"), F.array(*empty).cast("array<bigint>").alias("filled"))
     return per_file.collect()  # one row per file
 
 
+def reject_lines(spark: SparkSession, settings: Settings, table: str, raw: DataFrame) -> None:
+    """Keep the lines that do not fit, with the reason."""
+    lines = raw.filter(F.col(REJECTED_LINE).isNotNull()).select(
+        F.lit(settings.domain).alias("area"), F.lit(table).alias("table_name"), F.lit(settings.year).alias("source_year"),
+        F.col(fv.SOURCE_MONTH).alias("source_month"), F.col(fv.SOURCE_PATH).alias("source_path"), F.col(fv.SOURCE_FILE).alias("source_file_name"),
+        F.col(REJECTED_LINE).alias("line"), F.col(REJECT_REASON).alias("reason"), F.col(fv.INGESTED_AT).alias("rejected_at"))
+    LakeTable(spark, settings.rejects_path).append(lines)
+
+
+def rejected_lines(spark: SparkSession, settings: Settings) -> DataFrame:
+    """All lines of the domain's files that were not loaded because they do not fit; empty before the first."""
+    kept = LakeTable(spark, settings.rejects_path)
+    return kept.read() if kept.exists() else spark.createDataFrame([], REJECTS)
+
+
 def load_table(spark: SparkSession, settings: Settings, contracts: dict[str, TableContract],
                batches: Sequence[Batch]) -> dict[File, Outcome]:
     """Validate a table's files together and merge the good ones in one upsert.
 
-    One pass validates all months and one merge looks the keys up in the table,
-    however many month folders and formats were landed.
+    Files are parsed once; one pass over what was parsed validates all months and one merge
+    looks the keys up in the table, however many month folders and formats were landed.
     """
     table = batches[0].table
     files = [(b, p) for b in batches for p in b.paths]
@@ -137,54 +227,58 @@ def load_table(spark: SparkSession, settings: Settings, contracts: dict[str, Tab
         contract = contracts.get(table)
     else:
         return {f: Outcome(fv.FAILED, message=f"{table} is not in the data dictionary") for f in files}
-    outcomes: dict[File, Outcome] = {}
-    opened: list[DataFrame] = []
-    for b in batches:
-        frames, refused = open_files(spark, settings, contract, b)
-        opened += frames
-        outcomes |= refused
-    if not opened:
+    raw, outcomes = parse(spark, settings, contract, batches)
+    if raw is None:
         return outcomes
-    raw = _together(opened)
-    owners = {plain_path(p): (b, p) for b, p in files if (b, p) not in outcomes}
-    figures: dict[File, list[Row]] = {f: [] for f in owners.values()}
+    landed = {plain_path(p): (b, p) for b, p in files if (b, p) not in outcomes}
+    figures: dict[File, list[Row]] = {f: [] for f in landed.values()}
     for row in inspect(raw, contract):
-        path = plain_path(row[fv.SOURCE_PATH])
-        while path not in owners:  # a landed path may be a folder of part files
-            path = path.rsplit("/", 1)[0]
-        figures[owners[path]].append(row)
+        figures[owner(row[fv.SOURCE_PATH], landed)].append(row)
+    if any(r.rejected for found in figures.values() for r in found):
+        reject_lines(spark, settings, table, raw)
+
+    doubtful = {f: names for f, found in figures.items() if f[0].fmt == "json" and contract and (
+        names := [c for k, c in enumerate(contract.column_names) if not any(r.filled[k] for r in found)])}
+    keys: dict[File, set[str]] = {f: set() for f in doubtful}
+    for row in json_keys(spark, [p for _, p in doubtful]).collect() if doubtful else ():  # one row per file
+        keys[owner(row.path, landed)].update(row["keys"])
     good: list[File] = []
     for (b, p), found in figures.items():
-        off = sum(r.off for r in found)
-        absent = [c for k, c in enumerate(contract.column_names) if not any(r.filled[k] for r in found)] if contract and b.fmt == "json" else []
-        if not found:
-            outcomes[b, p] = Outcome(fv.FAILED, message=f"{table}: no rows")
-        elif absent and (gone := contract.missing(file_columns(spark, b.fmt, [p]))):
+        rows, rejected, off = (sum(r[c] for r in found) for c in ("rows", "rejected", "off"))
+        if not rows:
+            outcomes[b, p] = Outcome(fv.FAILED, message=f"{table}: no rows" + (f" that fit; {rejected} lines rejected" if rejected else ""))
+        elif (b, p) in keys and (gone := contract.missing(sorted(keys[b, p]))):
             outcomes[b, p] = Outcome(fv.FAILED, message=f"{table}: columns {gone} are missing")
         elif off:
-            expected = f"{settings.year}-{b.month}"
-            here = raw.filter(F.col(fv.SOURCE_PATH).isin([r[fv.SOURCE_PATH] for r in found]))
-            months = month_violations(here, expected)
-            shown = [r[fv.MONTH] for r in months.orderBy(fv.MONTH).limit(EXAMPLES).collect()]
-            outcomes[b, p] = Outcome(fv.FAILED, message=f"{table}: {off} rows of {months.count()} months outside {expected}, such as {shown}")
+            months = sorted({m for r in found for m in r.months if m is not None})
+            outcomes[b, p] = Outcome(fv.FAILED, message=f"{table}: {off} rows outside {settings.year}-{b.month}, such as {[months[0], months[-1]]}")
         else:
             good.append((b, p))
     if not good:
         return outcomes
-    if len(good) < len(owners):
-        bad = [r[fv.SOURCE_PATH] for f in figures if f not in good for r in figures[f]]
-        raw = raw.filter(~F.col(fv.SOURCE_PATH).isin(bad)) if bad else raw
-    technical = [c for c in raw.columns if c.startswith("_tm_")]
-    rows, keys = keyed_batch(conform(raw, contract, keep=technical), contract.key if contract else fv.PRIMARY_KEYS.get(table, ()))
-    LakeTable(spark, settings.table_path("bronze", table), PARTITIONS).upsert(rows, keys)
+    fit = raw.filter(F.col(REJECTED_LINE).isNull()).drop(REJECTED_LINE, REJECT_REASON)
+    if len(good) < len(landed):
+        paths = [(r[fv.SOURCE_PATH],) for f in good for r in figures[f]]
+        fit = fit.join(spark.createDataFrame(paths, f"{fv.SOURCE_PATH} string"), fv.SOURCE_PATH, "left_semi")
+    technical = [c for c in fit.columns if c.startswith("_tm_")]
+    merged, key = keyed_batch(conform(fit, contract, keep=technical), contract.key if contract else fv.PRIMARY_KEYS.get(table, ()))
+    LakeTable(spark, settings.table_path("bronze", table), PARTITIONS).upsert(merged, key)
     for f in good:
-        cells = Counter()
-        for r in figures[f]:
-            cells.update({c: n for c, n in r.lost.asDict().items() if n} if r.lost else {})
-        outcomes[f] = Outcome(fv.SUCCESS, sum(r.rows for r in figures[f]), f"cells without an exact value: {dict(cells)}" if cells else None)
+        outcomes[f] = _loaded(figures[f])
     return outcomes
 
 
+def _loaded(found: list[Row]) -> Outcome:
+    """A loaded file's outcome: its rows, and what of it was not taken as it stood."""
+    cells: Counter = Counter()
+    for r in found:
+        cells.update({c: n for c, n in r.lost.asDict().items() if n} if r.lost else {})
+    rejected = sum(r.rejected for r in found)
+    notes = [f"{rejected} lines rejected"] if rejected else []
+    notes += [f"cells without an exact value: {dict(cells)}"] if cells else []
+    return Outcome(fv.SUCCESS, sum(r.rows for r in found), "; ".join(notes) or None)
+
+
 def _together(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 

@@ -35,5 +35,9 @@ class Settings:
     def log_path(self, layer: str) -> str:
         return f"{self.root}/{layer}/{self.domain}/_control/log"
 
+    @property
+    def rejects_path(self) -> str:
+        return f"{self.root}/bronze/{self.domain}/_control/rejected_lines"
+
     def historic_path(self, month: str | None, file_name: str) -> str:
         return f"{self.historic}/{month}/{file_name}" if month else f"{self.historic}/{file_name}"

@@ -50,10 +50,10 @@ def entries(spark: SparkSession, schema: str, records: Sequence[Mapping]) -> Dat
     return spark.createDataFrame(rows, schema)
 
 
-def append(spark: SparkSession, path: str, schema: str, records: Sequence[Mapping]) -> None:
-    """Append entries; creates the log when it is the first time, does nothing without entries."""
+def append(spark: SparkSession, path: str, schema: str, records: Sequence[Mapping], origin: str = "") -> None:
+    """Append entries; creates the log when it is the first time, does nothing without entries or for an origin logged before."""
     if records:
-        LakeTable(spark, path).append(entries(spark, schema, records).coalesce(1))
+        LakeTable(spark, path).append(entries(spark, schema, records).coalesce(1), origin)
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -94,6 +94,12 @@ def high_water_mark(log: DataFrame, step: str, table: str):
     return found.watermark if found else None
 
 
+def last_finished(log: DataFrame, step: str, table: str):
+    """When a table's last run without a failure was logged, or None before the first."""
+    done = (F.col("step_name") == step) & (F.col("table_name") == table) & (F.col("status") != fv.FAILED)
+    return log.filter(done).agg(F.max("created_at").alias("at")).first().at
+
+
 def step_summary(log: DataFrame) -> DataFrame:
     return log.select(*_names(STEP_SUMMARY))
 

@@ -12,14 +12,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import fixed_values as fv
+from tidemark.sources.paths import literal
 
 MONTH_FOLDER = "^(0[1-9]|1[0-2])$"
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths below a folder, names and sizes only (contents are never read); empty if there is none."""
+    """Paths below a folder, names and sizes only (contents are never read); empty if there is none.
+
+    Spark lists no files without a byte.
+    """
     try:
-        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(literal(folder))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

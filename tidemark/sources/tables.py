@@ -14,19 +14,41 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from tidemark.operators.upsert import in_batch, not_in_batch
+from tidemark.sources.paths import literal
 
 LOG_SCHEMA = "version bigint, filas bigint, carpetas array<struct<ruta:string,filas:bigint>>, esquema string, origen string, estado string, " \
              "momento bigint"
 FOLDER = r"^.*/(version=[^/]+(?:/[^/]+=[^/]*)*)/[^/]+$"
 
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: how a folder name shows that its partition value is NULL
+STAMP_TYPE = "spark.sql.parquet.outputTimestampType"
+
+
+@contextmanager
+def stamps_with_statistics(spark: SparkSession) -> Iterator[None]:
+    """Writes timestamps as numbers, of which files keep the least and greatest per row group.
+
+    A filter above a high-water mark then skips row groups without reading them.  The
+    session's own setting holds again afterwards.
+    """
+    before = spark.conf.get(STAMP_TYPE)
+    spark.conf.set(STAMP_TYPE, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(STAMP_TYPE, before)
+
+
 def _now() -> int:
     """Microseconds since 1970, by the driver's clock (which also stamps ingested rows)."""
     return time.time_ns() // 1000
@@ -48,7 +70,7 @@ class LakeTable:
     def log(self) -> DataFrame:
         """Commits and refused publications, one row each."""
         try:
-            return self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", True).json(f"{self.path}/_commits")
+            return self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", True).json(f"{literal(self.path)}/_commits")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -81,8 +103,8 @@ class LakeTable:
         With one writer at a time, a merge begins after every row of the merges before
         it was ingested.  So rows ingested after ``mark``, the newest time among rows
         already taken, are all here, next to older rows that such a merge rewrote.  The
-        caller still filters rows; this keeps the scan off folders that did not change
-        (timestamps have no statistics in the files by default).
+        caller still filters rows, which skips row groups by their statistics; this keeps
+        the scan off folders that did not change, whose footers need not be opened.
         """
         if mark is None:
             return self.read()
@@ -92,6 +114,29 @@ class LakeTable:
         folders = [c.ruta for c in state.carpetas if c.ruta.split("/")[0].split("-")[0] in versions]
         return self._rows(folders, T.StructType.fromJson(json.loads(state.esquema)))
 
+    def version(self) -> int:
+        """The newest published version, 0 before the first."""
+        state = self.current()
+        return state.version if state is not None else 0
+
+    def changed_since(self, version: int) -> list[DataFrame]:
+        """Rows of the folders that the table lost and of those it gained since a version.
+
+        Folders that were only carried over are not read.  Rows that were rewritten with
+        others of their folder are among both.
+        """
+        states = {r.version: r for r in self.log().filter((F.col("estado") == "PUBLISHED") & (F.col("version") == version)).collect()}
+        before, now = states.get(version), self.current()
+        folders = [{c.ruta for c in s.carpetas} if s is not None else set() for s in (before, now)]
+        return [self._rows(sorted(some - other), T.StructType.fromJson(json.loads(s.esquema)))
+                for s, some, other in zip((before, now), folders, reversed(folders)) if some - other]
+
+    def folders(self) -> DataFrame:
+        """(carpeta, filas): the folders of the current version; the same name means untouched files."""
+        state = self.current()
+        found = [(c.ruta, c.filas) for c in state.carpetas] if state is not None else []
+        return self.spark.createDataFrame(found, "carpeta string, filas bigint")
+
     # --- changes -------------------------------------------------------------
     def publish(self, df: DataFrame, origin: str = "") -> int:
         """Replace the table's contents; refuse (and say so in the log) when there are no rows."""
@@ -103,6 +148,22 @@ class LakeTable:
         self._commit(version, written, df.schema, origin, began)
         return sum(written.values())
 
+    def replace(self, df: DataFrame, values: Sequence[str | None], origin: str = "") -> int:
+        """Replace the rows of some values of the (one) partition column; all other folders are carried over by name."""
+        began, (state, version) = _now(), self._state()
+        (column,) = self.partition_by
+        written = self._write(df, version, "part")
+        names = {f"{column}={NULL_FOLDER if v is None else v}" for v in values}
+        kept = {c.ruta: c.filas for c in state.carpetas if unquote(c.ruta.rsplit("/", 1)[-1]) not in names} if state is not None else {}
+        schema = df.schema
+        if state is not None:
+            old = T.StructType.fromJson(json.loads(state.esquema))
+            schema = T.StructType(old.fields + [f for f in schema.fields if f.name not in old.names])
+        if not written and not kept:
+            raise EmptyPublication(f"nothing to publish in {self.path}")
+        self._commit(version, kept | written, schema, origin, began)
+        return sum(written.values())
+
     def upsert(self, batch: DataFrame, keys: Sequence[str], origin: str = "") -> int:
         """Merge a batch with unique keys; returns the number of rows it brought (see ``upsert_folders``)."""
         return sum(self.upsert_folders(batch, keys, origin).values())
@@ -136,16 +197,33 @@ class LakeTable:
         self._commit(version, folders, schema, origin, began)
         return brought
 
-    def append(self, rows: DataFrame) -> int:
-        """Add rows without looking at the ones that are there."""
-        return sum(self.upsert_folders(rows, ()).values())
+    def append(self, rows: DataFrame, origin: str = "") -> int:
+        """Add rows without looking at the ones that are there; nothing for an ``origin`` that was added before."""
+        return sum(self.upsert_folders(rows, (), origin).values())
+
+    @property
+    def new_folders(self) -> str:
+        """A pattern of the folders that batches bring; what a merge rewrites next to them is not among them."""
+        return f"{literal(self.path)}/version=*.new"
+
+    def committed(self, folders: Sequence[str]) -> list[str]:
+        """Those of some version folders that a commit names.
+
+        A folder of a later version than the newest commit may still be committed: it is an error to ask for it.
+        """
+        names = self.log().filter("estado = 'PUBLISHED'").select(F.explode("carpetas.ruta").alias("ruta"))
+        known = {r.v for r in names.select(F.split("ruta", "/")[0].alias("v")).distinct().collect()}  # one row a version folder
+        newest = self.version()
+        if early := [f for f in folders if f not in known and int(f.split("=")[1].split("-")[0]) > newest]:
+            raise WriteConflict(f"{self.path}: {early} are not committed yet")
+        return [f for f in folders if f in known]
 
     # --- files ---------------------------------------------------------------
     def _rows(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", self.path)
-        return reader.parquet(*[f"{self.path}/{f}" for f in folders]).select(*[f"`{c}`" for c in schema.names])
+        return reader.parquet(*[literal(f"{self.path}/{f}") for f in folders]).select(*[f"`{c}`" for c in schema.names])
 
     def _write(self, df: DataFrame, version: int, what: str) -> dict[str, int]:
         """Write, then count what is really there: folder -> rows (footers only).
@@ -158,8 +236,9 @@ class LakeTable:
             writer = df.hint("rebalance", *self.partition_by).write.partitionBy(*self.partition_by)
         else:
             writer = df.write
-        writer.parquet(f"{self.path}/{folder}")
-        written = self.spark.read.schema(df.schema).option("basePath", self.path).parquet(f"{self.path}/{folder}")
+        with stamps_with_statistics(self.spark):
+            writer.parquet(f"{self.path}/{folder}")
+        written = self.spark.read.schema(df.schema).option("basePath", self.path).parquet(literal(f"{self.path}/{folder}"))
         per_file = written.groupBy(F.col("_metadata.file_path").alias("archivo")).agg(F.count("*").alias("filas"))
         per_folder = per_file.groupBy(F.regexp_extract("archivo", FOLDER, 1).alias("carpeta")).agg(F.sum("filas").alias("filas"))
         return {r.carpeta: r.filas for r in per_folder.collect()}  # one row per partition folder
@@ -170,7 +249,7 @@ class LakeTable:
         if not keys:
             return []
         here = self.spark.read.schema(schema).option("basePath", self.path) \
-            .parquet(*[f"{self.path}/{f}" for f in folders]) \
+            .parquet(*[literal(f"{self.path}/{f}") for f in folders]) \
             .select(*[f"`{k}`" for k in keys],
                     F.col("_metadata.file_path").alias("_archivo"))
         files = in_batch(here, batch, keys).select("_archivo").distinct()

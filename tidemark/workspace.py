@@ -1,8 +1,8 @@
 """Where a run may write: a folder every executor can reach.
 
 The cluster names a shared folder in ``spark.checkpoint.dir``; runs take a new
-subfolder of it.  Where that is unset, the session's warehouse, which executors
-share as well, holds them.
+subfolder of it.  Where that is unset, the session's warehouse holds them; if that
+lies on a local disk, only a local master can use it, and any other is refused.
 """
 
 from __future__ import annotations
@@ -18,7 +18,15 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    warehouse, master = spark.conf.get("spark.sql.warehouse.dir").rstrip("/"), spark.sparkContext.master
+    if not needs_no_sharing(master) and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise RuntimeError(f"{CHECKPOINT_DIR} names no shared folder, and {warehouse} is a local one for the executors of {master}")
+    return f"{warehouse}/_staged"
+
+
+def needs_no_sharing(master: str) -> bool:
+    """Do driver and executors of a master share their disk, being one process?"""
+    return master == "local" or master.startswith("local[")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
