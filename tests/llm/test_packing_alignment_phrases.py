@@ -174,13 +174,11 @@ def test_any_text_is_aligned_as_by_bytes(text, long):
 
 
 @pytest.mark.parametrize("links,docs_a_block", [(1 << 21, 4096), (50, 2)])
-def test_alignment_matches_brute_force(spark, monkeypatch, links, docs_a_block):
-    monkeypatch.setattr(token_alignment, "BLOCK_LINKS", links)
-    monkeypatch.setattr(token_alignment, "BLOCK_DOCS", docs_a_block)
+def test_alignment_matches_brute_force(spark, links, docs_a_block):
     texts = [t if t is None or len(t) < 20_000 else t[:20_000] for t in [*cases.texts(), *AWKWARD]] + ["the same text, twice"] * 5
     rows = [(i, t, 7, 7) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_a long, _block long").repartition(4)
-    aligned = token_alignment.align(docs, BYTES, PIECES, P.PATTERN)
+    aligned = token_alignment.align(docs, BYTES, PIECES, P.PATTERN, block_links=links, block_docs=docs_a_block)
     assert aligned.columns == ["doc_id", "_block", *token_alignment.RESULT]
     got = sorted(aligned.collect())
     assert [tuple(r)[2:] for r in got] == brute_alignment(texts)
@@ -239,14 +237,13 @@ def phrase_rows():
     return rows + rows[:9]
 
 
-@pytest.mark.parametrize("least,head,text_bytes,block_words", [(30, 1 << 20, 1 << 20, 1 << 20), (5, 1 << 20, 40, 100), (5, 3, 1 << 20, 50), (2, 0, 64, 300)])
-def test_collocations_match_brute_force(spark, monkeypatch, least, head, text_bytes, block_words):
-    monkeypatch.setattr(collocations, "TEXT_BYTES", text_bytes)
-    monkeypatch.setattr(collocations, "BLOCK_WORDS", block_words)
-    monkeypatch.setattr(collocations, "MERGED", 50)
+@pytest.mark.parametrize("least,head,bounds", [
+    (30, 1 << 20, collocations.Bounds()), (5, 1 << 20, collocations.Bounds(100, 40, 50)), (5, 3, collocations.Bounds(50, 1 << 20, 20)),
+    (2, 0, collocations.Bounds(300, 64, 50))])
+def test_collocations_match_brute_force(spark, least, head, bounds):
     rows = phrase_rows()
     docs = spark.createDataFrame([(lang, text, 7, 7) for lang, text in rows], "lang string, text string, h int, f int").repartition(5)
-    got = collocations.mine(docs, least=least, head_words=head)
+    got = collocations.mine(docs, least=least, head_words=head, bounds=bounds)
     assert sorted(map(tuple, got.collect())) == brute_collocations(rows, least)
 
 

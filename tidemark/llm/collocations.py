@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +36,20 @@ from tidemark.workspace import new_folder, stage
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 HEAD = 1 << 20
-BLOCK_WORDS = 1 << 20
-TEXT_BYTES = 1 << 20  # a longer text is taken in parts
-DIGITS_PER_PARTITION = 8
-MERGED = 1 << 21  # phrases of one digit and order that are held before they are summed up
+LEAST_DIGITS, MOST_DIGITS = 4, 1024
+WORDS_A_DIGIT = 1 << 19
 NO_LANGUAGE = "und"
 SALTS = 8
 
+@dataclass(frozen=True)
+class Bounds:
+    """What is held at a time; none of it changes the result."""
+
+    block_words: int = 1 << 19
+    text_bytes: int = 1 << 20  # a longer text is taken in parts
+    phrases: int = 1 << 20  # phrases of one digit and order before they are summed up
+
+
 _VALUES = table(b" \t.,;:!?\n\x0b\x0c\r")
 _BREAKS = np.isin(np.arange(256), list(b".,;:!?\n\x0b\x0c\r"))
 _SEPARATOR = re.compile(rb"[ \t.,;:!?\n-\r]")
@@ -50,12 +58,12 @@ _PLACE = np.random.Generator(np.random.PCG64(20240613)).integers(1, 2**64, LONGE
 _TAIL = np.uint64(1 << 63)  # marks the hash of a word outside the head; hashes have 63 bits
 
 
-def parts_of(text: str | None, longest: int = LONGEST) -> Iterator[tuple[bytes, int]]:
+def parts_of(text: str | None, most: int, longest: int = LONGEST) -> Iterator[tuple[bytes, int]]:
     """Bytes of a text, and how many of them are the part's own; the rest shows the next words."""
     raw = (text or "").encode()
     at = 0
     while at < len(raw):
-        cut = _SEPARATOR.search(raw, at + TEXT_BYTES)
+        cut = _SEPARATOR.search(raw, at + most)
         stop = seen = cut.end() if cut else len(raw)
         for _, word in zip(range(longest - 1), _WORD.finditer(raw, stop)):
             seen = word.end()
@@ -97,8 +105,8 @@ class Block:
         return out
 
 
-def _blocks(batches, salt: int) -> Iterator[tuple[str, Block]]:
-    """Blocks of about ``BLOCK_WORDS`` words by language; at most four times as many words wait."""
+def _blocks(batches, salt: int, bounds: Bounds) -> Iterator[tuple[str, Block]]:
+    """Blocks of about ``block_words`` words by language; at most four times as many words wait."""
     waiting: dict[str, Block] = {}
     texts: dict[str, list] = {}
 
@@ -109,26 +117,26 @@ def _blocks(batches, salt: int) -> Iterator[tuple[str, Block]]:
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             lang = NO_LANGUAGE if lang is None else lang
-            for part in parts_of(text):
+            for part in parts_of(text, bounds.text_bytes):
                 texts.setdefault(lang, []).append(part)
-                if len(part[0]) >= TEXT_BYTES:
+                if len(part[0]) >= bounds.text_bytes:
                     take(lang)
-                    if waiting[lang].held >= BLOCK_WORDS:
+                    if waiting[lang].held >= bounds.block_words:
                         yield lang, waiting.pop(lang)
         for lang in list(texts):
             take(lang)
-            if waiting[lang].held >= BLOCK_WORDS:
+            if waiting[lang].held >= bounds.block_words:
                 yield lang, waiting.pop(lang)
-        while sum(b.held for b in waiting.values()) > 4 * BLOCK_WORDS:
+        while sum(b.held for b in waiting.values()) > 4 * bounds.block_words:
             most = max(waiting, key=lambda x: waiting[x].held)
             yield most, waiting.pop(most)
     yield from waiting.items()
 
 
-def count_words(docs: DataFrame, salt: int = 0) -> DataFrame:
+def count_words(docs: DataFrame, salt: int = 0, bounds: Bounds = Bounds()) -> DataFrame:
     """``h`` (hash), ``lang``, ``word`` and ``f`` (occurrences) of every word of frame (lang, text)."""
     def run(batches):
-        for lang, block in _blocks(batches, salt):
+        for lang, block in _blocks(batches, salt, bounds):
             hashes, _, own = block.words()
             places = np.flatnonzero(own)
             different, first, counts = np.unique(hashes[places], return_index=True, return_counts=True)
@@ -141,10 +149,10 @@ def count_words(docs: DataFrame, salt: int = 0) -> DataFrame:
     return counted.repartition("h").groupBy("h", "lang", "word").agg(F.sum("f").alias("f"))
 
 
-def _vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
+def _vocabulary(docs: DataFrame, bounds: Bounds) -> tuple[DataFrame, int]:
     """Counted words, written once, and the salt by which no two of them share a hash."""
     for salt in range(SALTS):
-        vocabulary = stage(count_words(docs, salt), "collocation-words")
+        vocabulary = stage(count_words(docs, salt, bounds), "collocation-words")
         if vocabulary.groupBy("h").count().filter("count > 1").isEmpty():
             return vocabulary, salt
     raise RuntimeError(f"words share a hash under each of {SALTS} salts")
@@ -176,13 +184,13 @@ def phrases_of(numbers: np.ndarray, piece: np.ndarray, own: np.ndarray, longest:
         yield named[local[begins[counted][:, None] + np.arange(order)]], counts[counted]
 
 
-def _runs(docs: DataFrame, head: np.ndarray, complete: bool, salt: int, digits: int) -> DataFrame:
+def _runs(docs: DataFrame, head: np.ndarray, complete: bool, salt: int, digits: int, bounds: Bounds) -> DataFrame:
     """(digit, order, blob) of every block: phrases in prefix order with their counts."""
     shared = docs.sparkSession.sparkContext.broadcast(head)
 
     def run(batches):
         known = shared.value
-        for _, block in _blocks(batches, salt):
+        for _, block in _blocks(batches, salt, bounds):
             hashes, piece, own = block.words()
             at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
             inside = known[at] == hashes if len(known) else np.zeros(len(hashes), dtype=bool)
@@ -223,7 +231,7 @@ def summed(phrases: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return phrases[order[first]], np.add.reduceat(counts[order], first)
 
 
-def _frequent(runs: DataFrame, head: np.ndarray, least: int) -> DataFrame:
+def _frequent(runs: DataFrame, head: np.ndarray, least: int, bounds: Bounds) -> DataFrame:
     """Phrases (hashes of their words) with ``least`` occurrences and their counts."""
     shared = runs.sparkSession.sparkContext.broadcast(head)
 
@@ -247,7 +255,7 @@ def _frequent(runs: DataFrame, head: np.ndarray, least: int) -> DataFrame:
                 *columns, counts = expand(blob)
                 blobs.append((np.stack(columns, axis=1), counts))
                 held += len(counts)
-                if held > MERGED:
+                if held > bounds.phrases:
                     blobs = [summed(*_joined(blobs))]
                     held = len(blobs[0][1]) // 2  # what stays is summed up again after as much more
         if blobs:
@@ -261,15 +269,17 @@ def _joined(blobs: list) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.concatenate(c) for c in zip(*blobs))
 
 
-def count_phrases(docs: DataFrame, vocabulary: DataFrame, salt: int, least: int = LEAST, head_words: int = HEAD) -> DataFrame:
+def count_phrases(docs: DataFrame, vocabulary: DataFrame, salt: int, least: int = LEAST, head_words: int = HEAD,
+                  bounds: Bounds = Bounds()) -> DataFrame:
     """(key, f): every word and phrase of up to ``LONGEST`` words with ``least`` occurrences; a key is its words' hashes."""
     spark = docs.sparkSession
     frequent = vocabulary.filter(F.col("f") >= least)
     complete = frequent.count() <= head_words
     picked = frequent if complete else frequent.orderBy(F.desc("f"), "h").limit(head_words)
     head = np.sort(picked.select("h").toPandas()["h"].to_numpy(dtype=np.int64).astype(np.uint64))  # 8 bytes a word, head_words at most
-    digits = DIGITS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    phrases = stage(_frequent(_runs(docs, head, complete, salt, digits), head, least), "collocation-phrases")
+    total = vocabulary.agg(F.sum("f")).first()[0] or 0
+    digits = min(MOST_DIGITS, max(LEAST_DIGITS, -(-total // WORDS_A_DIGIT)))  # a block writes as many runs an order, at most
+    phrases = stage(_frequent(_runs(docs, head, complete, salt, digits, bounds), head, least, bounds), "collocation-phrases")
     return phrases.unionByName(frequent.select(F.array("h").alias("key"), "f"))
 
 
@@ -298,11 +308,12 @@ def independent(candidates: DataFrame) -> DataFrame:
     return candidates.join(extended.hint("merge"), "key", "left").filter(F.col("longer").isNull() | ~share).drop("longer")
 
 
-def mine(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, top: int = TOP, head_words: int = HEAD) -> DataFrame:
+def mine(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, top: int = TOP, head_words: int = HEAD,
+         bounds: Bounds = Bounds()) -> DataFrame:
     """The ``top`` collocations of each language: lang, rank, phrase, a, l, r, n, score."""
     docs = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
-    vocabulary, salt = _vocabulary(docs)
-    candidates = stage(scored(count_phrases(docs, vocabulary, salt, least, head_words)), "collocation-candidates")
+    vocabulary, salt = _vocabulary(docs, bounds)
+    candidates = stage(scored(count_phrases(docs, vocabulary, salt, least, head_words, bounds)), "collocation-candidates")
     kept = independent(candidates)
     spelled = vocabulary.filter(F.col("f") >= least).select("h", "lang", "word").hint("merge")
     words_at = kept.select("key", "a", "l", "r", "score", F.posexplode("key").alias("at", "h")).join(spelled, "h")
