@@ -42,12 +42,48 @@ def test_repetitive_texts_as_the_library(alphabet):
             assert counter.count(text, chunk, overlap) == len(pieces.encode(text))
 
 
-def test_full_word_table_changes_nothing(monkeypatch):
-    monkeypatch.setattr(byte_pairs, "KNOWN_BYTES", 900)
-    own = byte_pairs.Encoder(RANKS, P.PATTERN)
+def test_small_segments_and_replays_change_nothing(monkeypatch):
+    monkeypatch.setattr(byte_pairs, "SEGMENT", 7)
     texts = [t for t in cases.texts() if t is None or len(t) < 100_000]
-    for t in texts * 2:
-        assert own.encode([t]) == [expected(t)]
+    assert encoder.encode(texts) == [expected(t) for t in texts]
+    words = sorted({w for t in texts for w in encoder.pattern.findall(t or "")})
+    for most in (1, 50, 1 << 20):
+        counts, ids = byte_pairs.replay_all([w.encode() for w in words], encoder.vocabulary, most)
+        assert np.array_equal(ids, [i for w in words for i in library.encode_ordinary(w)]) and counts.sum() == len(ids)
+
+
+def test_every_token_is_itself():
+    some = sorted(ranks)[::7]
+    counts, ids = byte_pairs.replay(some, encoder.vocabulary)
+    assert (counts == 1).all() and ids.tolist() == [ranks[w] for w in some]
+
+
+def test_a_vocabulary_that_turns_back(tmp_path):
+    """Pairs of a lower rank than the merge that brings them up: one merge at a time, as the library does."""
+    tokens = [bytes([b]) for b in range(256)] + [b"abc", b"bcd", b"cda", b"ab", b"bc", b"cd", b"abcd", b"da", b"aa", b"aaa"]
+    file = tmp_path / "ranks"
+    file.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for r, t in enumerate(tokens)))
+    own = byte_pairs.Encoder(str(file), P.PATTERN)
+    assert own.vocabulary.turning
+    theirs = tiktoken.Encoding("turning", pat_str=P.PATTERN, mergeable_ranks={t: r for r, t in enumerate(tokens)}, special_tokens={})
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcd") for _ in range(n)) for n in (2, 3, 4, 5, 9, 30, 200) for _ in range(40)]
+    assert own.encode(texts) == [np.array(theirs.encode_ordinary(t), dtype="<u4").tobytes() for t in texts]
+
+
+@pytest.mark.parametrize("bounds", [(50, 4096, 4 << 20), (1 << 20, 2, 100)])
+def test_small_blocks_change_nothing(spark, bounds):
+    docs = cases.documents(spark)
+    words, rows, most = bounds
+    got = byte_pairs.encode(docs, RANKS, P.PATTERN, block_words=words, block_docs=rows, replay_bytes=most).collect()
+    assert len(got) == docs.count() and all(bytes(r.token_ids) == expected(r.text) for r in got)
+
+
+def test_texts_are_split_once(spark):
+    encoded = byte_pairs.encode(cases.documents(spark), RANKS, P.PATTERN)
+    encoded.collect()
+    plan = encoded._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and plan.count("MapInArrow split") == 1
 
 
 @pytest.mark.parametrize("clash", [False, True])
