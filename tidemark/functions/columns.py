@@ -43,19 +43,27 @@ def whole_number(c: str | Column) -> Column:
     """bigint from text, numbers such as '12.0' included, without their fraction; NULL when it is not a number.
 
     The way over decimal reads both spellings at once: a failed text-to-bigint cast
-    raises and catches an exception per row, which is far slower than a good cast.
+    raises and catches an exception per row, which is far slower than a good cast.  Up
+    to 18 digits and nothing else, as most keys and counts are, need no decimal.
     """
-    return exact_number(c).try_cast("bigint")
+    return F.when(_only_digits(c), col(c).cast("string").try_cast("bigint")).otherwise(exact_number(c).try_cast("bigint"))
+
+
+def _only_digits(c: str | Column) -> Column:
+    shown = F.trim(col(c).cast("string"))
+    return F.length(shown).between(1, 18) & (F.translate(shown, "0123456789", "") == "")
 
 
 def exact_number(c: str | Column) -> Column:
     """A number with up to 18 decimals; further ones are cut off, so that narrowing never rounds up."""
-    return F.regexp_replace(F.trim(col(c).cast("string")), r"(\.\d{18})\d+", "$1").try_cast("decimal(38,18)")
+    shown = F.trim(col(c).cast("string"))
+    # a point and 19 decimals are 20 characters
+    return F.when(F.length(shown) < 20, shown).otherwise(F.regexp_replace(shown, r"(\.\d{18})\d+", "$1")).try_cast("decimal(38,18)")
 
 
 def loses_fraction(c: str | Column) -> Column:
     """Is it a number that is not whole?"""
-    return F.coalesce(exact_number(c) % 1 != 0, F.lit(False))
+    return F.when(_only_digits(c), False).otherwise(F.coalesce(exact_number(c) % 1 != 0, F.lit(False)))
 
 
 def month_key(c: str | Column) -> Column:
