@@ -91,6 +91,9 @@ def test_encode_and_decode_documents(spark, clash):
     docs = cases.documents(spark, clash)
     encoded = byte_pairs.encode(docs, RANKS, P.PATTERN)
     back = byte_pairs.decode(encoded, RANKS)
+    at_once = byte_pairs.encode(docs, RANKS, P.PATTERN, decoded="decoded")
+    assert sorted(at_once.columns) == sorted(back.columns)
+    assert sorted(map(repr, at_once.select(back.columns).collect())) == sorted(map(repr, back.collect()))
     assert set(docs.columns) <= set(back.columns)
     got = back.select("text", "token_ids", "decoded").collect()
     assert len(got) == docs.count()

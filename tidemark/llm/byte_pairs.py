@@ -12,8 +12,9 @@ Within a word the order is that of the usual encoder: lowest rank first, leftmos
 a whole is that token.  Where a merge can bring up a pair of a lower rank, a word makes one merge at a time.
 
 Words are combined per block before they are shuffled, so a word that makes up a third of all text is one record a block.
-Memory: a block, the distinct words of one digit (their number grows with the session's shuffle partitions) and
-``REPLAY_BYTES`` of words at a time.  The shuffle of step 1 is read twice, by steps 2 and 3.
+Memory: a block, the distinct words of a task's digits (as many as the session has shuffle partitions, 1,024 at most) and
+``REPLAY_BYTES`` of words at a time.  The shuffle of step 1 is read twice, by steps 2 and 3; a task of step 1 that runs again
+must see its documents in the same order, as a scan of files gives them (write documents that come from a shuffle first).
 
 Null texts are empty; an empty text has no ids.  Texts of any length work, also one single long word; an empty table gives no
 rows.  Repeated rows are encoded like any other; all further columns pass through unchanged.
@@ -38,9 +39,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidemark.llm.batches import in_batches, slices
 from tidemark.llm.blobs import expand, squeeze
 
-BLOCK_WORDS, BLOCK_DOCS = 1 << 20, 4096
-REPLAY_BYTES = 4 << 20
-LEAST_DIGITS = 8
+BLOCK_WORDS, BLOCK_DOCS = 1 << 19, 4096
+REPLAY_BYTES = 1 << 20
+LEAST_DIGITS, MOST_DIGITS = 8, 1024
 SEGMENT = 1024  # ranks that are sorted into the index at a time
 NO_PAIR = np.int32(2**31 - 1)
 DOC, BODY, RUN, ANSWER = range(4)
@@ -126,7 +127,7 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.n
     ends = np.cumsum(lengths)
     owner = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
     # place n stands for "none" on either side
-    left, right = np.arange(-1, n, dtype=np.int64), np.arange(1, n + 2, dtype=np.int64)
+    left, right = np.arange(-1, n, dtype=np.int32), np.arange(1, n + 2, dtype=np.int32)
     some = lengths > 0
     left[(ends - lengths)[some]] = n
     right[ends[some] - 1] = n
@@ -138,7 +139,7 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.n
         begin, end = int(ends[k] - lengths[k]), int(ends[k])
         token[begin], token[begin + 1:end] = vocabulary.ranks[words[k]], -1
         rank[begin:end] = NO_PAIR
-    begins = np.flatnonzero(rank < NO_PAIR)
+    begins = np.flatnonzero(rank < NO_PAIR).astype(np.int32)
     if not len(begins):
         alive = token >= 0
         return np.bincount(owner[alive], minlength=len(words)), token[alive]
@@ -292,7 +293,19 @@ def _replayed(path: str, replay_bytes: int):
     return run
 
 
-def _put_together(schema: pa.Schema):
+@functools.lru_cache(maxsize=1)
+def spelling_of(path: str) -> dict[int, bytes]:
+    """The bytes of every token; kept by a Python worker for its next group."""
+    return {r: token for token, r in read_ranks(path).items()}
+
+
+def spelled(path: str, texts: list[bytes | None]) -> pa.Array:
+    """The bytes that ids (little-endian 32-bit numbers; null: none) spell."""
+    spell = spelling_of(path).__getitem__
+    return pa.array([b"".join(map(spell, np.frombuffer(x or b"", dtype="<u4").tolist())) for x in texts], type=pa.binary())
+
+
+def _put_together(schema: pa.Schema, path: str, decoded: bool):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         kind = np.asarray(block.column("_kind"))
         if not (kind == BODY).any():  # a digit's runs
@@ -307,21 +320,23 @@ def _put_together(schema: pa.Schema):
         ends = (4 * np.concatenate([[0], until])[np.cumsum(lengths)]).tolist()
         texts = [raw[a:b] for a, b in zip([0, *ends], ends)]
         docs = block.filter(pa.array(kind == DOC))
-        encoded = pa.array([texts[i] for i in docs.column("_place").to_pylist()], type=pa.binary())
-        return pa.table([docs.column("_doc"), encoded], schema=schema)
+        own = [texts[i] for i in docs.column("_place").to_pylist()]
+        return pa.table([docs.column("_doc"), pa.array(own, type=pa.binary()), *([spelled(path, own)] if decoded else [])], schema=schema)
     return run
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids", drop_text: bool = False,
-           block_words: int = BLOCK_WORDS, block_docs: int = BLOCK_DOCS, replay_bytes: int = REPLAY_BYTES) -> DataFrame:
+           decoded: str | None = None, block_words: int = BLOCK_WORDS, block_docs: int = BLOCK_DOCS, replay_bytes: int = REPLAY_BYTES) -> DataFrame:
     """The documents with a binary column ``ids`` (an existing column of that name is replaced).
 
     ``path`` must be readable on every executor; ``drop_text`` leaves the text out of the result (and out of the shuffle).
+    ``decoded`` names a further column with the bytes that the ids spell, as ``decode`` gives them, made where the ids are.
     The bounds of blocks and replays do not change the result.
     """
-    kept = [c for c in docs.columns if c.lower() != ids.lower() and not (drop_text and c == text)]
+    made = [ids, *([decoded] if decoded else [])]
+    kept = [c for c in docs.columns if c.lower() not in [m.lower() for m in made] and not (drop_text and c == text)]
     read = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept] or [F.lit(0).alias("_none")]).alias("_doc"), F.col(f"`{text}`").alias("_text"))
-    digits = max(LEAST_DIGITS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    digits = min(MOST_DIGITS, max(LEAST_DIGITS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     rows = T.StructType([T.StructField("_target", T.LongType()), T.StructField("_kind", T.IntegerType()), T.StructField("_place", T.LongType()),
                          T.StructField("_doc", read.schema["_doc"].dataType), T.StructField("_blob", T.BinaryType()), T.StructField("_words", T.BinaryType())])
     names = rows.names
@@ -338,9 +353,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
 
     blocks = in_batches(read).mapInArrow(split, rows).repartition("_target")
     answers = in_batches(blocks).mapInArrow(_replayed(path, replay_bytes), "_target bigint, _place bigint, _blob binary")
-    out = T.StructType([rows["_doc"], T.StructField("_ids", T.BinaryType())])
-    met = blocks.groupBy("_target").cogroup(answers.groupBy("_target")).applyInArrow(_put_together(to_arrow_schema(out)), out)
-    return met.select(*[F.col(f"_doc.`{c}`") for c in kept], F.col("_ids").alias(ids))
+    out = T.StructType([rows["_doc"], *[T.StructField(f"_made{k}", T.BinaryType()) for k in range(len(made))]])
+    met = blocks.groupBy("_target").cogroup(answers.groupBy("_target")).applyInArrow(
+        _put_together(to_arrow_schema(out), path, decoded is not None), out)
+    return met.select(*[F.col(f"_doc.`{c}`") for c in kept], *[F.col(f"_made{k}").alias(m) for k, m in enumerate(made)])
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -351,11 +367,9 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded
     schema = T.StructType([*kept, T.StructField(out, T.BinaryType())])
 
     def run(batches):
-        spell = {r: token for token, r in read_ranks(path).items()}.__getitem__
         for batch in batches:
             for part in slices(batch):
-                texts = [b"".join(map(spell, np.frombuffer(x or b"", dtype="<u4").tolist())) for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in picked], pa.array(texts, type=pa.binary())],
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in picked], spelled(path, part.column(at).to_pylist())],
                                                  [f.name for f in schema.fields])
 
     return in_batches(df).mapInArrow(run, schema)

@@ -21,6 +21,7 @@ BYTE_FILE = "byte_bpe_50k.json"
 CONTEXT_TOKENS = 4096
 COMMON_LINE_DOCS = 10
 LEAST_SCORE = 0.3
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 SPAM_HOSTS = r"(^|\.)(spam-farm|cheap-pills|casino-win)\."  # whose pages' urls make up the list
 
@@ -91,8 +92,7 @@ def op3_line_dedup(spark, sf_dir):
 def op4_byte_pairs(spark, sf_dir):
     path = public_tokenizers.path(BYTE_PAIR_FILE)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = byte_pairs.encode(docs, path, public_tokenizers.PATTERN, drop_text=True)
-    return byte_pairs.decode(encoded, path).select(
+    return byte_pairs.encode(docs, path, public_tokenizers.PATTERN, drop_text=True, decoded="decoded").select(
         "doc_id", F.expr("cast(octet_length(token_ids) div 4 as bigint)").alias("n_tokens"),
         sha256("token_ids").alias("ids_sha256"), sha256("decoded").alias("decoded_sha256"))
 
@@ -160,7 +160,18 @@ def op9_secret_scan(spark, sf_dir):
                         F.expr(listed("secrets")).alias("spans"))
 
 
-@query("op10_jaccard_join")
+@query("op10_jaccard_join", f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * met.n >= 75 * (x.n + y.n - met.n)),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, s.b FROM reached r JOIN steps s ON r.other = s.a)
+SELECT d.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(other) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reached USING (doc_id) GROUP BY d.doc_id""")
 def op10_jaccard_join(spark, sf_dir):
     return jaccard_join.classify(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("_id", "doc_id")
 
@@ -178,6 +189,25 @@ def op12_token_alignment(spark, sf_dir):
     return token_alignment.align(docs, public_tokenizers.path(BYTE_FILE), public_tokenizers.path(PIECE_FILE), public_tokenizers.PATTERN)
 
 
-@query("op13_collocations")
+@query("op13_collocations", f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+counts AS (SELECT lang, w[i:i + k - 1] AS g, count(*) AS a FROM places, (VALUES (1), (2), (3), (4)) orders(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+frequent AS (SELECT * FROM counts WHERE a >= {collocations.LEAST}),
+candidates AS (SELECT * FROM frequent WHERE len(g) > 1),
+cuts AS (SELECT *, unnest(range(1, len(g))) AS k FROM candidates),
+rated AS (SELECT c.lang, c.g, c.a, l.a AS l, r.a AS r, k, 2000000::HUGEINT * c.a // (l.a + r.a) AS score
+  FROM cuts c JOIN frequent l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN frequent r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+lowest AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+begun AS (SELECT lang, g, a, n, unnest(range(1, len(g) - n + 2)) AS i FROM candidates, (VALUES (2), (3)) shorter(n) WHERE n < len(g)),
+held AS (SELECT lang, g[i:i + n - 1] AS g, max(a) AS longer FROM begun GROUP BY ALL),
+kept AS (SELECT x.*, array_to_string(x.g, ' ') AS phrase FROM lowest x LEFT JOIN held h ON h.lang = x.lang AND h.g = x.g
+  WHERE longer IS NULL OR 100 * longer < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang) USING (lang) WHERE rank <= {collocations.TOP}""")
 def op13_collocations(spark, sf_dir):
     return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
