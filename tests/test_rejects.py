@@ -4,7 +4,6 @@ from pathlib import Path
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.contracts import TableContract
