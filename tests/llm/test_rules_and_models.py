@@ -117,6 +117,28 @@ def test_machine_learns_an_interaction():
     assert max(machine.score(t) for t in ("people here", "vermin here", "words", "", None)) < 0.3
 
 
+def test_machine_learns_either_but_not_both():
+    """Each term is as common in either class: only their pair tells them apart."""
+    rng = random.Random(7)
+    docs, marks = [], []
+    for _ in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        docs.append(toxicity.terms(" ".join(["people"] * a + ["vermin"] * b + rng.choices([f"filler{c}" for c in "abcdefgh"], k=4))))
+        marks.append(float(a != b))
+    machine = toxicity.fit(docs, np.array(marks))
+    wrong = sum((machine.score(t) >= 0.5) != m for t, m in (("people fillera", 1), ("vermin fillerb", 1), ("people vermin fillerc", 0), ("fillerd", 0)))
+    assert len(machine.keys) < 12 and wrong == 0
+
+
+def test_rows_of_a_repeated_id_come_once(spark):
+    texts = [(k, f"{'vile' if k % 2 else 'kind'} words number {'abcdefghij'[k % 10]}") for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    many = docs.unionAll(spark.createDataFrame([texts[3]] * 500, "doc_id long, text string"))
+    one, other = (toxicity.train(d, labels, F.lit(True)) for d in (docs, many))
+    assert np.array_equal(one.keys, other.keys) and np.allclose(one.weights, other.weights)
+
+
 def test_folds_never_overlap(spark):
     ids = spark.range(200).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
     train = {r["_id"] for r in labelled_sample(ids, "toxic", fold("doc_id", 4) != 2, 1000).collect()}

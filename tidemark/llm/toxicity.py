@@ -5,10 +5,11 @@ share one), hashed.  The machine
 adds a weight per term and, for every pair of terms in a document, the product of their factors: what an insult
 weighs may depend on whom it meets.  Pair sums are computed in time linear in the terms.
 
-Training uses at most ``SAMPLE`` labelled documents, drawn by a hash of their ids, and one of those that are near copies.  Of
-their terms those that tell the classes apart (a z-score over ``LEAST_Z`` between the shares of documents that have
-them) are the model's features, ``FEATURES`` at most.  The model is a few arrays of fixed size; scoring is one pass.
-Only the text enters a score.
+Training uses at most ``SAMPLE`` labelled documents, drawn by a hash of their ids (of an id with several texts the one with
+the smallest hashes), and one of those that are near copies.  The model's features, ``FEATURES`` at most, are the terms that tell
+the classes apart (a z-score over ``LEAST_Z`` between the shares of documents that have them) and, of the ``PAIRED`` most
+frequent terms, those of pairs that tell them apart better than either term does: a term that is balanced between the classes and matters only
+next to another one is a feature too.  The model is a few arrays of fixed size; scoring is one pass.  Only the text enters a score.
 
 Null and empty texts get the score of a document without terms; a training set of one class gives that class's share
 as everyone's score.  Repeated rows score alike; further columns pass through.
@@ -30,6 +31,7 @@ SAMPLE = 12_000  # labelled documents that training reads at most
 BEGINNINGS = (4, 6)  # letters
 FEATURES = 1 << 14
 LEAST_Z = 4.0
+PAIRED = 1024
 FACTORS = 8
 EPOCHS = 12
 SEED = 11
@@ -69,21 +71,38 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[x].sum() + pairs, -30, 30))))
 
 
+def _z(with_mark: np.ndarray, having: np.ndarray, marked: float, n: int) -> np.ndarray:
+    """z-scores of the difference between the shares of marked and of other documents that have something."""
+    share, pooled = with_mark / marked - (having - with_mark) / (n - marked), having / n
+    return np.abs(share) / np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / marked + 1 / (n - marked)))
+
+
 def telling_terms(docs: list[np.ndarray], marks: np.ndarray) -> np.ndarray:
-    """Sorted hashes of the terms whose shares in the two classes differ most, by z-score."""
+    """Sorted hashes of the terms whose shares in the two classes, alone or in a pair, differ most."""
     if not docs or marks.min() == marks.max():
         return np.empty(0, dtype=np.uint64)
     keys, having = np.unique(np.concatenate(docs), return_counts=True)
     marked, times = np.unique(np.concatenate([d for d, m in zip(docs, marks) if m]), return_counts=True)
     with_mark = np.zeros(len(keys))
     with_mark[np.searchsorted(keys, marked)] = times
-    n1, n = marks.sum(), len(marks)
-    share, pooled = with_mark / n1 - (having - with_mark) / (n - n1), having / n
-    z = np.abs(share) / np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / n1 + 1 / (n - n1)))
+    z = _z(with_mark, having, marks.sum(), len(marks))
+    frequent = np.sort(np.lexsort((keys, -having))[:PAIRED])
+    z[frequent] = np.maximum(z[frequent], pair_gains(docs, marks, keys[frequent], z[frequent]))
     ranked = np.lexsort((keys, -z))
     return np.sort(keys[ranked[z[ranked] >= LEAST_Z][:FEATURES]])
 
 
+def pair_gains(docs: list[np.ndarray], marks: np.ndarray, keys: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """By how much each term's best pair tells the classes apart better than either of its terms."""
+    present = np.zeros((len(docs), len(keys)), dtype=np.float32)
+    for row, d in zip(present, docs):
+        row[np.flatnonzero(np.isin(keys, d, assume_unique=True))] = 1
+    both, both_marked = present.T @ present, present[marks > 0].T @ present[marks > 0]
+    gains = _z(both_marked.astype(float), both.astype(float), marks.sum(), len(marks)) - np.maximum(z[:, None], z[None, :])
+    np.fill_diagonal(gains, 0)
+    return gains.max(axis=1)
+
+
 def fit(docs: list[np.ndarray], marks: np.ndarray) -> Machine:
     """Logistic loss, AdaGrad over single documents in a fixed random order, shrinking weights and factors."""
     rng = np.random.Generator(np.random.PCG64(SEED))
@@ -129,11 +148,12 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, mark: str = "tox
     rows = in_batches(picked).mapInArrow(hashed, T.StructType([
         T.StructField("_id", T.LongType()), T.StructField("_mark", T.IntegerType()), T.StructField("_terms", T.BinaryType()),
         T.StructField("_copies", T.ArrayType(T.LongType()))]))
+    one = rows.groupBy("_id").agg(F.min(F.struct("_terms", "_mark", "_copies")).alias("_one")).select("_id", "_one.*")  # limit rows, whatever repeats
     met, own, marks = set(), [], []
-    for row in rows.toPandas().sort_values(["_id", "_terms"]).itertuples():
+    for row in one.toPandas().sort_values("_id").itertuples():
         if met.isdisjoint(row[4]):
-            own.append(np.frombuffer(row[3], dtype=np.uint64))
-            marks.append(row[2])
+            own.append(np.frombuffer(row[2], dtype=np.uint64))
+            marks.append(row[3])
         met.update(row[4])
     return fit(own, np.array(marks, dtype=float))
 
