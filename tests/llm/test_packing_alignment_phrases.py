@@ -1,7 +1,6 @@
 """The operators of curve packing, token alignment and collocation mining against the libraries and brute force."""
 
 import hashlib
-import json
 import random
 import re
 import zlib

@@ -14,7 +14,7 @@ Counting is external, by radix-partitioned runs:
 3. blocks meet their counts again and sum them up by document.
 
 As pairs are counted per block before they are shuffled, a pair that stands in every document is one record a block.
-Memory: a block, or one digit's runs, whose number grows with the session's shuffle partitions.
+Memory: a block, or one digit's runs, of which every block has one: a record per different pair of the digit.
 
 Texts that are null or empty, or whose tokens do not spell the text with a space before it, have no tokens: zeros and ''.
 Repeated rows are documents of their own.  An empty table gives no rows.  Long texts are cut for B at spaces after a
@@ -44,7 +44,7 @@ from tidemark.workspace import new_folder
 
 BLOCK_LINKS = 1 << 21
 BLOCK_DOCS = 4096
-DIGITS_PER_PARTITION = 4
+DIGITS_PER_PARTITION, MOST_DIGITS = 4, 256  # a block writes as many runs, at most
 LONG = 16_384  # characters given to B at once
 SPACE = "▁"
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -198,8 +198,8 @@ def merge_runs(runs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarr
 class Block:
     """Documents of a task until there are enough of them."""
 
-    def __init__(self, schema: T.StructType, digits: int):
-        self.schema, self.digits, self.number = schema, digits, 0
+    def __init__(self, schema: T.StructType, digits: int, most_links: int, most_docs: int):
+        self.schema, self.digits, self.most_links, self.most_docs, self.number = schema, digits, most_links, most_docs, 0
         self.clear()
 
     def clear(self) -> None:
@@ -214,7 +214,7 @@ class Block:
             self.links += len(keys)
 
     def full(self) -> bool:
-        return self.links >= BLOCK_LINKS or len(self.rows) >= BLOCK_DOCS
+        return self.links >= self.most_links or len(self.rows) >= self.most_docs
 
     def write(self) -> pa.RecordBatch:
         """Rows of documents, the block's body and its runs."""
@@ -239,7 +239,8 @@ class Block:
         return batch
 
 
-def _blocks(docs: DataFrame, path_a: str, path_b: str, pattern: str, text: str, carried: list[str], digits: int) -> DataFrame:
+def _blocks(docs: DataFrame, path_a: str, path_b: str, pattern: str, text: str, carried: list[str], digits: int,
+            most_links: int, most_docs: int) -> DataFrame:
     read = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried] or [F.lit(0).alias("_none")]).alias("_doc"), F.col(f"`{text}`").alias("_text"))
     schema = T.StructType([T.StructField("_block", T.LongType()), T.StructField("_kind", T.IntegerType()), T.StructField("_place", T.LongType()),
                            T.StructField("_doc", read.schema["_doc"].dataType), *[T.StructField(c, T.LongType()) for c in COUNTS],
@@ -252,7 +253,7 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, pattern: str, text: str,
         return aligned.numbers(), hashlib.sha256(aligned.groups().encode()).hexdigest(), aligned.pairs()
 
     def run(batches):
-        pair, block = pair_of(path_a, path_b, pattern), Block(schema, digits)
+        pair, block = pair_of(path_a, path_b, pattern), Block(schema, digits, most_links, most_docs)
         for batch in batches:
             for part in slices(batch, 64):
                 block.add(part.column(0), [digest(pair.align(x.as_py())) for x in part.column(1)])
@@ -310,17 +311,18 @@ def _summed(table: pa.Table, names: list[str]) -> pa.Table:
     return pa.table({c: columns[c] for c in names})
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, pattern: str, text: str = "text") -> DataFrame:
+def align(docs: DataFrame, path_a: str, path_b: str, pattern: str, text: str = "text",
+          block_links: int = BLOCK_LINKS, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """The documents' other columns with the columns ``RESULT``.
 
     ``path_a`` is a byte-level tokenizers file with ``pattern`` as its words, ``path_b`` a sentencepiece model; both are
-    read on every executor.
+    read on every executor.  The bounds of a block do not change the result.
     """
     spark = docs.sparkSession
     carried = [c for c in docs.columns if c != text and c.lower() not in RESULT]
-    digits = DIGITS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    digits = min(MOST_DIGITS, DIGITS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
     folder = new_folder(spark, "link-blocks")
-    _blocks(docs, path_a, path_b, pattern, text, carried, digits).write.option("compression", "zstd").parquet(folder)
+    _blocks(docs, path_a, path_b, pattern, text, carried, digits, block_links, block_docs).write.option("compression", "zstd").parquet(folder)
     blocks = spark.read.parquet(folder)
     runs = blocks.filter(F.col("_kind") == RUN).select(F.col("_place").alias("_digit"), "_block", "_blob")
     answers = in_batches(runs.repartition("_digit").sortWithinPartitions("_digit", "_block")).mapInArrow(
