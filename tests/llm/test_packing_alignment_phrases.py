@@ -1,8 +1,12 @@
 """The operators of curve packing, token alignment and collocation mining against the libraries and brute force."""
 
 import hashlib
+import json
+import pathlib
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -246,6 +250,14 @@ def test_collocations_match_brute_force(spark, least, head, bounds):
     assert sorted(map(tuple, got.collect())) == brute_collocations(rows, least)
 
 
+@pytest.mark.parametrize("first", ["curve_packing", "collocations"])
+def test_hashes_do_not_depend_on_what_a_worker_imported_first(first):
+    code = f"import tidemark.llm.{first}; from tidemark.llm import collocations, curve_packing; " \
+           "print(collocations._VALUES.tolist() + curve_packing._PARTS.tolist())"
+    told = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=pathlib.Path(collocations.__file__).parents[2])
+    assert json.loads(told.stdout) == collocations._VALUES.tolist() + curve_packing._PARTS.tolist()
+
+
 def test_top_collocations(spark):
     rows = phrase_rows()
     got = collocations.mine(spark.createDataFrame(rows, "lang string, text string"), least=3, top=4)

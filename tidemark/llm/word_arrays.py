@@ -12,12 +12,16 @@ import numpy as np
 
 from tidemark.llm.batches import _BACK, _STEP, BLOCK_BYTES, _powers, mix
 
-_random = np.random.Generator(np.random.PCG64(20240612))
+_SEED = 20240612
 
 
 def table(separators: bytes) -> np.ndarray:
-    """A value for each byte, none for separators."""
-    values = _random.integers(1, 2**64, 256, dtype=np.uint64)
+    """A value for each byte, none for separators.
+
+    The separators alone decide the values: Python workers import the modules that ask for tables in any order, and
+    all of them must give a word the same hash.
+    """
+    values = np.random.Generator(np.random.PCG64([_SEED, *separators])).integers(1, 2**64, 256, dtype=np.uint64)
     values[list(separators)] = 0
     values[ord("A"):ord("Z") + 1] = values[ord("a"):ord("z") + 1]
     return values
