@@ -7,7 +7,8 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import keyed_batch, latest_by_key
+from tidemark import fixed_values as fv
+from tidemark.operators.dedup import keyed_batch, latest_by_hash, latest_by_key, with_hash_key
 from tidemark.operators.upsert import keyed_upsert, update_only
 from tidemark.sources.tables import EmptyPublication, LakeTable, WriteConflict
 
@@ -173,3 +174,30 @@ def test_a_key_the_table_does_not_have_is_an_error(spark, folder):
     t.publish(spark.createDataFrame([(1, "a")], "k int, v string"))
     with pytest.raises(ValueError):
         t.upsert(spark.createDataFrame([(1, 1, "a")], "k int, other int, v string"), ["other"])
+
+
+def test_equal_records_are_combined_before_the_shuffle(spark):
+    df = spark.range(30).select(F.col("id") % 3, F.lit("a").alias("v"), F.lit(at(1)).cast("timestamp").alias(fv.INGESTED_AT))
+    batch, _ = keyed_batch(df, ())
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("HashAggregate") == 2
+    assert batch.count() == 3
+
+
+def test_records_by_value_are_records_by_hash(spark):
+    data = [(x, y, s, t) for x in (0.0, -0.0, float("nan"), 1.5, None) for y in (0.0, -0.0, None) for s in ("", None, "a") for t in (at(1), at(2), None)] * 2
+    df = spark.createDataFrame(data, f"x double, `y.z` float, s string, {fv.INGESTED_AT} timestamp")
+    batch, key = keyed_batch(df, ())
+    told = latest_by_hash(with_hash_key(df))
+    assert batch.columns == told.columns and repr(rows(batch)) == repr(rows(told)) and batch.count() == 45
+
+
+def test_a_folder_whose_rows_are_all_replaced_is_not_read_again(spark, folder, monkeypatch):
+    target = LakeTable(spark, folder, ["p"])
+    target.upsert(spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, "b", "x"), (4, "b", "x")], "k int, p string, v string"), ["k"])
+    written, write = [], LakeTable._write
+    monkeypatch.setattr(LakeTable, "_write", lambda self, df, version, what: written.append(what) or write(self, df, version, what))
+    target.upsert(spark.createDataFrame([(1, "a", "y"), (2, "b", "y")], "k int, p string, v string"), ["k"])
+    assert written == ["new"] and rows(target.read()) == [(1, "a", "y"), (2, "b", "y"), (3, "b", "x"), (4, "b", "x")]
+    target.upsert(spark.createDataFrame([(3, "a", "z")], "k int, p string, v string"), ["k"])
+    assert written == ["new", "new", "kept"] and rows(target.read(), "k", "v") == [(1, "y"), (2, "y"), (3, "z"), (4, "x")]
