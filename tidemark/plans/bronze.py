@@ -30,6 +30,8 @@ from tidemark.sources.tables import LakeTable
 from tidemark.workspace import stage
 
 PARTITIONS = (fv.SOURCE_YEAR, fv.SOURCE_MONTH)
+# rows of a file of parsed lines: keys and repeated paths take few bytes, so that a split of the usual size would hold many millions of rows
+FILE_ROWS = 1 << 18
 
 
 class Rejected(ValueError):
@@ -174,7 +176,7 @@ def parse(spark: SparkSession, settings: Settings, contract: TableContract | Non
         if not each and any(b.fmt == "csv" for b, _ in refused):
             continue
         try:
-            return (stage(_together(opened), "landed-rows") if opened else None), refused
+            return (stage(_together(opened), "landed-rows", FILE_ROWS) if opened else None), refused
         except Exception:  # noqa: BLE001  some header may be another one
             if each or not any(b.fmt == "csv" for b in batches):
                 raise
@@ -182,23 +184,36 @@ def parse(spark: SparkSession, settings: Settings, contract: TableContract | Non
 
 
 def inspect(raw: DataFrame, contract: TableContract | None) -> list[Row]:
-    """Per file, from one pass over all batches of a table: rows, rejected lines, rows of another month (and the first
-    and last such month) and cells lost to casts."""
+    """Per file, from one pass over all batches of a table: rows, rejected lines, rows of another month and cells lost to casts.
+
+    Counts alone, so that no task has to sort its rows for them (see ``strays``).
+    """
     fits = F.col(REJECTED_LINE).isNull()
-    off, month = F.lit(False), F.lit(None).cast("string")
-    if fv.MONTH in raw.columns:
-        expected = F.concat(F.col(fv.SOURCE_YEAR), F.lit("-"), F.col(fv.SOURCE_MONTH))
-        off = fits & F.col(fv.SOURCE_MONTH).isNotNull() & off_month(expected)
-        month = F.when(off, F.col(fv.MONTH).cast("string"))
     lost = lost_cells(raw, contract) if contract else []
     cells = F.struct(*lost) if lost else F.lit(None)
     empty = [F.count_if(fits & F.col(f"`{c}`").isNotNull()) for c in (contract.column_names if contract else [])]
     per_file = raw.groupBy(fv.SOURCE_PATH).agg(
-        F.count_if(fits).alias("rows"), F.count_if(~fits).alias("rejected"), F.count_if(off).alias("off"),
-        F.array(F.min(month), F.max(month)).alias("months"), cells.alias("lost"), F.array(*empty).cast("array<bigint>").alias("filled"))
+        F.count_if(fits).alias("rows"), F.count_if(~fits).alias("rejected"), F.count_if(_stray(raw)).alias("off"),
+        cells.alias("lost"), F.array(*empty).cast("array<bigint>").alias("filled"))
     return per_file.collect()  # one row per file
 
 
+def _stray(raw: DataFrame) -> Column:
+    """Is a row's month another one than its folder's?"""
+    if fv.MONTH not in raw.columns:
+        return F.lit(False)
+    expected = F.concat(F.col(fv.SOURCE_YEAR), F.lit("-"), F.col(fv.SOURCE_MONTH))
+    return F.col(REJECTED_LINE).isNull() & F.col(fv.SOURCE_MONTH).isNotNull() & off_month(expected)
+
+
+def strays(raw: DataFrame) -> dict[str, tuple[str, str]]:
+    """Per file with rows of another month: the first and the last such month."""
+    months = raw.filter(_stray(raw)).select(fv.SOURCE_PATH, F.col(fv.MONTH).cast("string").alias("month")) \
+        .distinct().filter("month is not null")
+    found = months.groupBy(fv.SOURCE_PATH).agg(F.min("month").alias("first"), F.max("month").alias("last"))
+    return {r[fv.SOURCE_PATH]: (r["first"], r["last"]) for r in found.collect()}  # at most one row per file
+
+
 def reject_lines(spark: SparkSession, settings: Settings, table: str, raw: DataFrame) -> None:
     """Keep the lines that do not fit, with the reason."""
     lines = raw.filter(F.col(REJECTED_LINE).isNotNull()).select(
@@ -242,6 +257,7 @@ def load_table(spark: SparkSession, settings: Settings, contracts: dict[str, Tab
     keys: dict[File, set[str]] = {f: set() for f in doubtful}
     for row in json_keys(spark, [p for _, p in doubtful]).collect() if doubtful else ():  # one row per file
         keys[owner(row.path, landed)].update(row["keys"])
+    other_months = strays(raw) if any(r.off for found in figures.values() for r in found) else {}
     good: list[File] = []
     for (b, p), found in figures.items():
         rows, rejected, off = (sum(r[c] for r in found) for c in ("rows", "rejected", "off"))
@@ -250,7 +266,7 @@ def load_table(spark: SparkSession, settings: Settings, contracts: dict[str, Tab
         elif (b, p) in keys and (gone := contract.missing(sorted(keys[b, p]))):
             outcomes[b, p] = Outcome(fv.FAILED, message=f"{table}: columns {gone} are missing")
         elif off:
-            months = sorted({m for r in found for m in r.months if m is not None})
+            months = sorted({m for r in found for m in other_months.get(r[fv.SOURCE_PATH], ())})
             outcomes[b, p] = Outcome(fv.FAILED, message=f"{table}: {off} rows outside {settings.year}-{b.month}, such as {[months[0], months[-1]]}")
         else:
             good.append((b, p))
@@ -261,7 +277,7 @@ def load_table(spark: SparkSession, settings: Settings, contracts: dict[str, Tab
         paths = [(r[fv.SOURCE_PATH],) for f in good for r in figures[f]]
         fit = fit.join(spark.createDataFrame(paths, f"{fv.SOURCE_PATH} string"), fv.SOURCE_PATH, "left_semi")
     technical = [c for c in fit.columns if c.startswith("_tm_")]
-    merged, key = keyed_batch(conform(fit, contract, keep=technical), contract.key if contract else fv.PRIMARY_KEYS.get(table, ()))
+    merged, key = keyed_batch(conform(fit, contract, keep=technical), contract.key if contract else fv.PRIMARY_KEYS.get(table, ()), technical)
     LakeTable(spark, settings.table_path("bronze", table), PARTITIONS).upsert(merged, key)
     for f in good:
         outcomes[f] = _loaded(figures[f])
