@@ -1,8 +1,11 @@
 """What is shuffled, and how often, by plans over large tables."""
 
 import pytest
+from conftest import rows
+from pyspark.sql import functions as F
 
-from suite.tables import base_lake
+from suite.tables import base_lake, silver_lake
+from tidemark.plans import marts
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,3 +25,43 @@ def test_lines_meet_their_orders_where_they_were_deduplicated(spark, no_broadcas
     plan = base_lake(spark, SF)["fact_compras"]._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(l_orderkey") == 1
     assert plan.count("SortMergeJoin [l_orderkey") == 1
+
+
+def exchanges(df):
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+
+
+def test_products_that_meet_their_movements_are_not_shuffled_again(spark, no_broadcasts):
+    lake = silver_lake(spark, SF)
+    assert len(exchanges(marts.inventory_core(lake))) == len(exchanges(base_lake(spark, SF)["fact_inventario_mensual"]))
+    last = exchanges(base_lake(spark, SF)["fact_inventario_mensual"])
+    assert sum("hashpartitioning(producto_id" in x for x in last) == 1 and not any("hashpartitioning(l_partkey" in x for x in last)
+
+
+def test_lines_are_staged_without_what_can_be_derived(spark):
+    stored = base_lake(spark, SF, staged="lines")["fact_ventas_detalle"].inputFiles()
+    kept = spark.read.parquet(*stored)
+    assert not {"detalle_venta_id", "venta_id", "producto_id", "mes_carga", "valor_total_linea", "margen_bruto_linea"} & set(kept.columns)
+
+
+def test_rows_of_staged_lines_go_to_their_order_before_they_are_summed(spark, no_broadcasts):
+    plan = base_lake(spark, SF, staged="lines")["fact_ventas_cabecera"]._jdf.queryExecution().executedPlan().toString()
+    (dealt,) = [x for x in plan.splitlines() if "Exchange hashpartitioning(l_orderkey" in x]
+    assert "REPARTITION_BY_COL" in dealt
+
+
+def test_suppliers_meet_lines_before_anything_is_derived(spark, no_broadcasts):
+    plan = base_lake(spark, SF, staged="lines")["fact_logistica_entregas"]._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join Inner, (l_suppkey"):]
+    assert "date_format" not in join and "decimal" not in join.split("Relation")[0]
+
+
+def test_a_part_that_is_there_twice_counts_twice_in_stock(spark, folder, no_broadcasts):
+    for t in ("region", "nation", "customer", "supplier", "orders", "lineitem"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{folder}/{t}.parquet")
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    twice = part.filter("p_partkey % 3 = 0")
+    other = part.filter("p_partkey % 5 = 0").withColumn("p_size", F.col("p_size") + 1)
+    part.unionByName(twice).unionByName(other).write.parquet(f"{folder}/part.parquet")
+    plain, staged = (base_lake(spark, folder, staged=s)["fact_inventario_mensual"] for s in ("", "lines"))
+    assert plain.columns == staged.columns and rows(plain) == rows(staged)
