@@ -61,3 +61,21 @@ def test_parents_come_from_the_own_domain_else_from_shared(spark):
         report = quality.report({**child, **own}, spark, shared=shared)
         assert rows(report.filter("check_name = 'fk_ciudad_id_to_dim_ciudad_ciudad_id'"), "status") == [(status,)]
         assert own or report.filter("table_name = 'dim_ciudad'").isEmpty()
+
+
+def test_keys_that_references_look_for_are_checked_by_the_grouping_of_references(spark):
+    city = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("b",), (None,), (None,), ("c",)], "ciudad_id string")
+    store = spark.createDataFrame([("t", "a"), ("u", "x"), ("v", "x"), ("w", None), ("x", "y")], "tienda_id string, ciudad_id string")
+    for cities in (city, city.filter("ciudad_id = 'c'"), city.filter("ciudad_id > 'c'"), city.filter("ciudad_id is null")):
+        tables = {"dim_ciudad": cities, "dim_tienda": store}
+        report = quality.report(tables, spark, note_skipped=False)
+        alone = {(r.check_name, r.failing_count, r.description) for r in quality.key_checks("dim_ciudad", cities, ["ciudad_id"]).collect()}
+        own = report.filter("table_name = 'dim_ciudad'")
+        assert {(r.check_name, r.failing_count, r.description) for r in own.collect()} == alone and own.count() == 3
+        orphans = quality.orphans(store, "ciudad_id", cities, "ciudad_id").count()
+        assert rows(report.filter("check_name like 'fk%'"), "failing_count") == [(orphans,)]
+        plan = report._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate [ciudad_id" not in plan
+    reals = {"dim_ciudad": spark.createDataFrame([(0.0,), (-0.0,)], "ciudad_id double"), "dim_tienda": store}
+    found = quality.report(reals, spark).filter("table_name = 'dim_ciudad' and check_name = 'primary_key_unique'")
+    assert rows(found, "failing_count") == [(1,)]  # zeros that differ in their texts alone
