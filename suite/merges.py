@@ -10,7 +10,7 @@ from suite.registry import query, table
 from suite.sql import sql
 from suite.tables import LINE_KEY, LINE_NEWEST, base_lake, money, month
 from tidemark import fixed_values as fv
-from tidemark.operators.dedup import keyed_batch, latest_by_key, with_hash_key
+from tidemark.operators.dedup import distinct_records, keyed_batch, latest_by_key, with_hash_key
 from tidemark.operators.upsert import keyed_upsert
 from tidemark.contracts import TableContract
 from tidemark.plans import silver
@@ -77,9 +77,11 @@ def bronze_upsert_hash(spark, sf):
             fv.SOURCE_YEAR: F.date_format("l_shipdate", "yyyy"), fv.INGESTED_AT: F.lit(wave).cast("timestamp")})
         batch, key = keyed_batch(arrived, ())
         target.upsert(batch, key)
-    return target.read().groupBy(F.col(fv.SOURCE_YEAR).alias("anio")).agg(
-        F.count("*").alias("registros"), F.count_distinct(fv.RECORD_HASH).alias("claves"),
-        F.sum(money("l_extendedprice")).alias("importe"))
+    loaded = target.read().withColumnRenamed(fv.SOURCE_YEAR, "anio")
+    figures = loaded.groupBy("anio").agg(F.count("*").alias("registros"), F.sum(money("l_extendedprice")).alias("importe"))
+    found = distinct_records(loaded, "anio").withColumnRenamed("anio", "_anio")
+    return figures.join(found, F.col("anio").eqNullSafe(F.col("_anio")), "left").select(
+        "anio", "registros", F.coalesce("registros_distintos", F.lit(0)).alias("claves"), "importe")
 
 
 @query("schema_evolution_upsert", """

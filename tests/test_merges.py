@@ -5,11 +5,12 @@ from datetime import datetime
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from tidemark import fixed_values as fv
-from tidemark.operators.dedup import keyed_batch, latest_by_hash, latest_by_key, with_hash_key
+from tidemark.operators.dedup import distinct_records, keyed_batch, latest_by_hash, latest_by_key, with_hash_key
 from tidemark.operators.upsert import keyed_upsert, update_only
+from tidemark.sources import tables
 from tidemark.sources.tables import EmptyPublication, LakeTable, WriteConflict
 
 SCHEMA = "k long, v string, _tm_ingestion_ts timestamp, _tm_source_path string"
@@ -201,3 +202,80 @@ def test_a_folder_whose_rows_are_all_replaced_is_not_read_again(spark, folder, m
     assert written == ["new"] and rows(target.read()) == [(1, "a", "y"), (2, "b", "y"), (3, "b", "x"), (4, "b", "x")]
     target.upsert(spark.createDataFrame([(3, "a", "z")], "k int, p string, v string"), ["k"])
     assert written == ["new", "new", "kept"] and rows(target.read(), "k", "v") == [(1, "y"), (2, "y"), (3, "z"), (4, "x")]
+
+
+# --- what is shuffled and written by a merge
+
+def plans_of(monkeypatch):
+    """Plans of the frames that are written, as they are handed to the writer."""
+    seen, plain = [], DataFrameWriter.parquet
+
+    def parquet(self, *args, **kwargs):
+        seen.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return plain(self, *args, **kwargs)
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return seen
+
+
+def test_a_batch_is_written_where_it_was_deduplicated(spark, folder, monkeypatch):
+    plans = plans_of(monkeypatch)
+    rows_ = spark.range(1000).select((F.col("id") % 500).alias("id"), (F.col("id") % 2).cast("string").alias("m"), F.lit(at(1)).cast("timestamp").alias(fv.INGESTED_AT))
+    batch, key = keyed_batch(rows_, ())
+    LakeTable(spark, folder, ["m"]).upsert(batch, key)
+    assert len(plans) == 1 and plans[0].count("Exchange") == 1  # that of the grouping, before the hash is there
+
+
+def test_rows_that_stay_are_rewritten_without_a_shuffle(spark, folder, monkeypatch):
+    target = LakeTable(spark, folder, ["m"])
+    target.upsert(spark.range(1000).select("id", F.lit("x").alias("v"), (F.col("id") % 3).cast("string").alias("m")), ["id"])
+    plans = plans_of(monkeypatch)
+    target.upsert(spark.range(0, 1000, 7).select("id", F.lit("y").alias("v"), F.lit("0").alias("m")), ["id"])
+    kept = plans[-1]
+    assert "BroadcastHashJoin" in kept and "SortMergeJoin" not in kept and "LeftAnti" not in kept
+    assert rows(target.read(), "id", "v") == sorted([(i, "y" if i % 7 == 0 else "x") for i in range(1000)], key=repr)
+
+
+@pytest.mark.parametrize("marked", [1 << 28, 150])
+def test_rows_that_stay_are_right_however_they_are_portioned(spark, folder, monkeypatch, marked):
+    monkeypatch.setattr(tables, "MARKED_ROWS", marked)
+    monkeypatch.setattr(tables, "BLOCK", 128)  # several blocks a file
+    target = LakeTable(spark, folder, ["m"])
+    start = spark.range(0, 2000, 1, 3).select(F.nullif("id", F.lit(5)).alias("k"), F.lit("x y").alias("v"), (F.col("id") % 2).cast("string").alias("m"))
+    target.upsert(start, ["k"])
+    target.upsert(spark.range(0, 2000, 3).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("new").alias("v"), F.lit("c").alias("m")), ["k"])
+    wanted = [(k, "x y") for k in range(2000) if k != 5 and (k % 3 or k == 0)] + [(k or None, "new") for k in range(0, 2000, 3)]
+    assert rows(target.read(), "k", "v") == sorted(wanted, key=repr)
+
+
+def test_a_multitude_of_small_files_is_written_again(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "MANY_FILES", 8)
+    target = LakeTable(spark, folder, ["m"])
+    target.publish(spark.range(0, 1000, 1, 8).select("id", (F.col("id") % 4).cast("string").alias("m")))
+    assert len(target.read().inputFiles()) == 4 and target.read().count() == 1000
+
+
+def test_texts_that_are_no_hash_are_told_as_they_are(spark, folder):
+    ha, other = "ab" * 32, ["AB" * 32, "ab" * 31 + "a", "", "zz", None, "ab" * 33]
+    target = LakeTable(spark, folder)
+    made = spark.createDataFrame([(h, i) for i, h in enumerate([ha, *other])], f"{fv.RECORD_HASH} string, i int")
+    target.upsert(made, [fv.RECORD_HASH])
+    target.upsert(spark.createDataFrame([(ha, 10), ("", 11), (None, 12)], f"{fv.RECORD_HASH} string, i int"), [fv.RECORD_HASH])
+    assert rows(target.read(), "i") == sorted([(i,) for i in (1, 2, 4, 6, 10, 11, 12)], key=repr)
+    twice = made.unionByName(made).withColumn("k", F.col("i") % 2)
+    assert rows(latest_by_key(twice, ["i"]), fv.RECORD_HASH, "i") == rows(made)
+
+
+def test_the_hash_is_shuffled_as_bytes(spark):
+    df = spark.range(10).select((F.col("id") % 5).alias("id"), F.sha2(F.col("id").cast("string"), 256).alias(fv.RECORD_HASH))
+    plan = latest_by_key(df, ["id"])._jdf.queryExecution().executedPlan().toString()
+    exchanged = plan[plan.index("Exchange"):]
+    assert "unhex" in exchanged and "lower(hex(_hash" in plan[:plan.index("Exchange")]
+
+
+def test_distinct_records_are_exact(spark, monkeypatch):
+    data = [(m, h) for m, h in ((None, "a"), (None, "a"), (None, "b"), ("x", "a"), ("x", "c"), ("x", None), ("y", None)) for _ in range(2)]
+    df = spark.createDataFrame([*data, ("z", "a"), ("z", "b")], f"m string, {fv.RECORD_HASH} string")
+    wanted = sorted([(None, 2), ("x", 2), ("z", 2)], key=repr)
+    assert rows(distinct_records(df, "m")) == wanted
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(7).cast("bigint"))  # all hashes share their bits
+    assert rows(distinct_records(df, "m")) == wanted
