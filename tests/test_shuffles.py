@@ -1,11 +1,14 @@
 """What is shuffled, and how often, by plans over large tables."""
 
+from decimal import Decimal
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from suite.tables import base_lake, silver_lake
-from tidemark.plans import marts
+from tidemark.operators.rollup import Lake
+from tidemark.plans import dims, marts
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,3 +68,32 @@ def test_a_part_that_is_there_twice_counts_twice_in_stock(spark, folder, no_broa
     part.unionByName(twice).unionByName(other).write.parquet(f"{folder}/part.parquet")
     plain, staged = (base_lake(spark, folder, staged=s)["fact_inventario_mensual"] for s in ("", "lines"))
     assert plain.columns == staged.columns and rows(plain) == rows(staged)
+
+
+# --- products with nearly as many groups as lines
+
+def test_sold_products_are_grouped_and_named_where_they_lie(spark, no_broadcasts):
+    sold = exchanges(marts.product_sales(silver_lake(spark, SF)))
+    assert not any("hashpartitioning(mes_carga" in x for x in sold)
+    assert sum("hashpartitioning(producto_id" in x and "REPARTITION_BY_COL" in x for x in sold) == 2
+
+
+def lake_of(spark, name, data, schema):
+    return Lake({name: spark.createDataFrame(data, schema)}, keyed=[name])
+
+
+def test_sales_of_products_add_up_over_shares(spark):
+    places = [("2026-01", "t", "c", "k", "g", p) for p in ("p", "q", None)] + [(None, None, "c", "k", None, "p")]
+    data = [(f"d{i}-{j}" if i % 5 else None, None if i % 7 == 0 else f"v{i % 40}", *place, i, *[Decimal(i * j) / 100] * 4)
+            for i in range(120) for j, place in enumerate(places) if (i + j) % 3]
+    lake = lake_of(spark, "fact_ventas_detalle", data, "detalle_venta_id string, venta_id string, mes_carga string, tienda_id string, ciudad_id string, "
+                   "canal_id string, categoria_id string, producto_id string, cantidad bigint, base_sin_iva decimal(18,2), valor_total_linea decimal(18,2), "
+                   "costo_total_linea decimal(18,2), margen_bruto_linea decimal(18,2)")
+    plain, dealt = marts.product_sales_core(lake), marts._sold_by_product(lake)
+    assert dealt.dtypes == plain.dtypes and rows(dealt) == rows(plain) and len(rows(plain)) == 4
+
+
+def test_products_keep_their_columns_in_order(spark):
+    lake = silver_lake(spark, SF)
+    joined = dims.attach(dims.attach_store(marts.product_sales_core(lake), lake), dims.city(lake), dims.channel(lake), dims.product(lake), dims.category(lake))
+    assert marts.product_sales(lake).dtypes == joined.dtypes

@@ -7,7 +7,7 @@ threshold and shuffles it beyond that.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -92,6 +92,17 @@ def attach(df: DataFrame, *views: DataFrame) -> DataFrame:
     return df
 
 
+def attach_product(df: DataFrame, tables: Mapping[str, DataFrame], before: Callable[[DataFrame], DataFrame], *after: DataFrame) -> DataFrame:
+    """Attach what ``before`` attaches, the product, and the views ``after`` it; columns in that order.
+
+    Products are the one large dimension, so they are joined first: a shuffle for that join carries no names of the others.
+    """
+    view = product(tables)
+    key, *names = view.columns
+    others = [c for c in before(df).columns if c != key]
+    return attach(before(attach(df, view)).select(key, *others, *names), *after)
+
+
 def attach_store(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Store and store city, joined one after the other.
 
