@@ -97,3 +97,11 @@ def test_products_keep_their_columns_in_order(spark):
     lake = silver_lake(spark, SF)
     joined = dims.attach(dims.attach_store(marts.product_sales_core(lake), lake), dims.city(lake), dims.channel(lake), dims.product(lake), dims.category(lake))
     assert marts.product_sales(lake).dtypes == joined.dtypes
+
+
+def test_purchases_are_grouped_where_they_meet_their_terms(spark, no_broadcasts):
+    bought = exchanges(marts.purchases(silver_lake(spark, SF, staged="lines")))
+    assert not any("hashpartitioning(mes_carga" in x for x in bought)
+    (dealt,) = [x for x in bought if "hashpartitioning(producto_id" in x and "proveedor_id" in x and "REPARTITION_BY_COL" in x]
+    first = next(x for x in bought if "hashpartitioning(tienda_id" in x)  # stores come after products and suppliers
+    assert bought.index(first) < bought.index(dealt)

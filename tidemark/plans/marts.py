@@ -221,26 +221,34 @@ def inventory(lake: Lake) -> DataFrame:
     return dims.attach(dims.attach_store(inventory_core(lake), lake), dims.product(lake), dims.category(lake))
 
 
-def purchases_core(lake: Lake) -> DataFrame:
-    """Purchases against negotiated terms.
+def _bought(lake: Lake) -> DataFrame:
+    """Purchases by month, store, supplier, product and reason, with the negotiated terms.
 
-    Terms and supplier facts depend on (product, supplier) only, both in the
-    grain, so they join the rollup instead of every purchase row.  The averages
-    over purchase rows are unchanged: inside a group their operand is constant.
+    Terms depend on (product, supplier) only, both in the grain, so they join the rollup instead of every purchase row.
+    There are nearly as many groups as rows, which are dealt by product and supplier, so groups lie where their terms do.
     """
+    state = F.col("estado_orden")
+    facts = lake["fact_compras"].withColumns({"_recibida": state == "Recibida", "_abierta": state.isin("Pendiente", "Parcial")})
     bought = monthly(
-        lake["fact_compras"], "tienda_id", "proveedor_id", "producto_id", "categoria_id", "motivo_compra",
+        facts, "tienda_id", "proveedor_id", "producto_id", "categoria_id", "motivo_compra", dealt=["producto_id", "proveedor_id"],
         ordenes_compra=lake.rows_of("fact_compras"),
         cantidad_comprada=total("cantidad_comprada"),
         subtotal_compras=total("subtotal_sin_iva"),
         iva_compras=total("iva_valor"),
         compras_totales=total("valor_total_compra"),
-        ordenes_recibidas=hits(F.col("estado_orden") == "Recibida"),
-        ordenes_abiertas=hits(F.col("estado_orden").isin("Pendiente", "Parcial")),
+        ordenes_recibidas=hits("_recibida"),
+        ordenes_abiertas=hits("_abierta"),
     )
+    return bought.join(dims.negotiated_terms(lake), ["producto_id", "proveedor_id"], "left")
+
+
+def _against_terms(bought: DataFrame, lake: Lake) -> DataFrame:
+    """Supplier facts and figures against the terms.
+
+    The averages over purchase rows are unchanged: inside a group their operand is constant.
+    """
     terms = (
-        bought.join(dims.negotiated_terms(lake), ["producto_id", "proveedor_id"], "left")
-        .join(dims.supplier(lake), "proveedor_id", "left")
+        bought.join(dims.supplier(lake), "proveedor_id", "left")
         .withColumns({
             "costo_negociado_promedio": F.col("costo_negociado").cast("double"),
             "lead_time_promedio_proveedor":
@@ -260,8 +268,13 @@ def purchases_core(lake: Lake) -> DataFrame:
         priced, variacion_vs_costo_negociado_pct=("variacion_vs_costo_negociado", "costo_negociado_promedio"))
 
 
+def purchases_core(lake: Lake) -> DataFrame:
+    """Purchases against negotiated terms."""
+    return _against_terms(_bought(lake), lake)
+
+
 def purchases(lake: Lake) -> DataFrame:
-    return dims.attach(dims.attach_store(purchases_core(lake), lake), dims.product(lake), dims.category(lake))
+    return dims.attach_product(_bought(lake), lake, lambda df: dims.attach_store(_against_terms(df, lake), lake), dims.category(lake))
 
 
 def logistics_core(lake: Lake) -> DataFrame:
