@@ -105,3 +105,18 @@ def test_purchases_are_grouped_where_they_meet_their_terms(spark, no_broadcasts)
     (dealt,) = [x for x in bought if "hashpartitioning(producto_id" in x and "proveedor_id" in x and "REPARTITION_BY_COL" in x]
     first = next(x for x in bought if "hashpartitioning(tienda_id" in x)  # stores come after products and suppliers
     assert bought.index(first) < bought.index(dealt)
+
+
+def test_returned_sales_and_lines_are_counted_without_expanding_rows(spark, no_broadcasts):
+    plan = marts.returns(silver_lake(spark, SF, staged="lines sales"))._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_returned_sales_and_lines_are_counted_as_together(spark):
+    data = [(f"r{i}", f"v{i % 9}" if i % 4 else None, f"d{i % 11}" if i % 3 else None, "2026-01" if i % 2 else None, "t", "c", "g" if i % 5 else None, "p",
+             "m", i, Decimal(i) / 10, i % 6 == 0, i if i % 7 else None) for i in range(200)]
+    lake = lake_of(spark, "fact_devoluciones", data, "devolucion_id string, venta_id string, detalle_venta_id string, mes_carga string, tienda_id string, "
+                   "ciudad_id string, categoria_id string, producto_id string, motivo_devolucion_id string, cantidad_devuelta bigint, "
+                   "valor_reintegrado decimal(18,2), requiere_revision_calidad boolean, dias_hasta_devolucion int")
+    together, apart = marts.returns_measures(lake), marts._returned_apart(lake)
+    assert sorted(apart.dtypes) == sorted(together.dtypes) and rows(apart.select(*together.columns)) == rows(together) and len(rows(together)) == 4

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions.columns import mean
-from tidemark.operators.rollup import Lake, hits, monthly, summed, total, with_ratios
+from tidemark.operators.rollup import Lake, by_month, hits, monthly, summed, total, with_ratios
 from tidemark.plans import dims
 
 MES_TIENDA = [fv.MONTH, "tienda_id"]
@@ -115,20 +115,47 @@ def product_sales(lake: Lake) -> DataFrame:
         lambda df: dims.attach(dims.attach_store(df, lake), dims.city(lake), dims.channel(lake)), dims.category(lake))
 
 
-def returns_measures(lake: Lake) -> DataFrame:
-    return monthly(
-        lake["fact_devoluciones"],
-        "tienda_id", "ciudad_id", "categoria_id", "producto_id", "motivo_devolucion_id",
+ARTICLE_RETURNED = ["tienda_id", "ciudad_id", "categoria_id", "producto_id", "motivo_devolucion_id"]
+
+
+def _returned(lake: Lake) -> dict[str, Column]:
+    return dict(
         devoluciones=lake.rows_of("fact_devoluciones"),
         unidades_devueltas=total("cantidad_devuelta"),
         valor_reintegrado=total("valor_reintegrado"),
         ventas_con_devolucion=F.count_distinct("venta_id"),
+    )
+
+
+def returns_measures(lake: Lake) -> DataFrame:
+    return monthly(
+        lake["fact_devoluciones"], *ARTICLE_RETURNED, **_returned(lake),
         lineas_con_devolucion=F.count_distinct("detalle_venta_id"),
         devoluciones_revision_calidad=hits("requiere_revision_calidad"),
         dias_promedio_hasta_devolucion=mean("dias_hasta_devolucion"),
     )
 
 
+def _returned_apart(lake: Lake) -> DataFrame:
+    """``returns_measures`` where all of them are wanted.
+
+    Returned sales and returned lines are counted apart and added up: one grouping with two distinct counts would
+    shuffle every row once for each of them and once more.
+    """
+    facts = lake["fact_devoluciones"]
+    sums = monthly(
+        facts, *ARTICLE_RETURNED, **_returned(lake),
+        devoluciones_revision_calidad=hits("requiere_revision_calidad"),
+        _dias=total("dias_hasta_devolucion"), _con_dias=F.count("dias_hasta_devolucion"),
+    )
+    lines = by_month(facts).select(fv.MONTH, *ARTICLE_RETURNED, "detalle_venta_id").distinct().groupBy(fv.MONTH, *ARTICLE_RETURNED).agg(
+        F.count("detalle_venta_id").alias("lineas_con_devolucion"))
+    added = _added(sums.unionByName(lines, allowMissingColumns=True), *ARTICLE_RETURNED)
+    return with_ratios(added, dias_promedio_hasta_devolucion=("_dias", "_con_dias")).select(
+        fv.MONTH, *ARTICLE_RETURNED, *_returned(lake), "lineas_con_devolucion", "devoluciones_revision_calidad",
+        "dias_promedio_hasta_devolucion")
+
+
 def returns_core(lake: Lake) -> DataFrame:
     """Returns against the sales of the month and place they came back in.
 
@@ -143,11 +170,11 @@ def returns_core(lake: Lake) -> DataFrame:
         margen_bruto=("margen_bruto", total("margen_bruto")),
     )
     lines_sold = summed(
-        lake, "fact_ventas_detalle", "mart_ventas_producto_mensual", *article,
+        lake, "fact_ventas_detalle", "mart_ventas_producto_mensual", *article, dealt=[fv.MONTH, *article],
         total_lineas_vendidas=("lineas_vendidas", lake.rows_of("fact_ventas_detalle")),
     )
     met = (
-        returns_measures(lake)
+        _returned_apart(lake)
         .join(store_sales, [fv.MONTH, *place], "left")
         .join(lines_sold, [fv.MONTH, *article], "left")
         .withColumn("ventas_netas", F.col("ventas_totales") - F.col("valor_reintegrado"))
@@ -162,8 +189,8 @@ def returns_core(lake: Lake) -> DataFrame:
 
 
 def returns(lake: Lake) -> DataFrame:
-    return dims.attach(dims.attach_store(returns_core(lake), lake), dims.city(lake), dims.product(lake),
-                       dims.category(lake), dims.return_reason(lake))
+    return dims.attach_product(returns_core(lake), lake, lambda df: dims.attach(dims.attach_store(df, lake), dims.city(lake)),
+                               dims.category(lake), dims.return_reason(lake))
 
 
 def marketing_core(lake: Lake) -> DataFrame:
